@@ -1,0 +1,277 @@
+"""Captured API responses, test-run reports and pipeline runs made from the given tables.
+
+One workflow run per order, one test iteration per order, one pipeline run per
+event. Every document is built inside its row and holds only a few entries, so
+the logs grow with the tables and no document grows with a hot key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from moorage.sources import logs
+from moorage.sources.tables import scan
+
+_AMT = "cast(o_totalprice AS decimal(12,2))"
+_CUR = "CASE o_orderstatus WHEN 'F' THEN 'GBP' WHEN 'O' THEN 'USD' ELSE 'EUR' END"
+_K = "o_orderkey"
+
+
+def _augmentation(subscription: str, provider: str = "null", order: str = "null") -> str:
+    return (
+        f"named_struct('common', named_struct('nfOrderId', {order}, 'nfSubscriptionId', {subscription}), "
+        f"'provider', {provider})"
+    )
+
+
+def _result(container: str, fields: str, errors: str = "null") -> str:
+    return f"named_struct('data', named_struct('{container}', named_struct({fields})), 'errors', {errors})"
+
+
+def _error(code: str, kind: str, text: str) -> str:
+    return f"named_struct('code', {code}, 'typeCode', {kind}, 'type', if({_K} % 2 = 0, {kind}, null), 'descText', {text})"
+
+
+def _price(amount: str) -> str:
+    return (
+        f"named_struct('totalAmount', named_struct('cdata', cast({amount} AS string), 'curCode', {_CUR}))"
+    )
+
+
+_PAX = (
+    f"CASE WHEN {_K} % 5 = 0 THEN cast('P1' AS variant) WHEN {_K} % 2 = 0 THEN cast(array('P1') AS variant) "
+    f"ELSE cast(array('P1', 'P2') AS variant) END"
+)
+_COUNTED = f"filter(sequence(0, 3), n -> n < {_K} % 4)"
+_OFFERS = f"""transform({_COUNTED}, i -> named_struct(
+  'offerId', concat('F-', {_K}, '-', i),
+  'ownerCode', if({_K} % 13 = 0 AND i = 1, 'ZZ', 'QA'),
+  'journeyOverview', if(({_K} + i) % 2 = 0,
+    named_struct('journeyPriceClass', array(named_struct('paxJourneyRefId', concat('J', i)))), null),
+  'offerItem', transform(sequence(1, cast(1 + ({_K} + i) % 2 AS int)), t -> named_struct(
+    'offerItemId', concat('F-', {_K}, '-', i, '-', t),
+    'service', transform(sequence(1, 1 + i % 2), s -> named_struct(
+      'serviceId', concat('V', t, s), 'paxRefId', {_PAX},
+      'offerServiceAssociation', named_struct('paxJourneyRef',
+        named_struct('paxJourneyRefId', array(concat('J', i)))))))),
+  'totalPrice', {_price(_AMT + ' + i * 10')}))"""
+_LISTS = f"""named_struct(
+  'paxJourneyList', named_struct('paxJourney', transform({_COUNTED}, j -> named_struct(
+    'paxJourneyId', concat('J', j),
+    'paxSegmentRefId', if(({_K} + j) % 3 = 0, array(concat('S', j, 'a'), concat('S', j, 'b')), array(concat('S', j, 'a')))))),
+  'paxSegmentList', named_struct('paxSegment', flatten(transform({_COUNTED}, j -> transform(array('a', 'b'), x ->
+    named_struct('paxSegmentId', concat('S', j, x), 'datedMarketingSegmentRefId', concat('D', j, x)))))),
+  'datedMarketingSegmentList', named_struct('datedMarketingSegment', flatten(transform({_COUNTED}, j ->
+    transform(array('a', 'b'), x -> named_struct('datedMarketingSegmentId', concat('D', j, x),
+      'dep', named_struct('iataLocationCode', if(x = 'a', 'AAA', 'CCC')),
+      'arrival', named_struct('iataLocationCode', if(x = 'b' OR ({_K} + j) % 2 = 0, 'BBB', 'CCC'))))))))"""
+TRANSPORT = "(o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')"
+BUSINESS = "(o_orderpriority = '2-HIGH' AND o_orderstatus = 'P')"
+_BAD_FARE = _error("'SHOP-1'", "'Error'", "'No fares'")
+_SHOPPING = f"""named_struct(
+  'data', if({TRANSPORT}, null, named_struct('iataAirShopping', array(named_struct(
+    'payloadAttributes', named_struct('trxId', concat('T1-', {_K})),
+    'augmentationPoint', {_augmentation(f"if({_K} % 23 = 0, null, concat('SUB-', {_K}))", f"named_struct('nfShoppingResponseId', concat('SR-', {_K}))")},
+    'error', if({BUSINESS}, array({_BAD_FARE}), null),
+    'response', if({BUSINESS}, null, named_struct(
+      'offersGroup', named_struct('carrierOffers', array(named_struct('offer', {_OFFERS}))),
+      'dataLists', {_LISTS})))))),
+  'errors', if({TRANSPORT}, array(named_struct('message', 'Subscription unavailable'), named_struct('message', concat('Run ', {_K}))), null))"""
+
+
+def _trx(step: int) -> str:
+    return f"'payloadAttributes', named_struct('trxId', concat('T{step}-', {_K}))"
+
+
+_PRICING = _result(
+    "iataOfferPrice",
+    f"""{_trx(2)}, 'augmentationPoint', {_augmentation(f"concat('SUB-', {_K})", f"if({_K} % 3 = 0, null, named_struct('nfShoppingResponseId', concat('SR2-', {_K})))")},
+  'response', if({_K} % 11 = 0, null, named_struct('pricedOffer', named_struct('offerId', concat('F-', {_K}, '-0'),
+    'ownerCode', 'QA', 'offerItem', array(named_struct('offerItemId', concat('F-', {_K}, '-0-1'),
+      'service', array(named_struct('serviceId', 'V11', 'paxRefId', {_PAX})))), 'totalPrice', {_price(_AMT)})))""",
+    f"if({_K} % 11 = 0, array(named_struct('message', 'Offer expired')), null)",
+)
+
+
+_ITEMS = (
+    f"array(named_struct('orderItemId', concat('I-', {_K}), "
+    f"'service', array(named_struct('serviceId', 'V1', 'paxRefId', {_PAX}))))"
+)
+
+
+def _order(owner: str = "'QA'", order_id: str = f"concat('O-', {_K})", item: str | None = None, amount: str = _AMT) -> str:
+    item = item or _ITEMS
+    return (
+        f"named_struct('orderId', {order_id}, 'ownerCode', {owner}, 'totalPrice', {_price(amount)}, 'orderItem', {item})"
+    )
+
+
+def _one_or_many(value: str, single: str) -> str:
+    """The same value bare in some responses and in a list in others."""
+    return f"if({single}, parse_json(to_json({value})), parse_json(to_json(array({value}))))"
+
+
+# The exempt error code and the wording of a schedule change.
+_TTL = "'NFE-NDC-TTL-INCORRECT'"
+_MOVED = "'None - Departure Time changed for QA5 AAABBB'"
+_CREATE = _result(
+    "iataOrderCreate",
+    f"""{_trx(3)}, 'augmentationPoint', {_augmentation(f"concat('SUB-', {_K})", order=f"concat('N-', {_K})")},
+  'error', filter(array(if({_K} % 5 = 0, {_error(_TTL, "'Warning'", "'Retry later'")}, null),
+    if({_K} % 7 = 0, {_error("'ORD-1'", "'Error'", "'Rejected'")}, null)), e -> e IS NOT NULL),
+  'response', if({_K} % 7 = 0, null, named_struct('order', {_one_or_many(_order(), f"{_K} % 2 = 0")}))""",
+)
+
+
+def _retrieve(step: int, error: str) -> str:
+    order = _order(item=f"if({_K} % 8 = 0, null, {_ITEMS})")
+    return _result(
+        "iataOrderRetrieve",
+        f"{_trx(step)}, 'error', {error}, 'response', named_struct('order', {_one_or_many(order, f'{_K} % 2 = 1')})",
+    )
+
+
+_RETRIEVE = _retrieve(
+    4,
+    f"""filter(array(if({_K} % 5 = 0, {_error(_TTL, "'Error'", "'Time limit'")}, null),
+    if({_K} % 9 = 0, {_error("'RET-1'", "'Warning'", "'Other'")}, null)), e -> e IS NOT NULL)""",
+)
+_RETRIEVE_CHANGE = _retrieve(7, f"""if({_K} % 10 = 0, array({_error("'RET-2'", "'Warning'", "'Held'")}), null)""")
+
+
+def _ticket(step: int) -> str:
+    document = f"""named_struct('ticket', {_one_or_many(f'''named_struct('ticketNumber', if({_K} % 4 = 0, '', concat('ticket-', {_K})),
+      'ticketDocTypeCode', 'T', 'coupon', array(named_struct('couponNumber', 1, 'couponStatusCode', if({_K} % 2 = 0, 'OK', 'I')),
+      named_struct('couponNumber', 2, 'couponStatusCode', 'I')))''', f"{_K} % 3 = 0")},
+    'originalIssueInfo', if({_K} % 12 = 0, null, named_struct('ticketNumber', concat('original-', {_K}))),
+    'paxRefId', {_PAX},
+    'referencedOrder', if({_K} % 3 = 0, null, named_struct('orderId', concat('O-', {_K}), 'ownerCode', if({_K} % 10 = 0, 'XX', 'QA'))))"""
+    payment = f"""named_struct('paymentProcessingSummary', named_struct('paymentId', concat('PAY-', {_K}),
+      'paymentStatusCode', 'Paid', 'amount', named_struct('cdata', if({_K} % 6 = 0, 'n/a', cast({_AMT} AS string)), 'curCode', {_CUR})))"""
+    return _result(
+        "iataOrderChange",
+        f"""{_trx(step)}, 'error', if({_K} % 14 = 0, array({_error("'TKT-1'", "'Warning'", "'Queue'")}), null),
+  'response', named_struct('order', {_one_or_many(_order(order_id=f"if({_K} % 6 = 0, null, concat('O-', {_K}))"), f"{_K} % 2 = 0")},
+    'ticketDocInfo', {_one_or_many(document, f"{_K} % 2 = 1")}),
+  'paymentFunctions', {_one_or_many(payment, f"{_K} % 4 < 2")}""",
+    )
+
+
+_RESHOP_ITEM = (
+    f"if({_K} % 2 = 0, null, named_struct('offerItemId', concat('C-', {_K}, '-7'), 'nameChangeService', "
+    f"named_struct('paxRefId', if({_K} % 3 = 0, '', 'P9'))))"
+)
+_RESHOP_OFFER = (
+    f"named_struct('offerId', concat('C-', {_K}), 'ownerCode', 'QA', 'totalPrice', {_price(_AMT + ' + 5')}, "
+    f"'offerItem', {_RESHOP_ITEM})"
+)
+_RESHOP = _result(
+    "iataOrderReshop",
+    f"""{_trx(8)}, 'augmentationPoint', {_augmentation("null", f"if({_K} % 5 = 0, null, named_struct('nfShoppingResponseId', concat('SR8-', {_K})))")},
+  'error', if({_K} % 13 = 0, array({_error("'CHG-1'", "'Error'", "'No change offer'")}), null),
+  'response', if({_K} % 13 = 0, null, named_struct('reshopResults', named_struct('reshopOffers',
+    named_struct('offer', {_one_or_many(_RESHOP_OFFER, f"{_K} % 3 = 1")}))))""",
+)
+_CONFIRM_ERROR = f"""CASE {_K} % 6 WHEN 1 THEN array({_error('null', "'Warning'", _MOVED)})
+  WHEN 2 THEN array({_error('null', "'Error'", _MOVED)}) WHEN 3 THEN array({_error(_TTL, "'Warning'", "'Time limit'")})
+  WHEN 4 THEN array({_error("'CNF-1'", "'Warning'", "'Unexpected'")}) WHEN 5 THEN array({_error(_TTL, "'Error'", "'Time limit'")}) END"""
+_CONFIRM = _result(
+    "iataOrderChange",
+    f"""{_trx(9)}, 'augmentationPoint', {_augmentation(f"concat('SUB9-', {_K})", order=f"if({_K} % 4 = 0, '', concat('N9-', {_K}))")},
+  'error', {_CONFIRM_ERROR},
+  'response', named_struct('order', {_one_or_many(_order(owner=f"if({_K} % 4 = 0, '', 'QA')", order_id=f"if({_K} % 15 = 0, 'O-other', concat('O-', {_K}))", amount=_AMT + ' + 5'), f"{_K} % 2 = 0")})""",
+)
+_PAYMENT = _result("customerPayment", f"'success', {_K} % 16 <> 0")
+_BODIES = {
+    "shopping": _SHOPPING, "pricing": _PRICING, "create": _CREATE, "retrieve": _RETRIEVE, "ticket": _ticket(5),
+    "payment": _PAYMENT, "retrieve_change": _RETRIEVE_CHANGE, "reshop": _RESHOP, "confirm": _CONFIRM,
+    "ticket_change": _ticket(10),
+}
+
+
+def sample_api_log(spark: SparkSession, folder: str, steps: list[str] | None = None) -> DataFrame:
+    """One row per (run, step) with the response as JSON text."""
+    orders = scan(spark, folder, "orders",
+                  ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    rows = ", ".join(
+        f"named_struct('seq', {logs.STEPS[step].seq}, 'step', '{step}', 'body', to_json({_BODIES[step]}))"
+        for step in steps or _BODIES
+    )
+    return orders.select("*", F.expr(f"inline(array({rows}))")).selectExpr(
+        "cast(o_orderkey AS string) AS run_id",
+        "seq",
+        "step",
+        f"if({_K} % 29 = 0 AND step <> 'shopping', 500, 200) AS http_status",
+        "body",
+        "o_orderdate + make_dt_interval(0, 0, seq) AS requested_at",
+    )
+
+
+def parsed_step(spark: SparkSession, folder: str, step: str) -> DataFrame:
+    return logs.parse_step(sample_api_log(spark, folder, [step]), step)
+
+
+# ------------------------------------------------------------- run reports
+
+
+def sample_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """One test iteration per order: one to three requests with up to three tests each.
+
+    The stored summary counts a request with a failed test as failed although
+    its own status says pass.
+    """
+    tests = f"""if(({_K} + r) % 10 = 0, null, transform(sequence(0, cast(({_K} + r) % 3 AS int)), t -> named_struct(
+      'description', concat('test ', t), 'status', if(({_K} + r + t) % 7 = 0, 'fail', 'pass'),
+      'error', if(({_K} + r + t) % 7 = 0, 'expected 200', null))))"""
+    status = f"if(({_K} + r) % 4 = 0, 'fail', 'pass')"
+    result = f"""named_struct('name', if(r = 1, null, concat('request ', r)), 'path', concat('path/', r),
+      'status', {status}, 'test', if({_K} % 2 = 0, named_struct('filename', concat('file ', r)), null),
+      'response', named_struct('status', if({_K} % 3 = 0, null, 200), 'duration', cast({_K} % 1000 AS int)),
+      'testResults', {tests})"""
+    rows = scan(spark, folder, "orders", ["o_orderkey"])
+    results = rows.select("o_orderkey", F.expr(f"transform(sequence(0, cast({_K} % 3 AS int)), r -> {result})").alias("results"))
+    all_tests = "flatten(transform(results, x -> coalesce(x.testResults, array())))"
+    clean = "x.status = 'pass' AND NOT exists(coalesce(x.testResults, array()), t -> t.status = 'fail')"
+    return results.selectExpr(
+        f"""to_json(named_struct('iterationIndex', {_K}, 'results', results, 'summary', named_struct(
+        'totalRequests', size(results), 'passedRequests', size(filter(results, x -> {clean})),
+        'failedRequests', size(filter(results, x -> NOT ({clean}))),
+        'totalTests', size({all_tests}), 'passedTests', size(filter({all_tests}, t -> t.status = 'pass')),
+        'failedTests', size(filter({all_tests}, t -> t.status <> 'pass'))))) AS value"""
+    )
+
+
+def parsed_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return logs.parse_text(sample_reports(spark, folder), logs.RUN_REPORT).withColumn("missing", F.lit(False))
+
+
+# ----------------------------------------------------------- pipeline runs
+
+
+def sample_pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """One pipeline run per event: copy, load and validate; a run in progress lists no activity."""
+    rows = scan(spark, folder, "events", ["event_id", "event_type", "value", "props"])
+    k = "cast(get_json_object(props, '$.k') AS bigint)"
+    rows_found = """named_struct('rowCount', 2, 'rows', array(
+      map('ValidatedFactRows', cast(event_id AS string), 'Kind', event_type),
+      map('ValidatedFactRows', cast(event_id + 1 AS string))))"""
+    return rows.selectExpr(
+        f"""to_json(named_struct('pipeline', concat('PL_', event_type), 'runId', cast(event_id AS string),
+        'status', CASE WHEN value < 20 THEN 'InProgress' WHEN value < 40 THEN 'Failed' WHEN value < 60 THEN 'Cancelled'
+          ELSE 'Succeeded' END,
+        'activities', if(value < 20, null, array(
+          named_struct('name', 'Copy', 'status', 'Succeeded', 'error', cast(null AS struct<message: string>),
+            'output', named_struct('rowsCopied', {k}), 'resultSets', null),
+          named_struct('name', 'Load', 'status', if(value < 40, 'Failed', 'Succeeded'),
+            'error', if(value < 40, named_struct('message', concat('value ', cast(value AS decimal(10,2)))), null),
+            'output', cast(null AS struct<rowsCopied: bigint>), 'resultSets', null),
+          named_struct('name', 'Validate',
+            'status', CASE WHEN value < 40 THEN 'Skipped' WHEN value < 60 THEN 'Cancelled' ELSE 'Succeeded' END,
+            'error', null, 'output', null, 'resultSets', if(value < 60, null, array({rows_found})))
+        )))) AS value"""
+    )
+
+
+def parsed_pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return logs.parse_text(sample_pipeline_runs(spark, folder), logs.PIPELINE_RUN)

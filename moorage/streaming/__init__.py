@@ -1,0 +1 @@
+"""Intentionally empty: every load is a full or batch extract, so no operator here needs a stream."""
