@@ -10,6 +10,7 @@ from moorage.catalog import warehouses
 from moorage.catalog.joins import COST_SQL, SHOP_OK_SQL
 from moorage.catalog.registry import query
 from moorage.functions import scalars as S
+from moorage.functions.payload import with_computed
 from moorage.operators import audit, payloads, quality, reconcile, runlogs
 from moorage.plans import encounter, sales
 from moorage.sources import tables
@@ -180,8 +181,8 @@ PICK_SQL = f"""SELECT o_orderkey AS k, coalesce(min(i) FILTER ((o_orderkey + i)
 @query(f"SELECT CAST(k AS VARCHAR) AS run_id, 'F-' || k || '-' || i AS offer_id FROM ({PICK_SQL})")
 def first_matching_else_first(spark, folder):
     parsed = captured.parsed_step(spark, folder, "shopping")
-    offer = payloads.first_direct_else_first(ORIGIN, DESTINATION)
-    return parsed.select("run_id", offer["offerId"].alias("offer_id")).where("offer_id IS NOT NULL")
+    rows = with_computed(parsed, "offer", payloads.first_direct_else_first(ORIGIN, DESTINATION))
+    return rows.where("offer IS NOT NULL").select("run_id", F.col("offer.offerId").alias("offer_id"))
 
 
 @query(f"SELECT CAST(k AS VARCHAR) AS run_id, 'F-' || k || '-' || i AS offer_id FROM ({PICK_SQL})")

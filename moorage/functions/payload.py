@@ -6,7 +6,9 @@ turned into an array here; every other field has a declared type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,6 +22,20 @@ def as_array(value: Column, element: str) -> Column:
     )
 
 
+def with_computed(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed exactly once per row.
+
+    A plain column would be repeated inside every filter that is pushed below
+    it. A one-element list and its explode keep the two apart.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it inside a loop over a list."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def first_of(items: Column) -> Column:
     """First element, NULL for an empty or missing array."""
     return F.get(items, F.lit(0))
@@ -32,8 +48,4 @@ def first_value(value: Column, element: str) -> Column:
 
 def find_by_id(items: Column, id_field: str, wanted: Column) -> Column:
     """The list entry whose id equals ``wanted``; stays inside the row."""
-    return first_of(F.filter(items, lambda item: item[id_field] == wanted))
-
-
-def rows_or_none(items: Column) -> Column:
-    return F.coalesce(F.size(items), F.lit(0))
+    return once(wanted, lambda key: first_of(F.filter(items, lambda item: item[id_field] == key)))

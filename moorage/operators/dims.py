@@ -12,21 +12,21 @@ from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
 from moorage.operators.joins import lookup_join, unseen, update_from
-from moorage.operators.keys import allocate_keys, highest_key
+from moorage.operators.keys import allocate_keys
 
 
 def load_type1(dim: DataFrame, source: DataFrame, natural_key: str, attributes: list[str], key: str) -> DataFrame:
     """Overwrite attributes of known ids, add new ids, keep ids the extract left out. Keys never change."""
     source = source.select(natural_key, *attributes)
     kept = update_from(dim, source, natural_key, attributes)
-    added = allocate_keys(unseen(source, dim, natural_key), natural_key, key, highest_key(dim, key))
+    added = allocate_keys(unseen(source, dim, natural_key), natural_key, key, dim)
     return kept.unionByName(added.select(*dim.columns))
 
 
 def load_insert_only(dim: DataFrame, source: DataFrame, natural_key: str, attributes: list[str], key: str) -> DataFrame:
     """Add unseen ids; known ids keep the attributes they have."""
     new = unseen(source.select(natural_key, *attributes).distinct(), dim, natural_key)
-    added = allocate_keys(new, natural_key, key, highest_key(dim, key))
+    added = allocate_keys(new, natural_key, key, dim)
     return dim.unionByName(added.select(*dim.columns))
 
 
@@ -58,7 +58,7 @@ def load_outrigger(
         folded = F.collate(F.col(name), collation)
         known = outrigger.select(folded.alias("_folded")).distinct()
         new = values.withColumn("_folded", folded).join(known, "_folded", "left_anti").drop("_folded")
-    added = allocate_keys(new, name, key, highest_key(outrigger, key))
+    added = allocate_keys(new, name, key, outrigger)
     return outrigger.unionByName(added.select(*outrigger.columns))
 
 

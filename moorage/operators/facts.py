@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorage.operators.joins import lookup_join, unseen, update_from
-from moorage.operators.keys import allocate_keys, highest_key
+from moorage.operators.keys import allocate_keys
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ def with_dimension_keys(rows: DataFrame, lookups: list[Lookup]) -> DataFrame:
 
 
 def _append(fact: DataFrame, new: DataFrame, natural_key: list[str], key: str) -> DataFrame:
-    added = allocate_keys(new, natural_key, key, highest_key(fact, key))
+    added = allocate_keys(new, natural_key, key, fact)
     return fact.unionByName(added.select(*fact.columns))
 
 
@@ -37,7 +37,7 @@ def upsert(fact: DataFrame, rows: DataFrame, natural_key: str, key: str) -> Data
     measures = [name for name in fact.columns if name not in (natural_key, key)]
     rows = rows.select(natural_key, *measures)
     kept = update_from(fact, rows, natural_key, measures)
-    added = allocate_keys(unseen(rows, fact, natural_key), natural_key, key, highest_key(fact, key))
+    added = allocate_keys(unseen(rows, fact, natural_key), natural_key, key, fact)
     return kept.unionByName(added.select(*fact.columns))
 
 

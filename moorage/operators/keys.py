@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from moorage.session import materialise
 
 
-def highest_key(table: DataFrame, key: str) -> int:
-    return table.agg(F.max(key)).first()[0] or 0
-
-
-def allocate_keys(rows: DataFrame, natural_key: str | Sequence[str], key: str, after: int = 0) -> DataFrame:
+def allocate_keys(
+    rows: DataFrame, natural_key: str | Sequence[str], key: str, after: int | DataFrame = 0
+) -> DataFrame:
     """Give every row the next free number in natural-key order.
 
+    ``after`` is the highest number in use, or the table that holds it.
+
     The rows are range-partitioned and sorted inside each range, so no task
     sorts everything. Each row's range and place in it are written down before
     use: a recomputed task can then not number the rows differently. Only the
@@ -30,8 +30,12 @@ def allocate_keys(rows: DataFrame, natural_key: str | Sequence[str], key: str, a
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
         "keys",
     )
-    sizes = dict(placed.groupBy("_range").count().collect())
-    before, running = [], after
+    counts = placed.groupBy("_range").agg(F.count("*").alias("size"))
+    if isinstance(after, DataFrame):
+        counts = counts.unionByName(after.agg(F.lit(-1).alias("_range"), F.coalesce(F.max(key), F.lit(0)).alias("size")))
+        after = 0
+    sizes = dict(counts.collect())
+    before, running = [], sizes.pop(-1, after)
     for number in range(max(sizes, default=0) + 1):
         before.append(running)
         running += sizes.get(number, 0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
-from moorage.functions.payload import as_array, find_by_id, first_of, first_value
+from moorage.functions.payload import as_array, find_by_id, first_of, first_value, once, with_computed
 from moorage.operators.joins import lookup_join
 from moorage.sources import logs
 
@@ -80,10 +80,9 @@ def segments(parsed: DataFrame) -> DataFrame:
                          F.explode(_journeys()).alias("journey"))
     rows = rows.select("run_id", "segments", "dated", F.col("journey.paxJourneyId").alias("journey_id"),
                        F.posexplode("journey.paxSegmentRefId").alias("pos", "segment_id"))
-    rows = rows.withColumn("segment", find_by_id(F.col("segments"), "paxSegmentId", F.col("segment_id")))
-    rows = rows.withColumn(
-        "leg", find_by_id(F.col("dated"), "datedMarketingSegmentId", F.col("segment.datedMarketingSegmentRefId"))
-    )
+    rows = with_computed(rows, "segment", find_by_id(F.col("segments"), "paxSegmentId", F.col("segment_id")))
+    leg = find_by_id(F.col("dated"), "datedMarketingSegmentId", F.col("segment.datedMarketingSegmentRefId"))
+    rows = with_computed(rows, "leg", leg)
     return rows.select(
         "run_id", "journey_id", "pos", "segment_id",
         F.col("leg.datedMarketingSegmentId").alias("dated_segment_id"),
@@ -102,11 +101,17 @@ def journey_ref(offer: Column) -> Column:
 
 def is_direct(offer: Column, origin: str, destination: str) -> Column:
     """Exactly one segment, flying the wanted route."""
+
+    def on_route(leg: Column) -> Column:
+        return (leg["dep"]["iataLocationCode"] == origin) & (leg["arrival"]["iataLocationCode"] == destination)
+
+    def only_segment_on_route(refs: Column) -> Column:
+        segment = find_by_id(_segments(), "paxSegmentId", first_of(refs))
+        leg = find_by_id(_dated(), "datedMarketingSegmentId", segment["datedMarketingSegmentRefId"])
+        return (F.size(refs) == 1) & once(leg, on_route)
+
     refs = find_by_id(_journeys(), "paxJourneyId", journey_ref(offer))["paxSegmentRefId"]
-    segment = find_by_id(_segments(), "paxSegmentId", first_of(refs))
-    leg = find_by_id(_dated(), "datedMarketingSegmentId", segment["datedMarketingSegmentRefId"])
-    route = (leg["dep"]["iataLocationCode"] == origin) & (leg["arrival"]["iataLocationCode"] == destination)
-    return F.coalesce((F.size(refs) == 1) & route, F.lit(False))
+    return F.coalesce(once(refs, only_segment_on_route), F.lit(False))
 
 
 def _first_carrier_offers() -> Column:
@@ -156,7 +161,7 @@ PICK = ["trx_id", "subscription_id", "shopping_response_id", "offer_id", "owner_
 
 def selected_offer(parsed: DataFrame, origin: str, destination: str) -> DataFrame:
     """The offer a run goes on with; runs without a complete pick have no row."""
-    rows = succeeded(parsed).withColumn("offer", first_direct_else_first(origin, destination))
+    rows = with_computed(succeeded(parsed), "offer", first_direct_else_first(origin, destination))
     rows = rows.withColumn("item", first_of(F.col("offer.offerItem")))
     rows = rows.withColumn("service", first_of(F.col("item.service")))
     picked = rows.select(
@@ -201,10 +206,10 @@ def priced_offer(parsed: DataFrame, selected: DataFrame) -> DataFrame:
 
 def _with_order(parsed: DataFrame) -> DataFrame:
     """Adds the first order, its first item, that item's first service and its first passenger."""
-    rows = parsed.withColumn("order", first_value(F.col("result.response.order"), logs.ORDER))
-    rows = rows.withColumn("item", first_value(F.col("order.orderItem"), logs.ITEM))
-    rows = rows.withColumn("service", first_value(F.col("item.service"), logs.SERVICE))
-    return rows.withColumn("pax_ref_id", first_value(F.col("service.paxRefId"), "string"))
+    rows = with_computed(parsed, "order", first_value(F.col("result.response.order"), logs.ORDER))
+    rows = with_computed(rows, "item", first_value(F.col("order.orderItem"), logs.ITEM))
+    rows = with_computed(rows, "service", first_value(F.col("item.service"), logs.SERVICE))
+    return with_computed(rows, "pax_ref_id", first_value(F.col("service.paxRefId"), "string"))
 
 
 def created_order(parsed: DataFrame) -> DataFrame:
@@ -240,9 +245,9 @@ def order_before_change(parsed: DataFrame) -> DataFrame:
 
 
 def _with_document(parsed: DataFrame) -> DataFrame:
-    rows = parsed.withColumn("document", first_value(F.col("result.response.ticketDocInfo"), logs.TICKET_DOC))
-    rows = rows.withColumn("ticket", first_value(F.col("document.ticket"), logs.TICKET))
-    return rows.withColumn("coupon", first_value(F.col("ticket.coupon"), logs.COUPON))
+    rows = with_computed(parsed, "document", first_value(F.col("result.response.ticketDocInfo"), logs.TICKET_DOC))
+    rows = with_computed(rows, "ticket", first_value(F.col("document.ticket"), logs.TICKET))
+    return with_computed(rows, "coupon", first_value(F.col("ticket.coupon"), logs.COUPON))
 
 
 def ticket(parsed: DataFrame) -> DataFrame:
@@ -272,7 +277,7 @@ def ticket_references(parsed: DataFrame) -> DataFrame:
 
 
 def payment(parsed: DataFrame) -> DataFrame:
-    rows = parsed.withColumn("payment", first_value(F.col("result.paymentFunctions"), logs.PAYMENT))
+    rows = with_computed(parsed, "payment", first_value(F.col("result.paymentFunctions"), logs.PAYMENT))
     summary = F.col("payment.paymentProcessingSummary")
     return rows.where("payment IS NOT NULL").select(
         "run_id",
@@ -285,11 +290,10 @@ def payment(parsed: DataFrame) -> DataFrame:
 
 def reshop_offer(parsed: DataFrame, fallback_pax: str) -> DataFrame:
     """The first change offer. A missing item id is the offer id with ``-1``; a missing passenger the given one."""
-    rows = parsed.withColumn(
-        "offer", first_value(F.col("result.response.reshopResults.reshopOffers.offer"), logs.RESHOP_OFFER)
-    )
-    rows = rows.withColumn("item", first_value(F.col("offer.offerItem"), logs.RESHOP_ITEM))
-    rows = rows.withColumn("service", first_value(F.col("item.nameChangeService"), logs.RESHOP_SERVICE))
+    found = first_value(F.col("result.response.reshopResults.reshopOffers.offer"), logs.RESHOP_OFFER)
+    rows = with_computed(parsed, "offer", found)
+    rows = with_computed(rows, "item", first_value(F.col("offer.offerItem"), logs.RESHOP_ITEM))
+    rows = with_computed(rows, "service", first_value(F.col("item.nameChangeService"), logs.RESHOP_SERVICE))
     priced = F.col("offer.totalPrice.totalAmount").isNotNull()
     offer_id = F.col("offer.offerId")
     return rows.where(F.col("offer").isNotNull() & priced).select(

@@ -97,25 +97,27 @@ def fact_rows(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFr
     )
 
 
-def _facts_and_dates(now, new, appointment) -> dict[str, DataFrame]:
+def _load_facts(now: dict[str, DataFrame], new: dict[str, DataFrame], appointment: DataFrame) -> DataFrame:
     rows = materialise(fact_rows(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
-    return {
-        "dim_date": dims.load_dates(now["dim_date"], appointment, "starts_at"),
-        "fact_appointment": facts.upsert(now["fact_appointment"], rows, "appointment_id", "appointment_key"),
-    }
+    return facts.upsert(now["fact_appointment"], rows, "appointment_id", "appointment_key")
 
 
 def run_star(store: SnapshotStore, patient: DataFrame, doctor: DataFrame, appointment: DataFrame) -> int:
     """Load staged tables into dimensions that hold city and specialty as text."""
     quality.gate(stage_report(patient, doctor, appointment), LOAD, MESSAGES)
-    base = store.version()
-    now = store.read(base) or empty(store.spark, STAR)
-    new = {
-        "dim_patient": dims.load_type1(now["dim_patient"], patient, "patient_id", PATIENT, "patient_key"),
-        "dim_doctor": dims.load_type1(now["dim_doctor"], doctor, "doctor_id", DOCTOR, "doctor_key"),
-    }
-    new = {name: materialise(rows, name) for name, rows in new.items()}
-    return store.publish(new | _facts_and_dates(now, new, appointment), base)
+    draft = store.draft()
+    now = store.read(draft.base) or empty(store.spark, STAR)
+    new = draft.put_all(
+        {
+            "dim_patient": lambda: dims.load_type1(
+                now["dim_patient"], patient, "patient_id", PATIENT, "patient_key"
+            ),
+            "dim_doctor": lambda: dims.load_type1(now["dim_doctor"], doctor, "doctor_id", DOCTOR, "doctor_key"),
+            "dim_date": lambda: dims.load_dates(now["dim_date"], appointment, "starts_at"),
+        },
+    )
+    draft.put("fact_appointment", _load_facts(now, new, appointment))
+    return draft.publish()
 
 
 def load_with_outrigger(
@@ -156,32 +158,40 @@ def run_snowflake(
 ) -> int:
     """Load staged tables through city and specialty outriggers; audits when a run id is given."""
     quality.gate(stage_report(patient, doctor, appointment, counts), LOAD, MESSAGES)
-    base = store.version()
-    now = store.read(base) or empty(store.spark, SNOWFLAKE)
-    new = {
-        "dim_city": dims.load_outrigger(now["dim_city"], patient, "city", "city_name", "city_key", collation),
-        "dim_specialty": dims.load_outrigger(
-            now["dim_specialty"], doctor, "specialty", "specialty_name", "specialty_key", collation
-        ),
-    }
-    new = {name: materialise(rows, name) for name, rows in new.items()}
-    parents = {
-        "dim_patient": load_with_outrigger(
-            now["dim_patient"], patient, new["dim_city"], "city", "city_name", "city_key",
-            "patient_id", "patient_key", collation,
-        ),
-        "dim_doctor": load_with_outrigger(
-            now["dim_doctor"], doctor, new["dim_specialty"], "specialty", "specialty_name", "specialty_key",
-            "doctor_id", "doctor_key", collation,
-        ),
-    }
-    new |= {name: materialise(rows, name) for name, rows in parents.items()}
-    new |= _facts_and_dates(now, new, appointment)
-    new["load_audit"] = now["load_audit"]
-    if run_id is not None:
-        row = audit_row(patient, doctor, appointment, run_id, loaded_at)
-        new["load_audit"] = audit.insert_once(now["load_audit"], row)
-    return store.publish(new, base)
+    draft = store.draft()
+    now = store.read(draft.base) or empty(store.spark, SNOWFLAKE)
+
+    def load_audit() -> DataFrame:
+        if run_id is None:
+            return now["load_audit"]
+        return audit.insert_once(now["load_audit"], audit_row(patient, doctor, appointment, run_id, loaded_at))
+
+    new = draft.put_all(
+        {
+            "dim_city": lambda: dims.load_outrigger(
+                now["dim_city"], patient, "city", "city_name", "city_key", collation
+            ),
+            "dim_specialty": lambda: dims.load_outrigger(
+                now["dim_specialty"], doctor, "specialty", "specialty_name", "specialty_key", collation
+            ),
+            "dim_date": lambda: dims.load_dates(now["dim_date"], appointment, "starts_at"),
+            "load_audit": load_audit,
+        },
+    )
+    new |= draft.put_all(
+        {
+            "dim_patient": lambda: load_with_outrigger(
+                now["dim_patient"], patient, new["dim_city"], "city", "city_name", "city_key",
+                "patient_id", "patient_key", collation,
+            ),
+            "dim_doctor": lambda: load_with_outrigger(
+                now["dim_doctor"], doctor, new["dim_specialty"], "specialty", "specialty_name", "specialty_key",
+                "doctor_id", "doctor_key", collation,
+            ),
+        },
+    )
+    draft.put("fact_appointment", _load_facts(now, new, appointment))
+    return draft.publish()
 
 
 def migrate(store: SnapshotStore) -> int:

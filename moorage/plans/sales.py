@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from moorage.functions import scalars as S
 from moorage.operators import dims, facts, quality
 from moorage.operators.joins import lookup_join, unseen
-from moorage.session import materialise
 from moorage.sources.store import SnapshotStore
 
 LOAD = "sales"
@@ -96,20 +95,24 @@ def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_d
 
 def run_star(store: SnapshotStore, rows: DataFrame) -> int:
     """Insert-only load: known dimension rows and facts stay as they are. ``rows`` is read several times."""
-    base = store.version()
-    now = store.read(base) or empty(store.spark)
+    draft = store.draft()
+    now = store.read(draft.base) or empty(store.spark)
     quality.gate(extract_report(rows, now), LOAD, MESSAGES)
-    new = {
-        "dim_date": dims.load_dates_named(now["dim_date"], rows, "order_date"),
-        "dim_customer": dims.load_insert_only(now["dim_customer"], rows, "customer_id", CUSTOMER, "customer_key"),
-        "dim_product": dims.load_insert_only(now["dim_product"], rows, "product_id", PRODUCT, "product_key"),
-        "dim_store": dims.load_insert_only(now["dim_store"], rows, "store_id", STORE, "store_key"),
-    }
-    new = {name: materialise(table, name) for name, table in new.items()}
-    new["fact_sales"] = facts.insert_only(
-        now["fact_sales"], fact_rows(rows, new), ["order_id", "line_number"], "sales_key"
+    new = draft.put_all(
+        {
+            "dim_date": lambda: dims.load_dates_named(now["dim_date"], rows, "order_date"),
+            "dim_customer": lambda: dims.load_insert_only(
+                now["dim_customer"], rows, "customer_id", CUSTOMER, "customer_key"
+            ),
+            "dim_product": lambda: dims.load_insert_only(
+                now["dim_product"], rows, "product_id", PRODUCT, "product_key"
+            ),
+            "dim_store": lambda: dims.load_insert_only(now["dim_store"], rows, "store_id", STORE, "store_key"),
+        },
     )
-    return store.publish(new, base)
+    sold = facts.insert_only(now["fact_sales"], fact_rows(rows, new), ["order_id", "line_number"], "sales_key")
+    draft.put("fact_sales", sold)
+    return draft.publish()
 
 
 def run_rebuild(store: SnapshotStore, rows: DataFrame) -> int:
@@ -118,15 +121,17 @@ def run_rebuild(store: SnapshotStore, rows: DataFrame) -> int:
     no_dates = store.spark.createDataFrame(
         [], "date_key int, calendar_date string, calendar_year int, calendar_month int"
     )
-    new = {
-        "dim_date": dims.load_dates_text(no_dates, rows, "order_date"),
-        "dim_customer": dims.rebuild(rows, "customer_id", CUSTOMER, "customer_key"),
-        "dim_product": dims.rebuild(rows, "product_id", PRODUCT, "product_key"),
-        "dim_store": dims.rebuild(rows, "store_id", STORE, "store_key"),
-    }
-    new = {name: materialise(table, name) for name, table in new.items()}
-    new["fact_sales"] = facts.rebuild(fact_rows(rows, new), ["order_id", "line_number"], "sales_key")
-    return store.publish(new, store.version())
+    draft = store.draft()
+    new = draft.put_all(
+        {
+            "dim_date": lambda: dims.load_dates_text(no_dates, rows, "order_date"),
+            "dim_customer": lambda: dims.rebuild(rows, "customer_id", CUSTOMER, "customer_key"),
+            "dim_product": lambda: dims.rebuild(rows, "product_id", PRODUCT, "product_key"),
+            "dim_store": lambda: dims.rebuild(rows, "store_id", STORE, "store_key"),
+        },
+    )
+    draft.put("fact_sales", facts.rebuild(fact_rows(rows, new), ["order_id", "line_number"], "sales_key"))
+    return draft.publish()
 
 
 def by_month_category(tables: dict[str, DataFrame], month: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent steps of a load at the same time; their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        running = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: future.result() for name, future in running.items()}

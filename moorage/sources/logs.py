@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.functions.payload import first_value
+from moorage.functions.payload import first_value, with_computed
 
 API_LOG = "run_id string, seq int, step string, http_status int, body string, requested_at timestamp_ntz"
 
@@ -84,21 +84,17 @@ def parse_step(log: DataFrame, step: str) -> DataFrame:
     kind = STEPS[step]
     shape = f"struct<{_COMMON}, {kind.shape}>"
     declared = "variant" if step == "shopping" else shape
-    parsed = log.where(F.col("step") == step).select(
-        "run_id", "seq", "step", "http_status",
-        F.from_json("body", f"data struct<{kind.container}: {declared}>, errors array<struct<message: string>>").alias(
-            "body"
-        ),
-    )
-    result = F.col(f"body.data.{kind.container}")
-    if step == "shopping":
-        result = first_value(result, shape)
-    return parsed.select(
+    schema = f"data struct<{kind.container}: {declared}>, errors array<struct<message: string>>"
+    rows = log.where(F.col("step") == step).withColumnRenamed("body", "text")
+    parsed = with_computed(rows, "body", F.from_json("text", schema)).select(
         "run_id", "seq", "step", "http_status",
         F.col("body.errors").alias("errors"),
         F.col("body.data").isNotNull().alias("has_data"),
-        result.alias("result"),
+        F.col(f"body.data.{kind.container}").alias("result"),
     )
+    if step != "shopping":
+        return parsed
+    return with_computed(parsed.withColumnRenamed("result", "raw"), "result", first_value(F.col("raw"), shape)).drop("raw")
 
 
 # Field names of the test-run report and of the pipeline-run log.
@@ -141,4 +137,4 @@ def read_pipeline_runs(spark: SparkSession, path: str, multi_line: bool = False)
 
 def parse_text(rows: DataFrame, schema: str) -> DataFrame:
     """One JSON document per row of ``value`` to the columns of ``schema``."""
-    return rows.select(F.from_json("value", schema).alias("parsed")).select("parsed.*")
+    return with_computed(rows, "parsed", F.from_json("value", schema)).select("parsed.*")

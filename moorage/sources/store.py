@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from moorage.session import together
+
 
 class PublishConflict(Exception):
     """Another load published first."""
@@ -34,18 +36,26 @@ class SnapshotStore:
         names = [status.getPath().getName() for status in found]
         return max((int(name[:-5]) for name in names if name.endswith(".json")), default=0)
 
-    def _tables(self, version: int) -> dict[str, str]:
-        text = self.spark.read.text(f"{self.root}/manifests/{version:09d}.json", wholetext=True).first()[0]
-        return json.loads(text)
+    def _tables(self, version: int) -> dict[str, dict[str, str]]:
+        if version == 0:
+            return {}
+        stream = self._files.open(self._path(f"{self.root}/manifests/{version:09d}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def read(self, version: int | None = None) -> dict[str, DataFrame]:
         """Every table as of one version, all from the same one."""
-        version = self.version() if version is None else version
-        return {} if version == 0 else {
-            name: self.spark.read.schema(entry["schema"]).parquet(entry["path"])
-            for name, entry in self._tables(version).items()
+        entries = self._tables(self.version() if version is None else version)
+        return {
+            name: self.spark.read.schema(entry["schema"]).parquet(entry["path"]) for name, entry in entries.items()
         }
 
+    def draft(self) -> Draft:
+        """The next version, to be filled table by table."""
+        return Draft(self, self.version())
+
     def publish(
         self,
         tables: dict[str, DataFrame],
@@ -57,20 +67,11 @@ class SnapshotStore:
         Tables that are not given carry over from ``base``. Anything that
         raises before the last step leaves the published state as it was.
         """
-        entries = self._tables(base) if base else {}
-        folder = f"{self.root}/data/{uuid.uuid4().hex}"
-        written = {}
-        for name, rows in tables.items():
-            path = f"{folder}/{name}"
-            rows.write.parquet(path)
-            entries[name] = {"path": path, "schema": ", ".join(
-                f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema
-            )}
-            written[name] = self.spark.read.schema(rows.schema).parquet(path)
+        draft = Draft(self, base)
+        written = {name: draft.put(name, rows) for name, rows in tables.items()}
         if check is not None:
             check(written)
-        self._create_manifest(base + 1, json.dumps(entries))
-        return base + 1
+        return draft.publish()
 
     def _create_manifest(self, version: int, text: str) -> None:
         draft = self._path(f"{self.root}/manifests/{uuid.uuid4().hex}.draft")
@@ -89,3 +90,29 @@ class SnapshotStore:
             if "FileAlreadyExists" in str(error):
                 raise PublishConflict(f"version {version} was published by another load") from error
             raise
+
+
+class Draft:
+    """A version in the making. Its tables can be read back at once but are not visible to others."""
+
+    def __init__(self, store: SnapshotStore, base: int):
+        self._store, self.base = store, base
+        self._entries = store._tables(base)
+        self._folder = f"{store.root}/data/{uuid.uuid4().hex}"
+
+    def put(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write one table and return it as written."""
+        path = f"{self._folder}/{name}"
+        rows.write.parquet(path)
+        schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
+        self._entries[name] = {"path": path, "schema": schema}
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def put_all(self, loads: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Load independent tables at the same time, each straight into the draft."""
+        return together({name: lambda name=name, load=load: self.put(name, load()) for name, load in loads.items()})
+
+    def publish(self) -> int:
+        """Make every table visible together; tables not put carry over from the base version."""
+        self._store._create_manifest(self.base + 1, json.dumps(self._entries))
+        return self.base + 1
