@@ -77,7 +77,7 @@ def join_snowflake_view(spark, folder):
     (SELECT 1 FROM encounter e WHERE e.patient_id = p.patient_id AND e.encounter_date < DATE '1995-06-01')"""
 )
 def join_anti_not_exists(spark, folder):
-    early = B.encounters(spark, folder).where("encounter_date < DATE '1995-06-01'")
+    early = B.encounters(spark, folder).where("encounter_date < DATE '1995-06-01'").select("patient_id").distinct()
     return unseen(B.patients(spark, folder).select("patient_id", "city"), early, "patient_id")
 
 
@@ -90,7 +90,8 @@ def join_anti_composite(spark, folder):
     lines = tables.scan(spark, folder, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag"])
     # One row per key on both sides before they meet, so a hot order is one row.
     every = lines.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies"))
-    kept = unseen(every, lines.where("l_returnflag = 'R'"), ["l_orderkey", "l_linenumber"])
+    returned = lines.where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber").distinct()
+    kept = unseen(every, returned, ["l_orderkey", "l_linenumber"])
     return kept.toDF("order_id", "line_number", "copies")
 
 

@@ -311,14 +311,13 @@ def seed_missing_rows(spark, folder):
 )
 def run_encounter_star(spark, folder):
     store = warehouses.new_store(spark, "encounter")
-    everything = B.encounter_extract(spark, folder)
     moved = B.patients(spark, folder).withColumn("city", _moved()).drop("email")
     early = B.encounters(spark, folder).where(f"encounter_date < DATE '{SPLIT}'")
-    first = materialise(B.attach_children(B.patients(spark, folder).drop("email"), early, "patient_id"), "extract")
-    second = materialise(B.attach_children(moved, B.encounters(spark, folder), "patient_id"), "extract")
-    for run_id, extract in (("run-1", first), ("run-2", second)):
-        encounter.run(store, extract.select(*everything.columns), run_id, extract.count(), warehouses.AS_OF,
-                      warehouses.LOADED_AT)
+    first = B.attach_children(B.patients(spark, folder).drop("email"), early, "patient_id")
+    second = B.attach_children(moved, B.encounters(spark, folder), "patient_id")
+    for run_id, rows in (("run-1", first), ("run-2", second)):
+        extract, copied = tables.stage_counted(rows, f"{store.root}/stage/{run_id}")
+        encounter.run(store, extract, run_id, copied, warehouses.AS_OF, warehouses.LOADED_AT)
     now = store.read()
     audited = now["load_audit"].where("run_id = 'run-2'").first()["encounters"]
     return (

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from moorage import bindings as B
 from moorage.plans import appointment, encounter, sales
 from moorage.session import materialise, scratch_path
+from moorage.sources import tables
 from moorage.sources.store import SnapshotStore
 
 AS_OF = date(2002, 1, 1)
@@ -37,8 +38,8 @@ def staged_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _load_encounters(spark, folder, store):
-    extract = materialise(B.encounter_extract(spark, folder), "stage-extract")
-    encounter.run(store, extract, "run-1", extract.count(), AS_OF, LOADED_AT)
+    extract, copied = tables.stage_counted(B.encounter_extract(spark, folder), scratch_path(spark, "stage-extract"))
+    encounter.run(store, extract, "run-1", copied, AS_OF, LOADED_AT)
 
 
 def _load_star(spark, folder, store):

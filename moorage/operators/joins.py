@@ -26,6 +26,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
 
 
+def splits_skew(df: DataFrame) -> bool:
+    """Whether the session splits skewed join partitions by itself at run time."""
+    conf = df.sparkSession.conf
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(conf.get(name) == "true" for name in settings)
+
+
 def heavy_keys(rows: DataFrame, on: str, heavy_rows: int = HEAVY_ROWS) -> list:
     """The keys with the most rows, none below ``heavy_rows``.
 
@@ -40,12 +47,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a table that is unique on ``on``.
 
-    A small lookup is left to the planner, which broadcasts it. Otherwise the
-    rows of each heavy key are spread over as many slots as there are shuffle
-    partitions and only those few lookup rows are repeated per slot; all other
-    keys join as they are.
+    The planner broadcasts a small lookup, and adaptive execution cuts the
+    partition of a hot key into pieces from its real size. Where the session
+    has that turned off, the rows of each heavy key are spread over as many
+    slots as there are shuffle partitions and only those few lookup rows are
+    repeated per slot; all other keys join as they are.
     """
-    if fits_broadcast(lookup):
+    if splits_skew(rows) or fits_broadcast(lookup):
         return rows.join(lookup, on, how)
     heavy = heavy_keys(rows, on, heavy_rows)
     if not heavy:
@@ -89,6 +97,7 @@ def update_from(target: DataFrame, source: DataFrame, on: str, columns: list[str
 
 
 def unseen(rows: DataFrame, known: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key is not in ``known`` (NOT EXISTS)."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return rows.join(known.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key is not in ``known`` (NOT EXISTS). Where a key repeats in ``known``, pass it distinct."""
+    if isinstance(on, str):
+        return lookup_join(rows, known.select(on), on, "left_anti")
+    return rows.join(known.select(*on), list(on), "left_anti")

@@ -59,7 +59,7 @@ def extract_report(rows: DataFrame, now: dict[str, DataFrame] | None = None) ->
     """
 
     def incoming(table: str, *keys: str) -> DataFrame:
-        return rows if now is None else unseen(rows, now[table], list(keys))
+        return rows if now is None else unseen(rows, now[table], keys[0] if len(keys) == 1 else list(keys))
 
     lines = incoming("fact_sales", "order_id", "line_number").where(F.col("order_status") == COMPLETED)
     return quality.all_of(

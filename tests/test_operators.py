@@ -35,15 +35,19 @@ def test_no_new_rows_get_no_keys(spark):
 
 
 @pytest.fixture
-def no_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def no_help(spark):
+    """Neither broadcasts nor adaptive skew handling."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in off}
+    for name, value in off.items():
+        spark.conf.set(name, value)
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_hot_keys_are_spread_and_nothing_is_lost(spark, no_broadcast, how):
+def test_hot_keys_are_spread_and_nothing_is_lost(spark, no_help, how):
     # Key 1 and the unmatched key 77 hold most of the rows; some keys are NULL.
     facts = spark.range(0, 9000).select(
         "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 77)
@@ -52,11 +56,39 @@ def test_hot_keys_are_spread_and_nothing_is_lost(spark, no_broadcast, how):
     lookup = spark.range(0, 60).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v")).where("k <> 77")
     assert joins.heavy_keys(facts, "k", 1000) == [1, 77]
     spread = joins.lookup_join(facts, lookup, "k", how, heavy_rows=1000)
+    assert "_slot" in spread._jdf.queryExecution().analyzed().toString()
     order = ["id", "k"] + (["v"] if "v" in spread.columns else [])
     plain = facts.join(lookup, "k", how).select(*order)
     assert rows(reconcile.difference_counts(plain, spread.select(*order))) == [(0, 0, True)]
 
 
+def test_adaptive_execution_splits_a_hot_key(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        facts = spark.range(0, 200_000, 1, 8).select(
+            F.uuid().alias("id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("bigint").alias("k")
+        )
+        lookup = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+        joined = joins.lookup_join(facts, lookup, "k")
+        assert joined.count() == 200_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def test_children_are_attached_like_a_left_join(spark):
     parent = spark.range(0, 20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("p"))
     child = spark.range(0, 100).select((F.col("id") % 15).alias("k"), F.col("id").alias("c"))
