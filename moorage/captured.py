@@ -2,7 +2,9 @@
 
 One workflow run per order, one test iteration per order, one pipeline run per
 event. Every document is built inside its row and holds only a few entries, so
-the logs grow with the tables and no document grows with a hot key.
+the logs grow with the tables and no document grows with a hot key. Which
+responses fail or lack a field follows from the order's number and status, so
+that the SQL twins can state the answer without reading any JSON.
 """
 
 from __future__ import annotations

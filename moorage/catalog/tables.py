@@ -196,7 +196,7 @@ def publish_all_or_nothing(spark, folder):
         raise ValueError("gate refused")
 
     try:
-        store.publish({"patient": source["patient"].limit(0)}, before, refuse)
+        store.publish({"patient": source["patient"].withColumn("city", F.lit("wrong"))}, before, refuse)
         failed = False
     except ValueError:
         failed = True
