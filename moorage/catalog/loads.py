@@ -19,7 +19,7 @@ from moorage.functions import scalars as S
 from moorage.operators import audit, dims, facts, keys, quality, reconcile
 from moorage.operators.joins import unseen
 from moorage.plans import appointment, encounter, sales
-from moorage.session import materialise
+from moorage.session import materialise, together
 from moorage.sources import tables
 
 SPLIT = "1998-01-01"
@@ -349,10 +349,15 @@ def run_appointment_star(spark, folder):
 )
 def run_appointment_snowflake(spark, folder):
     store = warehouses.new_store(spark, "snowflake")
-    staged, counts = {}, {}
     source = {"patient": B.patients, "doctor": B.doctors, "appointment": B.appointments}
-    for name, read in source.items():
-        staged[name], counts[name] = tables.stage_counted(read(spark, folder), f"{store.root}/stage/{name}")
+    copies = together(
+        {
+            name: lambda name=name, read=read: tables.stage_counted(read(spark, folder), f"{store.root}/stage/{name}")
+            for name, read in source.items()
+        }
+    )
+    staged = {name: rows for name, (rows, _) in copies.items()}
+    counts = {name: copied for name, (_, copied) in copies.items()}
     appointment.run_snowflake(store, **staged, run_id="run-1", counts=counts, loaded_at=warehouses.LOADED_AT)
     now = store.read()
     return (

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from moorage import bindings as B
 from moorage.plans import appointment, encounter, sales
-from moorage.session import materialise, scratch_path
+from moorage.session import materialise, scratch_path, together
 from moorage.sources import tables
 from moorage.sources.store import SnapshotStore
 
@@ -26,11 +26,13 @@ def new_store(spark: SparkSession, name: str) -> SnapshotStore:
 
 
 def staged_appointments(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "patient": materialise(B.patients(spark, folder), "stage-patient"),
-        "doctor": materialise(B.doctors(spark, folder), "stage-doctor"),
-        "appointment": materialise(B.appointments(spark, folder), "stage-appointment"),
-    }
+    source = {"patient": B.patients, "doctor": B.doctors, "appointment": B.appointments}
+    return together(
+        {
+            name: lambda name=name, read=read: materialise(read(spark, folder), f"stage-{name}")
+            for name, read in source.items()
+        }
+    )
 
 
 def staged_sales(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,9 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def session(app: str = "moorage", **conf: str) -> SparkSession:
     """A session with the settings the library is written for; ``conf`` keys use ``__`` for dots."""
@@ -50,7 +53,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def together(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+def together(tasks: dict[str, Callable[[], T]]) -> dict[str, T]:
     """Run independent steps of a load at the same time; their jobs share the cluster."""
     with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
         running = {name: pool.submit(task) for name, task in tasks.items()}
