@@ -6,9 +6,9 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__
+from moorage.catalog import ORACLES, QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -20,6 +20,8 @@ def oracle():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= __spark_entry__.queries().keys()
+    assert ORACLES.keys() <= __spark_entry__.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
