@@ -76,10 +76,15 @@ def _bounded(items: DataFrame, key: str, text: str, width: int) -> tuple[DataFra
 
 
 def with_hits(docs: DataFrame, table: DataFrame, grams: list | None, *, key: str, text: str) -> DataFrame:
-    """``doc`` (the row as a struct), its ``words``, and ``hits``: verified (place, length), in order of place."""
-    ready = docs.select(F.struct("*").alias("doc")).withColumn("words", normal_words(F.col("doc")[text]))
+    """``doc`` (the row as a struct), its ``words``, and ``hits``: verified (place, length), in order of place.
+
+    Words and hits come out of one-element explodes: filters can't be moved
+    below those, where they would split the text again for every window.
+    """
+    split = normal_words(F.col("doc")[text])
+    ready = docs.select(F.struct("*").alias("doc")).select("doc", F.explode(F.array(split)).alias("words"))
     if grams is not None:
-        return ready.withColumn("hits", _hits_by_set(grams))
+        return ready.select("doc", "words", F.explode(F.array(_hits_by_set(grams))).alias("hits"))
     lengths = [row["length"] for row in table.select("length").distinct().orderBy("length").collect()]  # at most width
     places = F.concat(*[
         F.expr(
