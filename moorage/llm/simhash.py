@@ -13,7 +13,7 @@ fingerprints. Pairs whose distances to some pivot differ by more than ``bits``
 can't link (triangle inequality) and are discarded; survivors are verified bit
 by bit. A group sends one edge per linked fingerprint to its smallest one,
 never all pairs. Groups over ``MOST`` rows are dealt again under masks with
-more bits, until they fit; a mask of all but eleven bits bounds them for good.
+more bits, until they fit; the last masks leave at most 13 bits free, which bounds them for good.
 
 Defined results: a null text counts as an empty one; texts without words have
 fingerprint zero and link like any other; rows with equal or null ids are

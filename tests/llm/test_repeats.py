@@ -75,3 +75,8 @@ def test_odd_rows(odd, nothing):
     )
     assert all(r["n_removed"] == r["n_bytes"] for r in found if r["doc_id"] in (5, 6))
     assert repeats.remove(nothing).count() == 0
+
+
+def test_frequent_triggers_go_window_by_window(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST", 1)
+    check(spark, made(4, 40), 24, 12)
