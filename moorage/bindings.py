@@ -6,7 +6,7 @@ whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
@@ -62,26 +62,26 @@ extract AS (SELECT p.patient_id, given_name, family_name, birth_date, city, enco
 # -------------------------------------------------------------- appointments
 
 
+#: Appointment ids leave room for so many lines of an order.
+LINE_ROOM = 10_000
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines at one row per (order, line number): repeated numbers in the data are added up, none dropped."""
-    rows = scan(
-        spark, folder, "lineitem",
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag",
-         "l_shipdate"],
-    )
-    return rows.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("part"),
-        F.min("l_suppkey").alias("supplier"),
-        F.sum("l_quantity").cast("int").alias("quantity"),
-        S.money(F.max("l_extendedprice"), 12).alias("price"),
-        F.min("l_returnflag").alias("flag"),
-        F.max("l_shipdate").alias("shipped"),
+    """Every given line, numbered from one within its order; the given numbers repeat and only set the order."""
+    columns = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+    rows = scan(spark, folder, "lineitem", ["l_orderkey", *columns])
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*columns))
+    return rows.select(
+        "l_orderkey", place.alias("l_linenumber"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
+        F.col("l_quantity").cast("int").alias("quantity"), S.money(F.col("l_extendedprice"), 12).alias("price"),
+        F.col("l_returnflag").alias("flag"), F.col("l_shipdate").alias("shipped"),
     )
 
 
-LINE_SQL = """SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supplier,
-  CAST(sum(l_quantity) AS INTEGER) AS quantity, CAST(max(l_extendedprice) AS DECIMAL(12,2)) AS price,
-  min(l_returnflag) AS flag, max(l_shipdate) AS shipped FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+LINE_SQL = """SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+    l_quantity, l_extendedprice, l_returnflag, l_shipdate) AS INTEGER) AS l_linenumber, l_partkey AS part, l_suppkey AS supplier,
+  CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, l_returnflag AS flag,
+  l_shipdate AS shipped FROM lineitem"""
 
 
 def _status() -> Column:
@@ -100,7 +100,7 @@ def appointments(spark: SparkSession, folder: str, raw_end: bool = False) -> Dat
     starts = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))
     ends = F.col("shipped") if raw_end else starts + F.make_dt_interval(F.lit(0), F.lit(0), F.col("quantity"))
     return lookup_join(rows, orders, "o_orderkey").select(
-        (F.col("o_orderkey") * 10 + F.col("l_linenumber")).alias("appointment_id"),
+        (F.col("o_orderkey") * LINE_ROOM + F.col("l_linenumber")).alias("appointment_id"),
         F.col("o_custkey").alias("patient_id"),
         F.col("supplier").alias("doctor_id"),
         starts.alias("starts_at"),
@@ -114,7 +114,7 @@ def appointments(spark: SparkSession, folder: str, raw_end: bool = False) -> Dat
 def appointment_sql(raw_end: bool = False) -> str:
     starts = "o_orderdate + to_hours(l_linenumber)"
     ends = "shipped" if raw_end else f"{starts} + to_minutes(quantity)"
-    return f"""SELECT o_orderkey * 10 + l_linenumber AS appointment_id, o_custkey AS patient_id, supplier AS doctor_id,
+    return f"""SELECT o_orderkey * {LINE_ROOM} + l_linenumber AS appointment_id, o_custkey AS patient_id, supplier AS doctor_id,
   {starts} AS starts_at, {ends} AS ends_at, CASE WHEN flag = 'A' THEN 'Completed' WHEN flag = 'N' THEN 'Scheduled'
   WHEN shipped <= o_orderdate THEN 'NoShow' ELSE 'Cancelled' END AS status, 'Part ' || part AS reason,
   CAST(price AS DECIMAL(10,2)) AS cost FROM line JOIN orders ON o_orderkey = l_orderkey"""
@@ -145,6 +145,7 @@ appointment AS ({appointment_sql()})"""
 def sales_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     nation = scan(spark, folder, "nation", ["n_nationkey", "n_name"])
     supplier = scan(spark, folder, "supplier", ["s_suppkey", "s_name", "s_nationkey"])
+    prices = scan(spark, folder, "part", ["p_partkey", "p_retailprice"]).withColumnRenamed("p_partkey", "part")
     status = F.col("o_orderstatus")
     return {
         "customer": scan(spark, folder, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"]).select(
@@ -165,10 +166,10 @@ def sales_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.when(status == "F", "Completed").when(status == "O", "Open").otherwise("Pending").alias("order_status"),
         ),
-        "line": order_lines(spark, folder).select(
+        "line": lookup_join(order_lines(spark, folder), prices, "part").select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"),
             F.col("part").alias("product_id"), F.col("supplier").alias("store_id"), "quantity",
-            F.col("price").alias("unit_price"),
+            S.money(F.col("p_retailprice"), 12).alias("unit_price"),
         ),
     }
 
@@ -179,7 +180,7 @@ extract AS (SELECT o_orderkey AS order_id, l_linenumber AS line_number, c_custke
   p_partkey AS product_id, p_name AS product_name, p_type AS category_name, s_suppkey AS store_id,
   s_name AS store_name, n_name AS store_city, CAST(o_orderdate AS DATE) AS order_date,
   CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Open' ELSE 'Pending' END AS order_status,
-  quantity, price AS unit_price, c_nationkey
+  quantity, CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price, c_nationkey
   FROM line JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
   JOIN part ON p_partkey = line.part JOIN supplier ON s_suppkey = line.supplier
   JOIN nation ON n_nationkey = s_nationkey)"""

@@ -195,7 +195,7 @@ _BODIES = {
 def sample_api_log(spark: SparkSession, folder: str, steps: list[str] | None = None) -> DataFrame:
     """One row per (run, step) with the response as JSON text."""
     columns = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    orders = spread(scan(spark, folder, "orders", columns))
+    orders = spread(scan(spark, folder, "orders", columns), spark.sparkContext.defaultParallelism)
     rows = ", ".join(
         f"named_struct('seq', {logs.STEPS[step].seq}, 'step', '{step}', 'body', to_json({_BODIES[step]}))"
         for step in steps or _BODIES
@@ -231,7 +231,7 @@ def sample_reports(spark: SparkSession, folder: str) -> DataFrame:
       'status', {status}, 'test', if({_K} % 2 = 0, named_struct('filename', concat('file ', r)), null),
       'response', named_struct('status', if({_K} % 3 = 0, null, 200), 'duration', cast({_K} % 1000 AS int)),
       'testResults', {tests})"""
-    rows = spread(scan(spark, folder, "orders", ["o_orderkey"]))
+    rows = spread(scan(spark, folder, "orders", ["o_orderkey"]), spark.sparkContext.defaultParallelism)
     results = rows.select("o_orderkey", F.expr(f"transform(sequence(0, cast({_K} % 3 AS int)), r -> {result})").alias("results"))
     all_tests = "flatten(transform(results, x -> coalesce(x.testResults, array())))"
     clean = "x.status = 'pass' AND NOT exists(coalesce(x.testResults, array()), t -> t.status = 'fail')"
@@ -253,7 +253,7 @@ def parsed_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 def sample_pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
     """One pipeline run per event: copy, load and validate; a run in progress lists no activity."""
-    rows = spread(scan(spark, folder, "events", ["event_id", "event_type", "value", "props"]))
+    rows = spread(scan(spark, folder, "events", ["event_id", "event_type", "value", "props"]), spark.sparkContext.defaultParallelism)
     k = "cast(get_json_object(props, '$.k') AS bigint)"
     rows_found = """named_struct('rowCount', 2, 'rows', array(
       map('ValidatedFactRows', cast(event_id AS string), 'Kind', event_type),

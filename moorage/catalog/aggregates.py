@@ -134,7 +134,7 @@ def agg_all_pass(spark, folder):
     FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
 )
 def agg_count_distinct_names(spark, folder):
-    lines = tables.scan(spark, folder, "lineitem", ["l_orderkey", "l_linenumber"]).distinct()
+    lines = tables.scan(spark, folder, "lineitem", ["l_orderkey", "l_linenumber"])
     names = lines.groupBy(F.col("l_orderkey").alias("order_key")).agg(F.count_distinct("l_linenumber").alias("names"))
     return names.withColumn("expected", F.col("names") == 4)
 

@@ -234,7 +234,8 @@ def rename_prefix_columns(spark, folder):
 
 @query(
     f"""WITH line AS ({B.LINE_SQL}) SELECT l_orderkey AS order_id, l_linenumber AS line_number,
-    CAST(quantity * price AS DECIMAL(14,2)) AS sales_amount FROM line"""
+    CAST(quantity * CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(14,2)) AS sales_amount
+    FROM line JOIN part ON p_partkey = line.part"""
 )
 def computed_amount(spark, folder):
     from moorage.operators.facts import with_amount

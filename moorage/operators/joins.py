@@ -2,72 +2,18 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this is no trouble for one task.
-HEAVY_ROWS = 1_000_000
-# More heavy keys than this cannot each hold a large share.
-MOST_HEAVY_KEYS = 1_000
-
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
-
-
-def _bytes(setting: str) -> int:
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", setting.strip().lower()).groups()
-    return int(number) * _UNITS[unit]
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's own size for ``df`` is under its broadcast limit."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
-
-
-def splits_skew(df: DataFrame) -> bool:
-    """Whether the session splits skewed join partitions by itself at run time."""
-    conf = df.sparkSession.conf
-    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
-    return all(conf.get(name) == "true" for name in settings)
 
-
-def heavy_keys(rows: DataFrame, on: str, heavy_rows: int = HEAVY_ROWS) -> list:
-    """The keys with the most rows, none below ``heavy_rows``.
-
-    Counting combines on the map side, so a hot key costs one row per task.
-    """
-    counts = rows.where(F.col(on).isNotNull()).groupBy(on).count().where(F.col("count") >= heavy_rows)
-    return [row[0] for row in counts.orderBy(F.desc("count"), on).limit(MOST_HEAVY_KEYS).collect()]
-
-
-def lookup_join(
-    rows: DataFrame, lookup: DataFrame, on: str, how: str = "inner", heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join many rows to a table that is unique on ``on``.
 
-    The planner broadcasts a small lookup, and adaptive execution cuts the
-    partition of a hot key into pieces from its real size. Where the session
-    has that turned off, the rows of each heavy key are spread over as many
-    slots as there are shuffle partitions and only those few lookup rows are
-    repeated per slot; all other keys join as they are.
+    The planner broadcasts a lookup that is under the session's own limit, and
+    adaptive execution, which the library's session turns on, cuts the
+    partition of a hot key into pieces from its real size, whatever that is.
     """
-    if splits_skew(rows) or fits_broadcast(lookup):
-        return rows.join(lookup, on, how)
-    heavy = heavy_keys(rows, on, heavy_rows)
-    if not heavy:
-        return rows.join(lookup, on, how)
-    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_heavy = F.coalesce(F.col(on).isin(heavy), F.lit(False))
-    # The slot depends on the row's content only, so a rerun task sends it the same way.
-    spread = rows.withColumn(
-        "_slot", F.when(is_heavy, F.pmod(F.xxhash64(*rows.columns), F.lit(slots)).cast("int")).otherwise(0)
-    )
-    repeated = lookup.withColumn(
-        "_slot", F.explode(F.when(is_heavy, F.sequence(F.lit(0), F.lit(slots - 1))).otherwise(F.array(F.lit(0))))
-    )
-    return spread.join(repeated, [on, "_slot"], how).drop("_slot")
+    return rows.join(lookup, on, how)
 
 
 def attach_children(parent: DataFrame, child: DataFrame, on: str) -> DataFrame:

@@ -161,6 +161,30 @@ def longest(lengths: dict[str, int], code: int) -> list[Rule]:
     return [Rule(f"{column}_length", code, F.char_length(column) > size) for column, size in lengths.items()]
 
 
+# Codes of the database's own refusals.
+NOT_NULL, CHECK, UNIQUE, TOO_LONG = 515, 547, 2627, 2628
+CONTRACT_MESSAGES = {
+    NOT_NULL: "A required column is NULL", UNIQUE: "A key is repeated", TOO_LONG: "A text is too long",
+    CHECK: "A value is outside its range",
+}
+
+
+def contract(
+    rows: DataFrame, key: str, needed: list[str], lengths: dict[str, int], checks: tuple[Rule, ...] = (),
+    unique: tuple[str, ...] = (),
+) -> DataFrame:
+    """Required columns, text lengths and checks of a staged table in one pass, and its key if it has one."""
+    rules = [*required(needed, NOT_NULL), *longest(lengths, TOO_LONG), *checks]
+    keyed = [duplicate_key(rows, list(unique), f"{key}_unique", UNIQUE)] if unique else []
+    return all_of([row_rules(rows, rules, key), *keyed])
+
+
+def same_columns(load: str, rows: DataFrame, columns: list[str]) -> None:
+    """Refuse a staged table that lacks a column of its contract."""
+    if missing := [name for name in columns if name not in rows.columns]:
+        raise LoadError(load, 207, f"Columns missing from the staged table: {', '.join(missing)}")
+
+
 def schema_differences(actual: DataFrame, contract: dict[str, str]) -> list[tuple[str, str]]:
     """Columns missing from, added to or typed differently than the contract."""
     found = {field.name: field.dataType.simpleString() for field in actual.schema}
@@ -175,12 +199,13 @@ def all_of(reports: list[DataFrame]) -> DataFrame:
 
 
 def gate(report: DataFrame, load: str, messages: dict[int, str]) -> None:
-    """Raise for the first broken rule in the order in which ``messages`` lists the codes."""
-    broken = {row["code"]: row for row in report.where("violations > 0").collect()}
+    """Raise for the first broken code in the order of ``messages``, naming every rule broken under it."""
+    broken: dict[int, list[str]] = {}
+    for row in report.where("violations > 0").orderBy("code", "rule").collect():  # one row per rule
+        broken.setdefault(row["code"], []).append(f"{row['violations']} x {row['rule']}, e.g. {row['sample_key']}")
     for code, message in messages.items():
         if code in broken:
-            row = broken[code]
-            raise LoadError(load, code, f"{message} ({row['violations']} x {row['rule']}, e.g. {row['sample_key']})")
+            raise LoadError(load, code, f"{message} ({'; '.join(broken[code])})")
 
 
 def lookup_left(rows: DataFrame, lookup: DataFrame, on: str, marker: str) -> DataFrame:

@@ -12,28 +12,25 @@ from pyspark.sql import functions as F
 from moorage.functions import scalars as S
 from moorage.operators.joins import lookup_join
 
-# Steps of a run that one task looks at together.
-BLOCK = 100_000
-
-
-def as_of(events: DataFrame, probes: DataFrame, block: int = BLOCK) -> DataFrame:
+def as_of(events: DataFrame, probes: DataFrame, block: int = 100_000) -> DataFrame:
     """The value of each probed ``(run_id, name)`` just before step ``seq``; NULL if cleared or never set.
 
     Events and probes are merged and scanned in order, never paired. A long
     run is cut into blocks of steps: each block is scanned on its own, and
-    takes over what the blocks before it left behind.
+    takes over what the blocks before it left behind; ``block`` is the number of
+    steps in one. Of two settings at the same step the greater value counts.
     """
     merged = events.select("run_id", "name", "seq", F.struct("value").alias("setting"), F.lit(False).alias("probe")).unionByName(
         probes.select("run_id", "name", "seq", F.lit(True).alias("probe")), allowMissingColumns=True
     )
-    merged = merged.withColumn("block", F.floor(F.col("seq") / block))
+    merged = merged.withColumn("block", F.expr(f"seq div {int(block)}"))
     keys = ["run_id", "name", "block"]
     in_block = (
-        Window.partitionBy(*keys).orderBy("seq", F.desc("probe")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys).orderBy("seq", F.desc("probe"), F.col("setting").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     scanned = merged.withColumn("inside", F.last("setting", ignorenulls=True).over(in_block)).where("probe")
     left_behind = merged.groupBy(*keys).agg(
-        F.max_by("setting", F.when(F.col("setting").isNotNull(), F.col("seq"))).alias("setting")
+        F.max_by("setting", F.when(F.col("setting").isNotNull(), F.struct("seq", "setting"))).alias("setting")
     )
     earlier = Window.partitionBy("run_id", "name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = left_behind.select(*keys, F.last("setting", ignorenulls=True).over(earlier).alias("carried"))
@@ -43,8 +40,8 @@ def as_of(events: DataFrame, probes: DataFrame, block: int = BLOCK) -> DataFrame
 
 
 def final_state(events: DataFrame) -> DataFrame:
-    """Last value of each variable; a clear stays NULL."""
-    return events.groupBy("run_id", "name").agg(F.max_by(F.struct("value"), "seq")["value"].alias("value"))
+    """Last value of each variable; a clear stays NULL. Of two settings at the same step the greater value counts."""
+    return events.groupBy("run_id", "name").agg(F.max_by(F.struct("value"), F.struct("seq", "value"))["value"].alias("value"))
 
 
 def usable(events: DataFrame) -> DataFrame:

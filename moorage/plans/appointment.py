@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moorage.functions import scalars as S
 from moorage.operators import audit, dims, facts, quality
 from moorage.operators.joins import lookup_join
+from moorage.operators.quality import LoadError
 from moorage.session import materialise
 from moorage.sources.store import SnapshotStore
 
@@ -19,12 +20,17 @@ STATUSES = ["Scheduled", "Completed", "Cancelled", "NoShow"]
 PATIENT = ["given_name", "family_name", "birth_date", "city", "email"]
 DOCTOR = ["given_name", "family_name", "specialty", "email", "is_active"]
 # Gate codes of this load, in the order in which they are checked.
-MESSAGES = {
+MESSAGES = quality.CONTRACT_MESSAGES | {
     51004: "Staging counts do not match copy counts",
     51001: "Patient and doctor staging data must not be empty",
     51002: "An appointment references a missing patient or doctor",
     51003: "Invalid appointment time, cost or status",
+    51005: "A key lookup lost rows",
 }
+# Longest texts of the staged tables.
+PATIENT_LENGTHS = {"given_name": 50, "family_name": 50, "city": 80, "email": 254}
+DOCTOR_LENGTHS = {"given_name": 50, "family_name": 50, "specialty": 100, "email": 254}
+APPOINTMENT_LENGTHS = {"status": 20, "reason": 200}
 QUALITY_MESSAGES = {
     51100: "Warehouse has no appointments",
     51101: "Invalid appointment relationship, date, status, count or amount",
@@ -86,6 +92,26 @@ def stage_report(
     )
 
 
+def contract_report(patient: DataFrame, doctor: DataFrame, appointment: DataFrame) -> DataFrame:
+    """Keys, required columns and text lengths of the staged tables."""
+    reports = []
+    for rows, key, needed, lengths in (
+        (patient, "patient_id", [name for name in PATIENT if name != "email"], PATIENT_LENGTHS),
+        (doctor, "doctor_id", DOCTOR, DOCTOR_LENGTHS),
+        (appointment, "appointment_id",
+         ["patient_id", "doctor_id", "starts_at", "ends_at", "status", "reason", "cost"], APPOINTMENT_LENGTHS),
+    ):
+        quality.same_columns(LOAD, rows, [key, *needed, *lengths])
+        reports.append(quality.contract(rows, key, [key, *needed], lengths, unique=(key,)))
+    return quality.all_of(reports)
+
+
+def _kept_all(rows: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """``rows``, after a check that the lookup that made them lost nothing of ``source``."""
+    quality.gate(quality.same_count(rows, source, name, 51005), LOAD, MESSAGES)
+    return rows
+
+
 def fact_rows(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFrame) -> DataFrame:
     keyed = facts.with_dimension_keys(
         appointment,
@@ -99,14 +125,18 @@ def fact_rows(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFr
 
 def _load_facts(now: dict[str, DataFrame], new: dict[str, DataFrame], appointment: DataFrame) -> DataFrame:
     rows = materialise(fact_rows(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
+    _kept_all(rows, appointment, "appointment_lookup")
     return facts.upsert(now["fact_appointment"], rows, "appointment_id", "appointment_key")
 
 
 def run_star(store: SnapshotStore, patient: DataFrame, doctor: DataFrame, appointment: DataFrame) -> int:
     """Load staged tables into dimensions that hold city and specialty as text."""
-    quality.gate(stage_report(patient, doctor, appointment), LOAD, MESSAGES)
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark, STAR)
+    if "dim_city" in now:
+        raise LoadError(LOAD, 50000, "The warehouse is a snowflake; use the snowflake load")
+    report = quality.all_of([contract_report(patient, doctor, appointment), stage_report(patient, doctor, appointment)])
+    quality.gate(report, LOAD, MESSAGES)
     new = draft.put_all(
         {
             "dim_patient": lambda: dims.load_type1(
@@ -125,7 +155,8 @@ def load_with_outrigger(
     natural_key: str, key: str, collation: str | None = None,
 ) -> DataFrame:
     """Type 1 load of a dimension that holds the outrigger's key in place of the text."""
-    keyed = dims.swap_text_for_key(source, outrigger, text, name, outrigger_key, collation)
+    keyed = materialise(dims.swap_text_for_key(source, outrigger, text, name, outrigger_key, collation), f"keyed-{text}")
+    _kept_all(keyed, source, f"{text}_lookup")
     attributes = [column for column in dim.columns if column not in (natural_key, key)]
     return dims.load_type1(dim, keyed, natural_key, attributes, key)
 
@@ -156,8 +187,10 @@ def run_snowflake(
     run_id: str | None = None, counts: dict[str, int | None] | None = None, loaded_at: datetime | None = None,
     collation: str | None = None,
 ) -> int:
-    """Load staged tables through city and specialty outriggers; audits when a run id is given."""
-    quality.gate(stage_report(patient, doctor, appointment, counts), LOAD, MESSAGES)
+    """Load staged tables through city and specialty outriggers; audits when a run id is given, by default as of now."""
+    report = [contract_report(patient, doctor, appointment), stage_report(patient, doctor, appointment, counts)]
+    quality.gate(quality.all_of(report), LOAD, MESSAGES)
+    loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None)
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark, SNOWFLAKE)
 

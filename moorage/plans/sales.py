@@ -15,7 +15,16 @@ COMPLETED = "Completed"
 CUSTOMER = ["customer_name", "customer_city", "country_code"]
 PRODUCT = ["product_name", "category_name"]
 STORE = ["store_name", "store_city"]
-MESSAGES = {1: "Conflicting attributes for a dimension key", 2: "Repeated order line"}
+MESSAGES = quality.CONTRACT_MESSAGES | {1: "Conflicting attributes for a dimension key", 2: "Repeated order line"}
+NEEDED = [
+    "order_id", "line_number", "customer_id", *CUSTOMER, "product_id", *PRODUCT, "store_id", *STORE, "order_date",
+    "order_status", "quantity", "unit_price",
+]
+# Longest texts of the staged table.
+LENGTHS = {
+    "customer_name": 100, "customer_city": 80, "country_code": 2, "product_name": 100, "category_name": 80,
+    "store_name": 100, "store_city": 80, "order_status": 20,
+}
 _DIMS = {
     "dim_customer": "customer_key bigint, customer_id bigint, customer_name string, customer_city string, "
     "country_code string",
@@ -76,6 +85,17 @@ def extract_report(rows: DataFrame, now: dict[str, DataFrame] | None = None) ->
     )
 
 
+def staged_report(rows: DataFrame) -> DataFrame:
+    """Required columns and text lengths of the extract, and the ranges of what becomes a fact."""
+    quality.same_columns(LOAD, rows, NEEDED)
+    sold = F.col("order_status") == COMPLETED
+    checks = (
+        quality.Rule("quantity_positive", quality.CHECK, sold & ~(F.col("quantity") > 0)),
+        quality.Rule("price_not_negative", quality.CHECK, sold & ~(F.col("unit_price") >= 0)),
+    )
+    return quality.contract(rows, "order_id", NEEDED, LENGTHS, checks)
+
+
 def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_date") -> DataFrame:
     """Completed lines with their dimension keys and amount."""
     keyed = facts.with_dimension_keys(
@@ -97,7 +117,7 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
     """Insert-only load: known dimension rows and facts stay as they are. ``rows`` is read several times."""
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark)
-    quality.gate(extract_report(rows, now), LOAD, MESSAGES)
+    quality.gate(quality.all_of([staged_report(rows), extract_report(rows, now)]), LOAD, MESSAGES)
     new = draft.put_all(
         {
             "dim_date": lambda: dims.load_dates_named(now["dim_date"], rows, "order_date"),
@@ -117,7 +137,7 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
 
 def run_rebuild(store: SnapshotStore, rows: DataFrame) -> int:
     """Full rebuild; ``order_date`` is ISO text and keys start at one again."""
-    quality.gate(extract_report(rows), LOAD, MESSAGES)
+    quality.gate(quality.all_of([staged_report(rows), extract_report(rows)]), LOAD, MESSAGES)
     no_dates = store.spark.createDataFrame(
         [], "date_key int, calendar_date string, calendar_year int, calendar_month int"
     )

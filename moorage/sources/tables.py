@@ -13,14 +13,9 @@ def scan(spark: SparkSession, folder: str, table: str, columns: list[str] | None
     return rows.select(*columns) if columns else rows
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Give every core a part of a scan that has fewer splits than the cluster has cores.
-
-    Meant for costly work per row, such as parsing documents. A large scan has
-    more splits than that and is left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *rows.columns) if rows.rdd.getNumPartitions() < cores else rows
+def spread(rows: DataFrame, parts: int) -> DataFrame:
+    """Deal rows out to ``parts`` tasks, by their content, before costly work per row such as parsing documents."""
+    return rows.repartition(parts, *rows.columns)
 
 
 def scan_jdbc(spark: SparkSession, url: str, query: str, split: tuple[str, int, int, int] | None = None, **options):

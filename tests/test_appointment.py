@@ -59,6 +59,10 @@ def planted(**fields):
         ({"appointments": planted(cost=Decimal(-1))}, None, 51003),
         ({"appointments": planted(status="Other")}, None, 51003),
         ({"doctors": []}, None, 51001),
+        ({"patients": [*PATIENTS, PATIENTS[0]]}, None, 2627),
+        ({"appointments": [*APPOINTMENTS, APPOINTMENTS[0]]}, None, 2627),
+        ({"patients": [(*PATIENTS[0][:4], None, None), *PATIENTS[1:]]}, None, 515),
+        ({"patients": [(*PATIENTS[0][:4], "x" * 81, None), *PATIENTS[1:]]}, None, 2628),
         ({}, {"appointment": 9}, 51004),
     ],
 )
@@ -70,6 +74,21 @@ def test_rejected_input_leaves_the_state(spark, store, tables, counts, code):
     assert store.version() == 1 and store.read()["fact_appointment"].count() == 8
 
 
+def test_star_load_refuses_a_snowflake(spark, store):
+    snowflake(spark, store)
+    with pytest.raises(quality.LoadError):
+        appointment.run_star(store, **staged(spark))
+    assert store.version() == 1
+
+
+def test_missing_column_and_default_audit_time(spark, store):
+    tables = staged(spark)
+    with pytest.raises(quality.LoadError):
+        appointment.run_snowflake(store, tables["patient"].drop("city"), tables["doctor"], tables["appointment"])
+    appointment.run_snowflake(store, **tables, run_id="now")
+    assert store.read()["load_audit"].where("loaded_at > '2024-01-01'").count() == 1
+
+
 def test_migration_keeps_keys_and_facts(spark, store):
     appointment.run_star(store, **staged(spark))
     star = store.read()

@@ -1,5 +1,6 @@
 """Keys, joins, reconciliation, checks and the store, against brute force."""
 
+import os
 import random
 from collections import Counter
 
@@ -7,7 +8,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from moorage.operators import dims, joins, keys, quality, reconcile
+from moorage import bindings
+from moorage.operators import dims, joins, keys, quality, reconcile, workflow
 from moorage.session import scratch_path
 from moorage.sources import tables
 from moorage.sources.store import PublishConflict
@@ -34,32 +36,17 @@ def test_no_new_rows_get_no_keys(spark):
     assert rows(keys.allocate_keys(spark.createDataFrame([("b",)], "name string"), "name", "key", known)) == [(5, "b")]
 
 
-@pytest.fixture
-def no_help(spark):
-    """Neither broadcasts nor adaptive skew handling."""
-    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
-    before = {name: spark.conf.get(name) for name in off}
-    for name, value in off.items():
-        spark.conf.set(name, value)
-    yield
-    for name, value in before.items():
-        spark.conf.set(name, value)
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_hot_keys_are_spread_and_nothing_is_lost(spark, no_help, how):
-    # Key 1 and the unmatched key 77 hold most of the rows; some keys are NULL.
-    facts = spark.range(0, 9000).select(
-        "id", F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 77)
-        .when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 50).cast("bigint").alias("k")
+def test_many_hot_keys_lose_nothing(spark, how):
+    # 1,500 keys of equal weight besides an unmatched one and NULLs that hold most of the rows.
+    facts = spark.range(0, 30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7777).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 1500).alias("k")
     )
-    lookup = spark.range(0, 60).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v")).where("k <> 77")
-    assert joins.heavy_keys(facts, "k", 1000) == [1, 77]
-    spread = joins.lookup_join(facts, lookup, "k", how, heavy_rows=1000)
-    assert "_slot" in spread._jdf.queryExecution().analyzed().toString()
-    order = ["id", "k"] + (["v"] if "v" in spread.columns else [])
-    plain = facts.join(lookup, "k", how).select(*order)
-    assert rows(reconcile.difference_counts(plain, spread.select(*order))) == [(0, 0, True)]
+    lookup = spark.range(0, 1400).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    joined = joins.lookup_join(facts, lookup, "k", how).collect()
+    known = set(range(1400))
+    want = [(r["id"], r["k"]) for r in facts.collect() if how == "left" or (r["k"] in known) == (how != "left_anti")]
+    assert sorted((r["id"], r["k"] if r["k"] is not None else -1) for r in joined) == sorted((i, -1 if k is None else k) for i, k in want)
 
 
 def test_adaptive_execution_splits_a_hot_key(spark):
@@ -132,6 +119,34 @@ def test_gate_reports_the_first_code(spark):
         quality.gate(report, "load", {0: "none", 1: "first", 2: "second"})
 
 
+def test_gate_names_every_rule_of_the_code(spark):
+    report = spark.createDataFrame([("patient", 1, 7, "x"), ("doctor", 1, 2, "y")], "rule string, code int, violations bigint, sample_key string")
+    with pytest.raises(quality.LoadError) as refused:
+        quality.gate(report, "load", {1: "first"})
+    assert "7 x patient, e.g. x" in refused.value.message and "2 x doctor, e.g. y" in refused.value.message
+
+
+def test_two_settings_at_one_step(spark):
+    events = spark.createDataFrame([("r", "n", 2**60, "a"), ("r", "n", 2**60, "b"), ("r", "n", 1, None)], "run_id string, name string, seq bigint, value string")
+    probes = spark.createDataFrame([("r", "n", 2**60 + 1), ("r", "n", 2**60), ("r", "n", 2**62)], "run_id string, name string, seq bigint")
+    for frame in (events, events.orderBy("value"), events.orderBy(F.desc("value"))):
+        assert rows(workflow.as_of(frame, probes), "seq", "value")[1:] == [(2**60 + 1, "b"), (2**62, "b")]
+        assert rows(workflow.final_state(frame), "value") == [("b",)]
+
+
+def test_every_line_is_kept(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    given = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = bindings.order_lines(spark, folder)
+    cents = lambda name: F.sum((F.col(name) * 100).cast("decimal(20,0)"))
+    assert lines.agg(F.count("*"), cents("price")).first() == given.agg(F.count("*"), cents("l_extendedprice")).first()
+    assert lines.groupBy("l_orderkey", "l_linenumber").count().where("count > 1").isEmpty()
+    ids = bindings.appointments(spark, folder).select("appointment_id")
+    assert ids.count() == ids.distinct().count() == given.count()
+
+
 def test_contract(spark):
     frame = spark.createDataFrame([], "a int, b string")
     assert quality.schema_differences(frame, {"a": "bigint", "c": "string"}) == [

@@ -44,6 +44,18 @@ def test_insert_only(spark, store):
     assert rows(store.read()["fact_sales"].where("order_id = 4009"), "sales_key", "customer_key") == [(4, 4)]
 
 
+@pytest.mark.parametrize("fields, code", [({"quantity": -3}, 547), ({"unit_price": Decimal("-1.00")}, 547), ({"store_name": None}, 515)])
+def test_rows_outside_the_contract_are_refused(spark, store, fields, code):
+    sales.run_star(store, frame(spark))
+    sold = next(i for i, row in enumerate(SALES) if "Completed" in row)
+    fresh = [(r[0] + 100, *r[1:]) for r in changed(sold, **fields)]
+    for load in (lambda rows: sales.run_star(store, rows), lambda rows: sales.run_rebuild(store, rows.withColumn("order_date", F.col("order_date").cast("string")))):
+        with pytest.raises(LoadError) as refused:
+            load(frame(spark, fresh))
+        assert refused.value.code == code
+    assert store.version() == 1
+
+
 def test_known_ids_cannot_conflict_but_new_ones_can(spark, store):
     sales.run_star(store, frame(spark))
     sales.run_star(store, frame(spark, changed(0, customer_city="Hull")))
