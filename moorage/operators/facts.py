@@ -27,11 +27,6 @@ def with_dimension_keys(rows: DataFrame, lookups: list[Lookup]) -> DataFrame:
     return rows
 
 
-def _append(fact: DataFrame, new: DataFrame, natural_key: list[str], key: str) -> DataFrame:
-    added = allocate_keys(new, natural_key, key, fact)
-    return fact.unionByName(added.select(*fact.columns))
-
-
 def upsert(fact: DataFrame, rows: DataFrame, natural_key: str, key: str) -> DataFrame:
     """Update facts by natural id, add unseen ids, keep the rest. ``rows`` is unique on the id."""
     measures = [name for name in fact.columns if name not in (natural_key, key)]
@@ -41,10 +36,15 @@ def upsert(fact: DataFrame, rows: DataFrame, natural_key: str, key: str) -> Data
     return kept.unionByName(added.select(*fact.columns))
 
 
+def new_facts(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:
+    """The rows with an unseen natural key, with keys above those in use."""
+    rows = rows.select(*[name for name in fact.columns if name != key])
+    return allocate_keys(unseen(rows, fact, natural_key), natural_key, key, fact).select(*fact.columns)
+
+
 def insert_only(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     """Add facts with an unseen natural key; later changes to known ones are ignored."""
-    rows = rows.select(*[name for name in fact.columns if name != key])
-    return _append(fact, unseen(rows, fact, natural_key), natural_key, key)
+    return fact.unionByName(new_facts(fact, rows, natural_key, key))
 
 
 def rebuild(rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:

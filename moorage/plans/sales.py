@@ -130,8 +130,8 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
             "dim_store": lambda: dims.load_insert_only(now["dim_store"], rows, "store_id", STORE, "store_key"),
         },
     )
-    sold = facts.insert_only(now["fact_sales"], fact_rows(rows, new), ["order_id", "line_number"], "sales_key")
-    draft.put("fact_sales", sold)
+    sold = facts.new_facts(now["fact_sales"], fact_rows(rows, new), ["order_id", "line_number"], "sales_key")
+    draft.append("fact_sales", sold)
     return draft.publish()
 
 

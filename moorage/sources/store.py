@@ -36,7 +36,7 @@ class SnapshotStore:
         names = [status.getPath().getName() for status in found]
         return max((int(name[:-5]) for name in names if name.endswith(".json")), default=0)
 
-    def _tables(self, version: int) -> dict[str, dict[str, str]]:
+    def _tables(self, version: int) -> dict[str, dict]:
         if version == 0:
             return {}
         stream = self._files.open(self._path(f"{self.root}/manifests/{version:09d}.json"))
@@ -48,9 +48,14 @@ class SnapshotStore:
     def read(self, version: int | None = None) -> dict[str, DataFrame]:
         """Every table as of one version, all from the same one."""
         entries = self._tables(self.version() if version is None else version)
-        return {
-            name: self.spark.read.schema(entry["schema"]).parquet(entry["path"]) for name, entry in entries.items()
-        }
+        return {name: self._read(entry) for name, entry in entries.items()}
+
+    def _read(self, entry: dict) -> DataFrame:
+        return self.spark.read.schema(entry["schema"]).parquet(*entry["paths"])
+
+    def paths(self, name: str, version: int | None = None) -> list[str]:
+        """The folders that hold a table's rows as of one version, oldest first."""
+        return self._tables(self.version() if version is None else version)[name]["paths"]
 
     def draft(self) -> Draft:
         """The next version, to be filled table by table."""
@@ -105,9 +110,20 @@ class Draft:
         path = f"{self._folder}/{name}"
         rows.write.parquet(path)
         schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
-        self._entries[name] = {"path": path, "schema": schema}
+        self._entries[name] = {"paths": [path], "schema": schema}
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """Add rows to a table of the base version, whose files stay as they are; no rows leave it unchanged."""
+        if name not in self._entries:
+            return self.put(name, rows)
+        entry = self._entries[name]
+        path = f"{self._folder}/{name}"
+        rows.write.parquet(path)
+        if not rows.sparkSession.read.schema(rows.schema).parquet(path).isEmpty():
+            self._entries[name] = {"paths": [*entry["paths"], path], "schema": entry["schema"]}
+        return self._store._read(self._entries[name])
+
     def put_all(self, loads: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Load independent tables at the same time, each straight into the draft."""
         return together({name: lambda name=name, load=load: self.put(name, load()) for name, load in loads.items()})

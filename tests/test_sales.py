@@ -42,6 +42,9 @@ def test_insert_only(spark, store):
     new = changed(0, order_id=4009, customer_id=90, order_date=date(2026, 8, 1))[:1]
     sales.run_star(store, frame(spark, new))
     assert rows(store.read()["fact_sales"].where("order_id = 4009"), "sales_key", "customer_key") == [(4, 4)]
+    # Files of known facts are carried over; only a load with new facts adds a folder.
+    assert store.paths("fact_sales", 3) == store.paths("fact_sales", 1)
+    assert store.paths("fact_sales", 4)[:-1] == store.paths("fact_sales", 1)
 
 
 @pytest.mark.parametrize("fields, code", [({"quantity": -3}, 547), ({"unit_price": Decimal("-1.00")}, 547), ({"store_name": None}, 515)])
