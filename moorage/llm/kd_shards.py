@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,13 +98,23 @@ def _widest(rows: DataFrame, nodes: list[Node], spread: list[int], dims: int) ->
     return found
 
 
-SEARCH = "node long, dim int, low long, high long, before long, want double"
+def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A small table as SQL values; None is null."""
+    names = [column.split()[0] for column in columns.split(", ")]
+    if not rows:
+        return spark.sql("select " + ", ".join(f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in columns.split(", ")) + " where false")
+    listed = ", ".join("(" + ", ".join("null" if v is None else repr(v) for v in row) + ")" for row in rows)
+    casts = ", ".join(f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in columns.split(", "))
+    return spark.sql(f"select {casts} from values {listed} as t({', '.join(names)})")
+
+
+SEARCH = "node bigint, dim int, low bigint, high bigint, before bigint, want double"
 
 
 def _narrow(rows: DataFrame, search: dict[int, dict]) -> None:
     """One pass: cut each node's range of keys down to the part in which its median lies."""
     spark = rows.sparkSession
-    state = spark.createDataFrame([(n, s["dim"], s["low"], s["high"], s["before"], s["want"]) for n, s in search.items()], SEARCH)
+    state = _values(spark, [(n, s["dim"], s["low"], s["high"], s["before"], s["want"]) for n, s in search.items()], SEARCH)
     at = F.element_at("keys", F.col("dim") + 1)
     # One row of state per node; nodes are fewer than shards.
     inside = rows.join(F.broadcast(state), "node").withColumn("at", at).where("at between low and high")
@@ -136,7 +146,7 @@ def _cuts(rows: DataFrame, nodes: list[Node], spread: list[int], dims: int) -> l
 
 def _step(rows: DataFrame, cuts: list[tuple[int, int, int]]) -> DataFrame:
     """Move each row to the child of its node."""
-    table = rows.sparkSession.createDataFrame(cuts, "node long, dim int, cut long")
+    table = _values(rows.sparkSession, cuts, "node bigint, dim int, cut bigint")
     left = F.element_at("keys", F.col("dim") + 1) <= F.col("cut")
     child = F.when(F.col("dim").isNull(), F.col("node")).otherwise(F.col("node") * 2 + (~left).cast("long"))
     # One cut per node; nodes are fewer than shards.
@@ -183,7 +193,7 @@ def shard(
         rows = rows.withColumn("node", F.lit(1).cast("long"))
         for cuts in levels:
             rows = _step(rows, cuts)
-        table = rows.sparkSession.createDataFrame([(leaf.number, leaf.first) for leaf in leaves], "node long, shard int")
+        table = _values(rows.sparkSession, [(leaf.number, leaf.first) for leaf in leaves], "node bigint, shard int")
         # A shard's documents are numbered group by group, so that no task numbers a whole shard.
         groups = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return rows.join(F.broadcast(table), "node").withColumn("part", F.pmod("tie", F.lit(groups)).cast("int")).drop("node")
