@@ -12,8 +12,10 @@ characters per class in total. Scoring covers every row and whole texts.
 
 Because averaging and softmax are linear up to the last step, a word's
 contribution to the class margin is one number; a worker computes it once per
-distinct word. The mean is taken over at least ``pad`` words' weight, so that
-one chance word doesn't decide over a short text. Plain gradient descent with
+distinct word. A word that occurs n times counts as the square root of n, so
+that one repeated word doesn't make up a text, and the mean is taken over at
+least ``pad`` words' weight, so that one chance word doesn't decide over a
+short one. Plain gradient descent with
 momentum keeps rarely seen n-grams near zero.
 
 Defined results: a null text counts as an empty one; a text without words
@@ -77,7 +79,7 @@ class Model:
                 known.clear()
             found = []
             for text in texts:
-                total = sum(map(known.__getitem__, words_of(text)), 0j)
+                total = sum([known[word] * n**0.5 for word, n in Counter(words_of(text)).items()], 0j)
                 margin = total.real / max(total.imag, pad) + bias
                 found.append(1.0 / (1.0 + math.exp(-min(max(margin, -30.0), 30.0))))
             return found
@@ -110,14 +112,25 @@ class _Contributions(dict):
 def grams_of(word: str, buckets: int, smallest: int, largest: int) -> list[int]:
     """Buckets of the word itself and of the n-grams of the word between its marks."""
     marked = f"<{word}>"
-    pieces = [marked] + [
-        marked[i : i + n] for n in range(smallest, largest + 1) for i in range(len(marked) - n + 1) if n < len(marked)
-    ]
-    return [zlib.crc32(piece.encode("utf-8", "replace")) % buckets for piece in pieces]
+    size, crc = len(marked), zlib.crc32
+    raw = marked.encode("utf-8", "replace")
+    found = [crc(raw) % buckets]
+    if len(raw) == size:
+        for n in range(smallest, min(largest + 1, size)):
+            found += [crc(raw[i : i + n]) % buckets for i in range(size - n + 1)]
+    else:
+        for n in range(smallest, min(largest + 1, size)):
+            found += [crc(marked[i : i + n].encode("utf-8", "replace")) % buckets for i in range(size - n + 1)]
+    return found
 
 
-def _scatter(values: np.ndarray, to: np.ndarray, size: int) -> np.ndarray:
-    return np.stack([np.bincount(to, values[:, k], size) for k in range(values.shape[1])], axis=1)
+def _sums(table: np.ndarray, rows: np.ndarray, to: np.ndarray, size: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """Rows of a table, each times its weight, added up by target; column by column, to stay small."""
+    found = np.empty((size, table.shape[1]), np.float32)
+    for k in range(table.shape[1]):
+        values = np.ascontiguousarray(table[:, k])[rows]
+        found[:, k] = np.bincount(to, values if weight is None else values * weight, size)
+    return found
 
 
 def fit(
@@ -152,7 +165,7 @@ def fit(
     gram_word = np.repeat(np.arange(len(gram_counts), dtype=np.int32), gram_counts)
     doc_of = np.repeat(np.arange(len(cells), dtype=np.int32), [len(cell) for cell in cells])
     word_ids = np.fromiter((number[word] for cell in cells for word in cell), np.int32, len(doc_of))
-    times = np.fromiter((n for cell in cells for n in cell.values()), np.float32, len(doc_of))
+    times = np.sqrt(np.fromiter((n for cell in cells for n in cell.values()), np.float32, len(doc_of)))
     word_weight = times * np.array([frequent.get(word, 1.0) for word in number], np.float32)[word_ids]
     norm = np.maximum(np.bincount(doc_of, word_weight, len(cells)), pad)
     share = (word_weight / norm[doc_of]).astype(np.float32)
@@ -182,8 +195,8 @@ def fit(
         value -= step * speed[name]
 
     for step in range(1, steps + 1):
-        word_vectors = _scatter(vectors[gram_ids], gram_word, len(gram_counts)) / gram_counts[:, None]
-        text_vectors = _scatter(word_vectors[word_ids] * share[:, None], doc_of, len(truth))
+        word_vectors = _sums(vectors, gram_ids, gram_word, len(gram_counts)) / gram_counts[:, None]
+        text_vectors = _sums(word_vectors, word_ids, doc_of, len(truth), share)
         logits = text_vectors @ softmax + bias
         chance = np.exp(logits - logits.max(axis=1, keepdims=True))
         chance /= chance.sum(axis=1, keepdims=True)
@@ -191,8 +204,8 @@ def fit(
         error[np.arange(len(truth)), truth] -= 1
         error *= weight[:, None]
         to_text = error @ softmax.T
-        to_word = _scatter(to_text[doc_of] * share[:, None], word_ids, len(gram_counts)) / gram_counts[:, None]
-        to_vectors = _scatter(to_word[gram_word], gram_ids, buckets) * used[:, None]
+        to_word = _sums(to_text, doc_of, word_ids, len(gram_counts), share) / gram_counts[:, None]
+        to_vectors = _sums(to_word, gram_word, gram_ids, buckets) * used[:, None]
         descend("s", softmax, text_vectors.T @ error, rate)
         descend("b", bias, error.sum(axis=0), rate)
         descend("v", vectors, to_vectors.astype(np.float32), rate * gain)
@@ -234,7 +247,7 @@ def training_rows(
 
 def train(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    max_rows: int = 3000, max_chars: int = 4_000_000, **options,
+    max_rows: int = 3000, max_chars: int = 6_000_000, **options,
 ) -> Model | None:
     """A model of the labelled rows, or None if a class has no rows."""
     texts, classes = training_rows(docs, labels, key=key, text=text, label=label, max_rows=max_rows, max_chars=max_chars)
