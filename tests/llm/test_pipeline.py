@@ -3,9 +3,9 @@
 from collections import Counter
 
 import pytest
+from llm.test_near_copies import plain_components, plain_fingerprint
+from llm.test_text_operators import plain_words
 from pyspark.sql import functions as F
-from test_near_copies import plain_components, plain_fingerprint
-from test_text_operators import plain_words
 
 import corpus_pipeline
 from moorage.llm import mixing, toxicity
