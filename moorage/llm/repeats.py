@@ -9,10 +9,12 @@ The parse of a text is its row of phrases, the dictionary holds the distinct
 contexts. Phrases meet by their trigger bytes. Where a trigger has one
 context, its windows are repeated if the context occurs twice; this settles
 unique text and whole copies from the parse alone. Only where a trigger has
-several contexts are their windows compared one by one, each distinct context
-once. Comparing classes of equal windows takes the place of a suffix order:
-the question is whether a window occurs twice, not where it would be sorted,
-and classes split over a cluster while a suffix array doesn't.
+several contexts are those compared, each distinct one once, by how far they
+agree to both sides of the trigger; the contexts of a very frequent trigger
+are split up into their windows instead, so that they need not meet in one
+task. Common extents and classes of equal windows take the place of a global
+suffix order: the question is whether a window occurs twice, not where it
+would be sorted, and a suffix array of the corpus doesn't split over a cluster.
 
 Contexts and windows are told apart by 128-bit hashes.
 
@@ -38,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from moorage.llm.common import identity
 from moorage.session import materialise
 
-LENGTH, GRAM = 400, 200
+LENGTH, GRAM = 400, 128
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -98,9 +100,6 @@ def _halves(data: bytes) -> tuple[int, int]:
     return struct.unpack("<qq", xxhash.xxh3_128_digest(data))
 
 
-PARSE = "phrases array<struct<trigger:long,high:long,low:long,first:int,size:int>>"
-
-
 def parse(text: str | None, length: int, gram: int) -> list[dict]:
     """The phrases of a text: hash of the trigger bytes, both halves of the context's hash, first start, windows."""
     raw = (text or "").encode()
@@ -109,7 +108,7 @@ def parse(text: str | None, length: int, gram: int) -> list[dict]:
         high, low = _halves(struct.pack("<ii", trigger - first, last - first) + raw[first : last + length])
         found.append({
             "trigger": struct.unpack("<q", xxhash.xxh3_64_digest(raw[trigger : trigger + gram]))[0], "high": high, "low": low,
-            "first": first, "size": last - first + 1,
+            "first": first, "left": trigger - first, "size": last - first + 1,
         })
     return found
 
@@ -138,14 +137,90 @@ def _batch(rows: list[tuple], arrow) -> pa.RecordBatch:
 
 
 def dictionary_rows(docs: DataFrame, *, key: str, text: str, length: int, gram: int) -> DataFrame:
-    """(mark, check, trigger, high, low, first, size): one row per phrase of every text."""
+    """(mark, check, trigger, high, low, first, left, size): one row per phrase of every text."""
     ready = docs.select(identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text")).select("same.*", "text")
     long_enough = ready.where(F.octet_length("text") >= length)
 
     def rows(mark, check, value):
-        return [(mark, check, p["trigger"], p["high"], p["low"], p["first"], p["size"]) for p in parse(value, length, gram)]
+        return [
+            (mark, check, p["trigger"], p["high"], p["low"], p["first"], p["left"], p["size"]) for p in parse(value, length, gram)
+        ]
+
+    return _map(long_enough, rows, "mark long, check int, trigger long, high long, low long, first int, left int, size int")
+
+
+#: Contexts of one trigger that a task compares with each other; more are split up window by window.
+MOST = 64
+
+
+def compare_contexts(contexts: list[tuple[int, int, bytes]], length: int) -> list[tuple[int, int] | None]:
+    """Per context (bytes before the trigger, windows, bytes) the first and last window that another context has too.
+
+    Windows of two contexts are equal if both agree on enough bytes to the
+    left and to the right of the trigger, so the two common extents decide.
+    """
+    before = max(left for left, _, _ in contexts)
+    after = max(len(raw) - left for left, _, raw in contexts)
+    # Bytes lined up at the trigger; places outside a context equal nothing.
+    lined = np.empty((len(contexts), before + after), np.int16)
+    for row, (left, _, raw) in enumerate(contexts):
+        lined[row] = -1 - row
+        lined[row, before - left : before - left + len(raw)] = np.frombuffer(raw, np.uint8)
+    found: list[tuple[int, int] | None] = []
+    for row, (left, size, _) in enumerate(contexts):
+        other = lined != lined[row]
+        right = np.where((stop := other[:, before:]).any(axis=1), stop.argmax(axis=1), after)
+        back = np.where((stop := other[:, :before][:, ::-1]).any(axis=1), stop.argmax(axis=1), before) if before else np.zeros_like(right)
+        # A window that starts d bytes before the trigger needs d to the left and length - d to the right.
+        low, high = np.maximum(length - right, left - size + 1), np.minimum(back, left)
+        fits = low <= high
+        fits[row] = False
+        found.append((left - int(high[fits].max()), left - int(low[fits].min())) if fits.any() else None)
+    return found
+
+
+def _compare(length: int):
+    """Maps (trigger, high, low, times, left, size, raw) rows, sorted by trigger, to (high, low, least, most)."""
+
+    def group(rows: list[tuple]) -> list[tuple]:
+        made = []
+        if len(rows) > 1:
+            for row, found in zip(rows, compare_contexts([(r[4], r[5], r[6]) for r in rows], length)):
+                if row[3] == 1 and found:
+                    made.append((row[1], row[2], *found))
+        return made
+
+    def run(batches):
+        schema = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("least", pa.int32()), ("most", pa.int32())])
+        held: list[tuple] = []
+        for batch in batches:
+            made: list[tuple] = []
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    made += group(held)
+                    held = []
+                held.append(row)
+            yield _batch(made, schema)
+        yield _batch(group(held), schema)
 
-    return _map(long_enough, rows, "mark long, check int, trigger long, high long, low long, first int, size int")
+    return run
+
+
+def _by_window(contexts: DataFrame, length: int) -> DataFrame:
+    """(high, low, least, most) for the contexts of frequent triggers, from classes of equal windows."""
+
+    def windows(high, low, times, size, raw):
+        return [(*_halves(raw[shift : shift + length]), high, low, shift, times) for shift in range(size)]
+
+    single = materialise(
+        _map(contexts.select("high", "low", "times", "size", "raw"), windows,
+             "w_high long, w_low long, high long, low long, shift int, times long"),
+        "windows",
+    )
+    classes = single.groupBy("w_high", "w_low").agg(F.sum("times").alias("n")).where("n > 1").select("w_high", "w_low")
+    return single.where("times = 1").join(classes, ["w_high", "w_low"]).groupBy("high", "low").agg(
+        F.min("shift").alias("least"), F.max("shift").alias("most")
+    )
 
 
 def repeated_starts(docs: DataFrame, *, key: str, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -159,43 +234,42 @@ def repeated_starts(docs: DataFrame, *, key: str, text: str, length: int = LENGT
         F.count("*").alias("n"), F.min("high").alias("least"), F.max("high").alias("most")
     ).where("n > 1").select("trigger", (F.col("least") != F.col("most")).alias("several"))
     shared = materialise(parsed.join(by_trigger, "trigger"), "parse-shared")
-    same_everywhere = shared.where("not several").select(
-        "mark", "check", F.col("first").alias("start"), (F.col("first") + F.col("size") - 1 + length).alias("end")
-    )
 
-    # Each distinct context once, read from one text that has it.
-    several = shared.where("several")
-    contexts = several.groupBy("high", "low").agg(
-        F.count("*").alias("times"), F.min(F.struct("mark", "check", "first", "size")).alias("at")
+    # Each distinct context of a trigger that has several, and one text that holds it.
+    contexts = materialise(
+        shared.where("several").groupBy("trigger", "high", "low").agg(
+            F.count("*").alias("times"), F.min(F.struct("mark", "check", "first", "left", "size")).alias("at")
+        ), "contexts",
     )
     asked = contexts.groupBy("at.mark", "at.check").agg(
-        F.collect_list(F.struct("high", "low", "times", F.col("at.first").alias("first"), F.col("at.size").alias("size"))).alias("asked")
+        F.collect_list(F.struct("trigger", "high", "low", "times", "at.first", "at.left", "at.size")).alias("asked")
     )
     texts = docs.select(identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text")).select("same.*", "text")
     holders = texts.where(F.octet_length("text") >= length).join(asked, ["mark", "check"]).dropDuplicates(["mark", "check"])
 
-    def windows(value, questions):
+    def cut(value, questions):
         raw = value.encode()
-        found = []
-        for q in questions:
-            for shift in range(q["size"]):
-                start = q["first"] + shift
-                high, low = _halves(raw[start : start + length])
-                found.append((high, low, q["high"], q["low"], shift, q["times"]))
-        return found
-
-    single = materialise(
-        _map(holders.select("text", "asked"), windows, "w_high long, w_low long, high long, low long, shift int, times long"),
-        "windows",
-    )
-    classes = single.groupBy("w_high", "w_low").agg(F.sum("times").alias("n")).where("n > 1").select("w_high", "w_low")
-    ranges = single.join(classes, ["w_high", "w_low"]).groupBy("high", "low").agg(
-        F.min("shift").alias("least"), F.max("shift").alias("most")
+        return [
+            (q["trigger"], q["high"], q["low"], q["times"], q["left"], q["size"], raw[q["first"] : q["first"] + q["size"] - 1 + length])
+            for q in questions
+        ]
+
+    schema = "trigger long, high long, low long, times long, left int, size int, raw binary"
+    held = materialise(_map(holders.select("text", "asked"), cut, schema), "held")
+    frequent = held.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > MOST).select("trigger")
+    frequent = materialise(frequent, "frequent")
+    ranges = held.join(frequent, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(
+        _compare(length), "high long, low long, least int, most int"
     )
-    partly = several.join(ranges, ["high", "low"]).select(
-        "mark", "check", (F.col("first") + F.col("least")).alias("start"), (F.col("first") + F.col("most") + length).alias("end")
+    ranges = ranges.unionByName(_by_window(held.join(frequent, "trigger", "left_semi"), length))
+    # Whole phrases: all texts have one context, or this context occurs twice.
+    several = shared.where("several").join(
+        contexts.where("times > 1").select("high", "low", F.lit(0).alias("least"), (F.col("at.size") - 1).alias("most"))
+        .unionByName(ranges), ["high", "low"],
     )
-    return same_everywhere.unionByName(partly)
+    same_everywhere = shared.where("not several").withColumns({"least": F.lit(0), "most": F.col("size") - 1})
+    columns = ["mark", "check", (F.col("first") + F.col("least")).alias("start"), (F.col("first") + F.col("most") + length).alias("end")]
+    return same_everywhere.select(*columns).unionByName(several.select(*columns))
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
