@@ -24,17 +24,26 @@ def schema_of(text: str) -> T.StructType:
     return T.StructType.fromDDL(text)
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+PIECE = 500
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, PIECE):
+        yield batch.slice(start, PIECE)
+
+
 def map_rows(frame: DataFrame, columns: list[str], function: Callable[..., tuple], schema: str) -> DataFrame:
     """One output row per input row: ``function(*values)`` gives the values of ``schema``.
 
-    Works batch by batch, so a task holds one Arrow batch at a time. Only
+    Works piece by piece, so a task holds one Arrow batch and few Python rows at a time. Only
     ``columns`` are read; other columns of the frame never reach Python.
     """
     target = schema_of(schema)
     arrow = to_arrow_schema(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             rows = [function(*values) for values in zip(*(column.to_pylist() for column in batch.columns))]
             made = zip(*rows) if rows else [[] for _ in arrow]
             yield pa.RecordBatch.from_arrays(
@@ -49,7 +58,7 @@ def keep_rows(frame: DataFrame, column: str, verdict: Callable[[list], list[bool
     place = frame.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             yield batch.filter(pa.array(verdict(batch.column(place).to_pylist()), pa.bool_()))
 
     return frame.mapInArrow(run, frame.schema)

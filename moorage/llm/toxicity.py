@@ -28,7 +28,6 @@ language, source and id never enter a score.
 from __future__ import annotations
 
 import math
-import sys
 import zlib
 from array import array
 from collections import Counter
@@ -38,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import keep_rows, map_rows
+from moorage.llm.common import keep_rows, pieces
 
 FOLDS = 5
 
@@ -87,8 +86,8 @@ class Model:
         return scores
 
 
-#: Words whose contribution a worker remembers between batches.
-WORDS_KEPT = 400_000
+#: Words whose contribution a worker remembers from one piece of a batch to the next.
+WORDS_KEPT = 150_000
 
 
 class _Contributions(dict):
@@ -144,47 +143,45 @@ def fit(
     texts keep a zero vector, so that chance spellings say nothing.
     """
     rng = np.random.default_rng(seed)
-    cells = [Counter(words_of(text)) for text in texts]
-    counts: Counter[str] = Counter()
-    for i, cell in enumerate(cells):
+    number: dict[str, int] = {}
+    word_ids, times, sizes = array("i"), array("i"), array("i")
+    for text in texts:
         plain: Counter[str] = Counter()
-        for raw, n in cell.items():
+        for raw, n in Counter(words_of(text)).items():
             if word := raw.strip(SIGNS):
-                plain[sys.intern(word)] += n
-        cells[i] = plain
-        counts.update(plain)
-    total = max(1, sum(counts.values()))
-    frequent = {word: rare / (rare + n / total) for word, n in counts.items() if n / total > rare / 50}
-    number = {word: i for i, word in enumerate(counts)}
+                plain[word] += n
+        word_ids.extend([number.setdefault(word, len(number)) for word in plain])
+        times.extend(plain.values())
+        sizes.append(len(plain))
+    word_ids, times, sizes = (np.frombuffer(a, np.int32) if a else np.zeros(0, np.int32) for a in (word_ids, times, sizes))
+    doc_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    part = np.bincount(word_ids, times, len(number)) / max(1, int(times.sum()))
+    frequent = {word: rare / (rare + part[i]) for word, i in number.items() if part[i] > rare / 50}
     gram_ids, gram_counts = array("i"), array("i")
     for word in number:
         row = grams_of(word, buckets, smallest, largest)
         gram_ids.extend(row)
         gram_counts.append(len(row))
     gram_ids, gram_counts = np.frombuffer(gram_ids, np.int32), np.frombuffer(gram_counts, np.int32)
-    gram_word = np.repeat(np.arange(len(gram_counts), dtype=np.int32), gram_counts)
-    doc_of = np.repeat(np.arange(len(cells), dtype=np.int32), [len(cell) for cell in cells])
-    word_ids = np.fromiter((number[word] for cell in cells for word in cell), np.int32, len(doc_of))
-    times = np.sqrt(np.fromiter((n for cell in cells for n in cell.values()), np.float32, len(doc_of)))
-    word_weight = times * np.array([frequent.get(word, 1.0) for word in number], np.float32)[word_ids]
-    norm = np.maximum(np.bincount(doc_of, word_weight, len(cells)), pad)
+    by_word = np.array([frequent.get(word, 1.0) for word in number], np.float32)
+    del number
+    word_weight = np.sqrt(times, dtype=np.float32) * by_word[word_ids]
+    norm = np.maximum(np.bincount(doc_of, word_weight, len(sizes)), pad)
     share = (word_weight / norm[doc_of]).astype(np.float32)
     truth = np.array(classes)
     weight = np.where(truth == 1, 0.5 / max(1, (truth == 1).sum()), 0.5 / max(1, (truth == 0).sum()))
 
     seen = np.zeros(buckets, np.int32)
-    ends = np.cumsum(gram_counts)
-    place = 0
-    for cell in cells:
-        mine = word_ids[place : place + len(cell)]
-        place += len(cell)
-        if len(mine):
-            rows = [gram_ids[ends[word] - gram_counts[word] : ends[word]] for word in mine]
+    ends, place = np.cumsum(gram_counts), 0
+    for size in sizes.tolist():
+        if size:
+            rows = [gram_ids[ends[word] - gram_counts[word] : ends[word]] for word in word_ids[place : place + size]]
             seen[np.unique(np.concatenate(rows))] += 1
-    del cells
+        place += size
     used = seen >= max(least, share_of_texts * len(texts))
     kept = used[gram_ids]
-    gram_ids, gram_word = gram_ids[kept], gram_word[kept]
+    gram_word = np.repeat(np.arange(len(gram_counts), dtype=np.int32), gram_counts)[kept]
+    gram_ids = gram_ids[kept]
     vectors = (rng.normal(0, 1e-2, (buckets, width)) * used[:, None]).astype(np.float32)
     softmax, bias = rng.normal(0, 1.0, (width, 2)), np.zeros(2)
     speed = {"v": np.zeros_like(vectors), "s": np.zeros_like(softmax), "b": np.zeros_like(bias)}
@@ -247,7 +244,7 @@ def training_rows(
 
 def train(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    max_rows: int = 3000, max_chars: int = 6_000_000, **options,
+    max_rows: int = 3000, max_chars: int = 5_000_000, **options,
 ) -> Model | None:
     """A model of the labelled rows, or None if a class has no rows."""
     texts, classes = training_rows(docs, labels, key=key, text=text, label=label, max_rows=max_rows, max_chars=max_chars)
@@ -276,7 +273,7 @@ def _scored(docs: DataFrame, key: str, text: str, kind: str, model: Model) -> Da
 
     def run(batches):
         scores = model.scorer()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole)):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(arrow[0].type), pa.array(scores(batch.column(1).to_pylist()), pa.float64())], schema=arrow
             )
