@@ -135,12 +135,13 @@ def _sums(table: np.ndarray, rows: np.ndarray, to: np.ndarray, size: int, weight
 def fit(
     texts: list[str], classes: list[int], *, buckets: int = 1 << 17, width: int = 4, steps: int = 100, rate: float = 0.1,
     gain: float = 50_000.0, smallest: int = 3, largest: int = 5, pad: float = 100.0, rare: float = 1e-3, least: int = 4,
-    share_of_texts: float = 0.01, seed: int = 7,
+    seed: int = 7,
 ) -> Model:
     """Train embeddings and softmax together by gradient descent with momentum, all examples at once.
 
     Both classes weigh the same. Buckets seen in fewer than ``least`` training
-    texts keep a zero vector, so that chance spellings say nothing.
+    texts keep a zero vector, so that chance spellings say nothing. The floor
+    doesn't grow with the texts, so rare spellings of a rare class count.
     """
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
@@ -178,7 +179,7 @@ def fit(
             rows = [gram_ids[ends[word] - gram_counts[word] : ends[word]] for word in word_ids[place : place + size]]
             seen[np.unique(np.concatenate(rows))] += 1
         place += size
-    used = seen >= max(least, share_of_texts * len(texts))
+    used = seen >= least
     kept = used[gram_ids]
     gram_word = np.repeat(np.arange(len(gram_counts), dtype=np.int32), gram_counts)[kept]
     gram_ids = gram_ids[kept]

@@ -105,6 +105,27 @@ def test_held_out_accuracy_and_unseen_spellings(spark, talk):
     assert score([base + "keru"]) == score([base + "keru"])
 
 
+@pytest.mark.parametrize("n_terms,n_toxic,n_clean", [(100, 500, 500), (10, 90, 2910)])
+def test_rare_spellings_and_a_rare_class(n_terms, n_toxic, n_clean):
+    """A hundred terms, each in 1 % of the toxic texts; and a toxic class of 3 %."""
+    draw = random.Random(3)
+    terms = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(n_terms)]
+    plain = ["".join(draw.choice(["ba", "ke", "lo", "mi", "ru", "ten", "sor"]) for _ in range(draw.randint(1, 4))) for _ in range(300)]
+
+    def text(term):
+        words = [draw.choice(plain) for _ in range(draw.randint(20, 120))]
+        for _ in range(1 + len(words) // 25 if term else 0):
+            words.insert(draw.randrange(len(words)), term)
+        return " ".join(words)
+
+    model = toxicity.fit(
+        [text(terms[i % n_terms]) for i in range(n_toxic)] + [text(None) for _ in range(n_clean)], [1] * n_toxic + [0] * n_clean
+    )
+    scores = model.scorer()
+    assert sum(s >= 0.5 for s in scores([text(term) for term in terms])) >= 0.95 * n_terms
+    assert sum(s >= 0.5 for s in scores([text(None) for _ in range(200)])) <= 10
+
+
 def test_held_out_rows_are_never_learned(talk):
     docs, labels = talk
     texts, classes = toxicity.training_rows(docs, labels, key="doc_id", text="text", label="toxic", max_rows=1000, max_chars=10**7)
