@@ -2,8 +2,11 @@
 
 The automaton holds every run of words of every template. A document streams
 through it: after each word, the state and the length of the longest run of
-template words that ends there (its matching statistic). Long matches are
-chained per template, in order of both texts, into covered template spans.
+template words that ends there (its matching statistic). The state leads to
+every place of every template where a long match ends. The matches are
+chained per template, in order of both texts, by dynamic programming: where two
+overlap, only the uncovered words of the second count. Of overlapping chains of
+one template the one that covers the most words becomes a span.
 
 Defined results: null and empty texts have no words, no spans, score 0 and
 an empty list of labels; texts are streamed whole; repeated rows are scanned
@@ -87,6 +90,7 @@ class Automaton:
                 self.ends[last].add((number, place))
         for state in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
             self.ends[self.link[state]] |= self.ends[state]
+        self._shorter: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
     def _state(self, length: int, follow: dict[int, int], link: int) -> int:
         self.next.append(follow)
@@ -133,6 +137,35 @@ class Automaton:
             found.append((len(words), length, state))
         return found
 
+    def _places(self, state: int, least: int) -> list[tuple[int, int]]:
+        """Text and place of every end of the last ``least`` words of the state's runs."""
+        if (state, least) not in self._shorter:
+            shorter = state
+            while self.length[self.link[shorter]] >= least:
+                shorter = self.link[shorter]
+            self._shorter[state, least] = sorted(self.ends[shorter])
+        return self._shorter[state, least]
+
+    def all_matches(self, words: list[int], least: int) -> list[tuple[int, int, int, int]]:
+        """Every match of at least ``least`` words that can't be made longer: (end, length, text, end in the text)."""
+        found, state, length = [], 0, 0
+        open_at: dict[tuple[int, int], int] = {}
+        for place, word in enumerate(words):
+            while state and word not in self.next[state]:
+                state = self.link[state]
+                length = self.length[state]
+            if word in self.next[state]:
+                state, length = self.next[state][word], length + 1
+            if length < least and not open_at:
+                continue
+            now = {}
+            if length >= least:
+                for text, end in self._places(state, least):
+                    now[text, end] = open_at.pop((text, end - 1), least - 1) + 1
+            found += [(place, n, text, end + 1) for (text, end), n in open_at.items()]
+            open_at = now
+        return found + [(len(words), n, text, end + 1) for (text, end), n in open_at.items()]
+
 
 class Span(NamedTuple):
     label: str
@@ -143,6 +176,10 @@ class Span(NamedTuple):
     share: float
 
 
+#: Start and end in the document, start and end in the template.
+Match = tuple[int, int, int, int]
+
+
 class Scanner:
     """Scans texts for phrases and template spans. ``least`` words make a match, ``gap`` words may part two of a chain."""
 
@@ -174,31 +211,61 @@ class Scanner:
         return sorted(found)
 
     def spans(self, numbers: np.ndarray) -> list[Span]:
-        """Chains of matches that cover at least ``share`` of a template."""
+        """Chains of matches that cover at least ``share`` of a template; those of one template don't overlap."""
         edges = np.flatnonzero(np.diff(np.concatenate(([0], (numbers >= 0).view(np.int8), [0]))))
-        chains: dict[int, list[list[int]]] = {}
+        matches: dict[int, list[Match]] = {}
         for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if end - start < self.least:
-                continue
-            for stop, length, state in self.automaton.matches(numbers[start:end].tolist(), self.least):
-                stop += start
-                for template, place in sorted(self.automaton.ends[state]):
-                    self._chain(chains.setdefault(template, []), stop - length, stop, place + 1 - length, place + 1)
+            if end - start >= self.least:
+                for stop, length, template, high in self.automaton.all_matches(numbers[start:end].tolist(), self.least):
+                    matches.setdefault(template, []).append((start + stop - length, start + stop, high - length, high))
         found = []
-        for template, rows in chains.items():
+        for template, rows in matches.items():
             label, words = self.templates[template]
-            for start, stop, _, covered in rows:
-                if covered >= self.share * len(words):
-                    found.append(Span(label, template, start, stop, covered, min(1.0, covered / len(words))))
+            if sum(stop - start for start, stop, _, _ in rows) < self.share * len(words):
+                continue
+            for start, stop, covered in self._chains(rows, self.share * len(words)):
+                found.append(Span(label, template, start, stop, covered, covered / len(words)))
         return sorted(found, key=lambda span: (span.start, span.end, span.template))
 
-    def _chain(self, rows: list[list[int]], start: int, stop: int, low: int, high: int) -> None:
-        """Append the match to the last chain it continues, else begin one."""
-        for row in reversed(rows[-2:]):
-            if 0 <= start - row[1] <= self.gap and row[2] <= low <= row[2] + self.gap:
-                row[1:] = [stop, high, row[3] + stop - start]
-                return
-        rows.append([start, stop, high, stop - start])
+    def _chains(self, rows: list[Match], needed: float) -> list[tuple[int, int, int]]:
+        """Start, end and covered words of the best chain, then of the best ones to its left and right, and so on."""
+        found, parts = [], []
+        for row in sorted(rows):
+            if parts and row[0] - reach <= self.gap:
+                parts[-1].append(row)
+                reach = max(reach, row[1])
+            else:
+                parts.append([row])
+                reach = row[1]
+        while parts:
+            part = parts.pop()
+            if not part or (best := self._best(part))[2] < needed:
+                continue
+            found.append(best)
+            start, stop, _ = best
+            parts.append([(a, min(b, start), c, d - max(0, b - start)) for a, b, c, d in part if min(b, start) - a >= self.least])
+            parts.append([(max(a, stop), b, c + max(0, stop - a), d) for a, b, c, d in part if b - max(a, stop) >= self.least])
+        return found
+
+    def _best(self, rows: list[Match]) -> tuple[int, int, int]:
+        """The chain that covers the most words; of equal ones one near the middle, so that the rest falls into halves."""
+        rows = sorted(rows, key=lambda row: (row[1], row[3], row[0]))
+        begun, covered = [], []
+        for j, (start, stop, low, high) in enumerate(rows):
+            most, first = stop - start, start
+            for i in range(j - 1, -1, -1):
+                _, stop_i, _, high_i = rows[i]
+                if stop_i < start - self.gap:
+                    break
+                skip = max(0, stop_i - start, high_i - low)
+                if skip < stop - start and start + skip - stop_i <= self.gap and low + skip - high_i <= self.gap:
+                    most, first = max((most, first), (covered[i] + stop - start - skip, begun[i]))
+            begun.append(first)
+            covered.append(most)
+        most = max(covered)
+        ends = [i for i, n in enumerate(covered) if n == most]
+        end = ends[len(ends) // 2]
+        return begun[end], rows[end][1], most
 
 
 SPANS = "array<struct<label:string,template:int,start_word:int,end_word:int,covered:int,share:double>>"

@@ -56,6 +56,65 @@ def test_template_spans(spark):
     assert scanner.spans(scanner.words("the software and the license of this work is free")) == []
 
 
+def test_dropped_words_keep_a_span():
+    scanner = licenses.Scanner()
+    text = " ".join(w.decode() for w in licenses.plain_words(licenses.TEMPLATES[2][1]))
+    for phrase in ("and to permit persons to whom the software ", "of charge to any person obtaining a copy "):
+        assert phrase in text
+        text = text.replace(phrase, "", 1)
+    spans = [s for s in scanner.spans(scanner.words(text)) if s.template == 2]
+    assert [(s.label, s.start, s.end, s.covered) for s in spans] == [("mit", 0, 69, 69)]
+    twice = [s for s in scanner.spans(scanner.words(f"{text} one two {text} odd")) if s.template == 2]
+    assert [(s.start, s.end, s.covered) for s in twice] == [(0, 69, 69), (71, 140, 69)]
+
+
+def brute_chain(scanner, words, template):
+    """Most words that a chain covers: all pairs of all longest common runs."""
+    own = scanner.templates[template][1]
+    runs = []
+    for i in range(len(words)):
+        for j in range(len(own)):
+            if words[i] == own[j] and not (i and j and words[i - 1] == own[j - 1]):
+                n = 0
+                while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                    n += 1
+                if n >= scanner.least:
+                    runs.append((i, j, n))
+    runs.sort(key=lambda run: (run[0] + run[2], run[1] + run[2]))
+    best = []
+    for i, j, n in runs:
+        most = n
+        for (a, b, m), before in zip(runs, best):
+            skip = max(0, a + m - i, b + m - j)
+            if skip < n and i + skip - a - m <= scanner.gap and j + skip - b - m <= scanner.gap:
+                most = max(most, before + n - skip)
+        best.append(most)
+    return max(best, default=0)
+
+
+def test_edited_templates_against_brute_force():
+    draw = random.Random(8)
+    scanner = licenses.Scanner()
+    for _ in range(150):
+        number = draw.randrange(len(scanner.templates))
+        words = list(scanner.templates[number][1])
+        for _ in range(draw.randint(0, 6)):
+            at = draw.randrange(len(words))
+            kind = draw.randrange(3)
+            if kind == 0 and len(words) > 12:
+                del words[at : at + draw.randint(1, 8)]
+            elif kind == 1:
+                words[at:at] = [draw.choice([-1, *words]) for _ in range(draw.randint(1, 6))]
+            else:
+                words[at] = -1
+        found = {}
+        for span in scanner.spans(licenses.np.array(words, licenses.np.int32)):
+            found[span.template] = max(found.get(span.template, 0), span.covered)
+        for template, (_, own) in enumerate(scanner.templates):
+            most = brute_chain(scanner, words, template)
+            assert found.get(template, 0) == (most if most >= scanner.share * len(own) else 0)
+
+
 def test_license_odd_rows(odd, nothing):
     rows = licenses.scan(odd).collect()
     assert len(rows) == odd.count() and licenses.scan(nothing).count() == 0
