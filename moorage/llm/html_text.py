@@ -5,8 +5,12 @@ weights come from labelled pages: those of a bounded sample that mark their
 article (``article`` or ``main``). A word's weight is one; a tag's weight grows
 with the share of its occurrences that lie outside the marked articles. One
 linear scan then finds the run of tokens with the highest sum. Elements that
-never hold article text (scripts, menus, forms, adverts, comments, ...) are
-left out before, by name or by the names they are given.
+never hold article text (scripts, menus, forms, ...) are left out before. So
+are elements with a class or id made of noise names alone (``ad``,
+``cookie-notice``); where a noise name is only a part of it (``has-sidebar``,
+``entry-header``) or a general one (``widget``), the words inside stay but score
+less. An element that holds most words of the page, or of the article it
+lies in, is never held against them.
 
 Defined results: a null page counts as an empty one; a page without words
 gives an empty text; a marked article bounds the run if it holds any words;
@@ -44,7 +48,8 @@ NOISE_NAMES = frozenset(
     "cookies consent copyright disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
     "notice notices notification alert pagination pager popup promo promoted promotion related replies reply respond "
     "share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
-)
+)# Fixed values: of these, names that articles use for their own parts as well.
+WEAK_NAMES = frozenset("alert header masthead notice notices widget widgets".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -57,8 +62,79 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLANK = re.compile(r"\s+")
 
 
+def called(name: str, attributes: str) -> str:
+    """``noise`` for an element with a class or id made of noise names, ``light`` for one with a part of it, else nothing."""
+    found = ""
+    if name in ("html", "body", "article", "main"):
+        return found
+    for match in ATTRIBUTE.finditer(attributes):
+        if match[1].lower() in ("class", "id"):
+            for value in (match[2] or match[3] or match[4] or "").split():
+                parts = NAME_PARTS.findall(CAMEL.sub("-", value).lower())
+                known = [part in NOISE_NAMES for part in parts]
+                if known and all(known) and not WEAK_NAMES.issuperset(parts):
+                    return "noise"
+                if any(known):
+                    found = "light"
+    return found
+
+
+class Called:
+    """The open elements that ``called`` names, the words in each of them, and which of them count."""
+
+    def __init__(self):
+        self.kinds, self.above, self.inside, self.words = [""], [0], [False], [0]
+        self.stack: list[tuple[int, str, Counter]] = []
+        self.opened: Counter = Counter()
+
+    @property
+    def now(self) -> int:
+        return self.stack[-1][0] if self.stack else 0
+
+    def begin(self, name: str, kind: str, inside: bool) -> None:
+        self.kinds.append(kind)
+        self.above.append(self.now)
+        self.inside.append(inside)
+        self.words.append(0)
+        self.stack.append((len(self.kinds) - 1, name, Counter()))
+
+    def open(self, name: str) -> None:
+        if self.stack:
+            self.stack[-1][2][name] += 1
+            self.opened[name] += 1
+
+    def close(self, name: str) -> None:
+        while self.stack and self.opened[name]:
+            _, own, opened = self.stack[-1]
+            if opened[name]:
+                opened[name] -= 1
+                self.opened[name] -= 1
+                if name == own and not opened[name]:
+                    self.end()
+                return
+            self.end()
+
+    def end(self) -> None:
+        self.opened.subtract(self.stack.pop()[2])
+
+    def clear(self) -> None:
+        self.stack.clear()
+        self.opened.clear()
+
+    def settle(self, total: int, in_articles: int) -> list[str]:
+        """By element: ``noise`` or ``light`` if it or one around it is so and doesn't hold most of the words."""
+        for number in range(len(self.kinds) - 1, 0, -1):
+            self.words[self.above[number]] += self.words[number]
+        found = [""]
+        for number in range(1, len(self.kinds)):
+            most = self.words[number] * 2 > (in_articles if self.inside[number] else total)
+            around, own = found[self.above[number]], "" if most else self.kinds[number]
+            found.append("noise" if "noise" in (around, own) else around or own)
+        return found
+
+
 def noisy(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element, by its name or what it is called, holds no article text."""
+    """Whether an element, by its name, role or state, holds no article text."""
     if name in NOISE or name == "header" and not inside:
         return True
     if not attributes:
@@ -67,25 +143,28 @@ def noisy(name: str, attributes: str, inside: bool) -> bool:
         key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
         if key == "role" and value.lower() in NOISE_ROLES or key == "aria-hidden" and value.lower() == "true":
             return True
-        if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            if any(part in NOISE_NAMES for part in NAME_PARTS.findall(CAMEL.sub(" ", value).lower())):
-                return True
     return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes)) and name not in ("html", "body")
 
 
-def tokens(page: str | None) -> list[tuple[str, str, bool, bool]]:
-    """Tags and texts in page order: (tag name or "", text, in an article, in noise).
+def tokens(page: str | None) -> list[tuple[str, str, bool, bool, bool]]:
+    """Tags and texts in page order: (tag name or "", text, in an article, in noise, light).
 
     Closing tags start with ``/``. Raw elements, comments and declarations are dropped.
     """
     page = page or ""
-    found: list[tuple[str, str, bool, bool]] = []
+    found: list[tuple[str, str, bool, bool, int]] = []
+    names, total, in_articles = Called(), 0, 0
     articles: list[str] = []
     noise, depth, place, end = "", 0, 0, len(page)
 
     def words(piece: str) -> None:
+        nonlocal total, in_articles
         if piece:
-            found.append(("", piece, bool(articles), bool(noise)))
+            if not noise and (n := count_words(piece)):
+                names.words[names.now] += n
+                total += n
+                in_articles += n if articles else 0
+            found.append(("", piece, bool(articles), bool(noise), names.now))
 
     while place < end:
         match = TOKEN.search(page, place)
@@ -104,6 +183,12 @@ def tokens(page: str | None) -> list[tuple[str, str, bool, bool]]:
             if name in ("script", "style", "textarea", "title", "xmp", "iframe") or close:
                 place = close.end() if close else end if name in ("script", "style") else place
             continue
+        if names.stack and (
+            not closing and name in ARTICLE and not articles or closing and articles and name == articles[-1]
+        ):
+            names.clear()
+        if names.stack and names.stack[-1][1] == "p" and not closing and name in BLOCKS:
+            names.end()
         if noise:
             if not closing and name in ARTICLE and not articles:
                 noise, depth = "", 0
@@ -111,7 +196,9 @@ def tokens(page: str | None) -> list[tuple[str, str, bool, bool]]:
                 depth += -1 if closing else 1
                 if depth == 0:
                     noise = ""
-                    found.append((("/" if closing else "") + name, "", bool(articles), True))
+                    found.append((("/" if closing else "") + name, "", bool(articles), True, names.now))
+                    if closing:
+                        names.close(name)
                     continue
             elif closing and articles and name == articles[-1]:
                 noise, depth = "", 0
@@ -125,8 +212,16 @@ def tokens(page: str | None) -> list[tuple[str, str, bool, bool]]:
                     del articles[len(articles) - 1 - articles[::-1].index(name) :]
             else:
                 articles.append(name)
-        found.append((("/" if closing else "") + name, "", bool(articles), bool(noise)))
-    return found
+        opens = not closing and name not in VOID and not attributes.endswith("/")
+        if opens and attributes and not noise and (kind := called(name, attributes)):
+            names.begin(name, kind, bool(articles))
+        if opens:
+            names.open(name)
+        found.append((("/" if closing else "") + name, "", bool(articles), bool(noise), names.now))
+        if closing:
+            names.close(name)
+    kinds = names.settle(total, in_articles)
+    return [(name, text, inside, noise or kinds[n] == "noise", kinds[n] == "light") for name, text, inside, noise, n in found]
 
 
 def count_words(piece: str) -> int:
@@ -136,10 +231,10 @@ def count_words(piece: str) -> int:
 def tag_counts(page: str | None) -> dict[str, tuple[int, int]]:
     """Per tag name of a labelled page: occurrences inside and outside its article; a page without one gives none."""
     rows = tokens(page)
-    if not any(inside and not noise and piece.strip() for _, piece, inside, noise in rows):
+    if not any(inside and not noise and piece.strip() for _, piece, inside, noise, _ in rows):
         return {}
     inner, outer = Counter(), Counter()
-    for name, _, inside, noise in rows:
+    for name, _, inside, noise, _ in rows:
         if name:
             (inner if inside and not noise else outer)[name.lstrip("/")] += 1
     return {name: (inner[name], outer[name]) for name in inner.keys() | outer.keys()}
@@ -147,6 +242,8 @@ def tag_counts(page: str | None) -> dict[str, tuple[int, int]]:
 
 #: Weight of a tag that is never, and of one that is only, found outside the articles; tags never seen lie between.
 TAG_LEAST, TAG_MOST, TAG_UNSEEN = -0.02, -3.0, -0.5
+#: Weight of a word in an element that a part of its class or id speaks against.
+LIGHT = 0.3
 
 
 def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
@@ -170,14 +267,14 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, tag_weights: dict[str, float]) -> str:
     """Blocks of the best run, without noise, joined by line breaks."""
     rows = tokens(page)
-    marked = any(inside and not noise and piece.strip() for _, piece, inside, noise in rows)
+    marked = any(inside and not noise and piece.strip() for _, piece, inside, noise, _ in rows)
     scores = []
-    for name, piece, inside, noise in rows:
+    for name, piece, inside, noise, light in rows:
         if name:
             scores.append(tag_weights.get(name.lstrip("/"), TAG_UNSEEN) if not (marked and inside) else TAG_LEAST)
         else:
             n = count_words(piece)
-            scores.append(-1.0 * n if noise else float(n) if inside or not marked else -2.0 * n)
+            scores.append(-1.0 * n if noise else -2.0 * n if marked and not inside else n * LIGHT if light and not marked else float(n))
     if marked:  # tags of an article must not cut it
         low = min(i for i, row in enumerate(rows) if row[2] and not row[3] and row[1].strip())
         high = max(i for i, row in enumerate(rows) if row[2] and not row[3] and row[1].strip())
@@ -190,7 +287,7 @@ def main_text(page: str | None, tag_weights: dict[str, float]) -> str:
         while stop < len(rows) and not (rows[stop][0].lstrip("/") in BLOCKS or rows[stop][3]):
             stop += 1
     blocks, line = [], []
-    for name, piece, inside, noise in rows[start:stop]:
+    for name, piece, inside, noise, _ in rows[start:stop]:
         bare = name.lstrip("/")
         if name and bare in BLOCKS:
             blocks.append("".join(line))

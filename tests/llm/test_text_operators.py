@@ -267,6 +267,27 @@ def test_main_text(spark, article):
     )
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout no-sidebar", "ad-free-content", "elementor-widget-container", "widget", "ad"])
+@pytest.mark.parametrize("article", [True, False])
+def test_wrappers_keep_their_words(name, article):
+    weights = html_text.weights(html_text.tag_counts(page("<h1>A b c</h1><p>word " * 9)))
+    lines = [f"Paragraph number {i} of the story with quite a few more words in it." for i in range(6)]
+    body = "".join(f"<p>{line}</p>" for line in lines)
+    made = page(f'<div class="{name}">{body}</div>', article)
+    assert html_text.main_text(made, weights) == "\n".join(lines)
+
+
+def test_parts_of_an_article_with_noise_in_their_names():
+    weights = html_text.weights(html_text.tag_counts(page("<h1>A b c</h1><p>word " * 9)))
+    text = "Some words of the story that fill a paragraph of their own."
+    made = page(
+        f'<div class="entry-header"><h1>The title</h1></div><p>{text}</p><div class="ad">Buy this <div>right</div> now</div>'
+        f'<div class="widget"><p>A box of the story.</p></div><p>{text}</p>'
+    )
+    assert html_text.main_text(made, weights) == f"The title\n{text}\nA box of the story.\n{text}"
+    assert html_text.main_text("<p>Name</p>" + "<div class=ad>" * 3000 + "more words", weights) == "more words"
+
+
 def test_round_trip(spark):
     """Texts put into pages come out again."""
     draw = random.Random(9)
