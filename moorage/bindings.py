@@ -6,11 +6,12 @@ whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
 from moorage.operators.joins import attach_children, lookup_join
+from moorage.operators.keys import numbered_within
 from moorage.sources.tables import scan
 
 # ---------------------------------------------------------------- encounters
@@ -62,7 +63,7 @@ extract AS (SELECT p.patient_id, given_name, family_name, birth_date, city, enco
 # -------------------------------------------------------------- appointments
 
 
-#: Appointment ids leave room for so many lines of an order.
+#: Ids of an order's lines up to this number are the order's key times this, plus the line.
 LINE_ROOM = 10_000
 
 
@@ -70,11 +71,26 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every given line, numbered from one within its order; the given numbers repeat and only set the order."""
     columns = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
     rows = scan(spark, folder, "lineitem", ["l_orderkey", *columns])
-    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*columns))
-    return rows.select(
-        "l_orderkey", place.alias("l_linenumber"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"),
-        F.col("l_quantity").cast("int").alias("quantity"), S.money(F.col("l_extendedprice"), 12).alias("price"),
-        F.col("l_returnflag").alias("flag"), F.col("l_shipdate").alias("shipped"),
+    return numbered_within(rows, "l_orderkey", columns, "_number").select(
+        "l_orderkey", F.col("_number").cast("int").alias("l_linenumber"), F.col("l_partkey").alias("part"),
+        F.col("l_suppkey").alias("supplier"), F.col("l_quantity").cast("int").alias("quantity"),
+        S.money(F.col("l_extendedprice"), 12).alias("price"), F.col("l_returnflag").alias("flag"),
+        F.col("l_shipdate").alias("shipped"),
+    )
+
+
+def appointment_id(order: Column, line: Column) -> Column:
+    """One bigint per order and line, the same in every extract and never shared.
+
+    Lines from ``LINE_ROOM`` on get negative ids: key and line side by side, the
+    line in six, eight or ten digits, and a last digit that says which. Ids
+    past 64 bits raise an error.
+    """
+    order, line = order.cast("bigint"), line.cast("bigint")
+    wide = lambda digits, mark: F.negative((order * F.lit(10**digits) + line) * 10 + mark)
+    return (
+        F.when(line < LINE_ROOM, order * LINE_ROOM + line)
+        .when(line < 10**6, wide(6, 1)).when(line < 10**8, wide(8, 2)).otherwise(wide(10, 3))
     )
 
 
@@ -100,7 +116,7 @@ def appointments(spark: SparkSession, folder: str, raw_end: bool = False) -> Dat
     starts = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("l_linenumber"))
     ends = F.col("shipped") if raw_end else starts + F.make_dt_interval(F.lit(0), F.lit(0), F.col("quantity"))
     return lookup_join(rows, orders, "o_orderkey").select(
-        (F.col("o_orderkey") * LINE_ROOM + F.col("l_linenumber")).alias("appointment_id"),
+        appointment_id(F.col("o_orderkey"), F.col("l_linenumber")).alias("appointment_id"),
         F.col("o_custkey").alias("patient_id"),
         F.col("supplier").alias("doctor_id"),
         starts.alias("starts_at"),

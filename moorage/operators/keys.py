@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moorage.session import materialise
@@ -23,13 +23,7 @@ def allocate_keys(
     row count of each range comes to the driver.
     """
     order = [natural_key] if isinstance(natural_key, str) else list(natural_key)
-    placed = materialise(
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
-        "keys",
-    )
+    placed = _placed(rows, order)
     counts = placed.groupBy("_range").agg(F.count("*").alias("size"))
     if isinstance(after, DataFrame):
         counts = counts.unionByName(after.agg(F.lit(-1).alias("_range"), F.coalesce(F.max(key), F.lit(0)).alias("size")))
@@ -44,3 +38,45 @@ def allocate_keys(
         (offset + F.col("_place") + 1).alias(key),
         *[F.col(name) for name in rows.columns],
     )
+
+
+def _placed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The rows sorted over ranges, with each row's ``_range`` and ``_place``, written down."""
+    return materialise(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_range", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        "keys",
+    )
+
+
+def numbered_within(rows: DataFrame, group: str, order: Sequence[str], number: str) -> DataFrame:
+    """Number the rows of each group from one, in the given order.
+
+    The ranges cut large groups too, so no task sorts a whole one. Rows are
+    numbered inside their range; the only group of a range that can have begun
+    in an earlier one is its first, and the rows that it has there are added.
+    Only one row per range comes to the driver.
+    """
+    placed = _placed(rows, [group, *order])
+    sizes = placed.groupBy("_range", F.struct(group).alias("_group")).agg(F.count("*").alias("size"))
+    ends = sizes.groupBy("_range").agg(
+        F.min("_group").alias("first"), F.max("_group").alias("last"), F.max_by("size", "_group").alias("size")
+    ).collect()
+    before = [0] * (max((end["_range"] for end in ends), default=0) + 1)
+    last, running = None, 0
+    for end in sorted(ends, key=lambda end: end["_range"]):
+        if end["first"] != last:
+            running = 0
+        before[end["_range"]] = running
+        if end["first"] != end["last"]:
+            running = 0
+        last, running = end["last"], running + end["size"]
+    in_range = Window.partitionBy("_range", group).orderBy("_place")
+    # The group of a range that holds its first row is the first one.
+    begun = F.when(
+        F.min("_place").over(Window.partitionBy("_range", group)) == 0,
+        F.get(F.lit(before).cast("array<bigint>"), F.col("_range")),
+    ).otherwise(0)
+    return placed.select(*rows.columns, (F.row_number().over(in_range) + begun).alias(number))

@@ -2,7 +2,7 @@
 
 import os
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from conftest import rows
@@ -188,3 +188,33 @@ def test_totals_side_by_side(spark):
 def test_a_missing_column_in_a_map_fails(spark):
     with pytest.raises(Exception, match="nothing"):
         tables.mapped(spark.range(1), {"a": ("nothing", "int")}).collect()
+
+
+def test_lines_of_a_very_large_order(spark, tmp_path):
+    """An order of 25,000 lines between small ones: numbers without gaps, in order, over several ranges, and ids of their own."""
+    n = 25_000
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    lines = spark.range(n).selectExpr("5L AS l_orderkey", "id").unionByName(
+        spark.range(300).selectExpr("1 + id % 30 AS l_orderkey", "id")
+    ).selectExpr(
+        "l_orderkey", "CAST(id % 7 AS INT) AS l_linenumber", "id AS l_partkey", "id % 5 AS l_suppkey", "1D AS l_quantity",
+        "CAST(id AS DOUBLE) AS l_extendedprice", "'A' AS l_returnflag", "TIMESTAMP_NTZ '2026-01-05 00:00:00' AS l_shipdate",
+    )
+    orders = spark.range(1, 31).selectExpr("id AS o_orderkey", "id AS o_custkey", "TIMESTAMP_NTZ '2026-01-01 00:00:00' AS o_orderdate")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = defaultdict(list)
+    for order, line, part in bindings.order_lines(spark, str(tmp_path)).select("l_orderkey", "l_linenumber", "part").collect():
+        found[order].append((line, part % 7, part))
+    assert len(found[5]) == n + 10 and len(found) == 30
+    for of_order in found.values():
+        assert [line for line, _, _ in sorted(of_order)] == list(range(1, len(of_order) + 1))
+        given = [row[1:] for row in sorted(of_order)]
+        assert given == sorted(given)
+    ids = bindings.appointments(spark, str(tmp_path)).select("appointment_id")
+    assert ids.count() == ids.distinct().count() == n + 300
+    numbered = keys.numbered_within(lines, "l_orderkey", ["l_partkey"], "n")
+    spark.conf.set(coalesce, before)
+    assert numbered.where("l_orderkey = 5").agg(F.max("n"), F.countDistinct("n")).first() == (n + 10, n + 10)
