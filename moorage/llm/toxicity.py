@@ -8,7 +8,9 @@ were never seen share most n-grams with seen ones and so inherit their vectors.
 
 The training set is bounded: at most ``max_rows`` labelled rows per class,
 taken by the smallest hash of the id, with whole texts up to ``max_chars``
-characters per class in total. Scoring covers every row and whole texts.
+characters per class in total, none longer than a twentieth of that (250,000
+characters); a text that doesn't fit the room left is skipped. Scoring covers
+every row and whole texts.
 
 Because averaging and softmax are linear up to the last step, a word's
 contribution to the class margin is one number; a worker computes it once per
@@ -236,7 +238,7 @@ def training_rows(
             "_order", "_key"
         ).select("_text", "_size").limit(max_rows).toLocalIterator():
             if row["_size"] > room:
-                break
+                continue
             room -= row["_size"]
             texts.append(row["_text"])
             found.append(value)

@@ -192,6 +192,15 @@ def test_held_out_rows_are_never_learned(talk):
     assert texts and not held & set(texts) and set(classes) == {0, 1}
 
 
+def test_training_goes_on_after_a_text_that_does_not_fit(spark):
+    sizes = [(i, "x" * (3 if i % 5 else 1)) for i in range(400)]
+    docs = spark.createDataFrame(sizes, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+    texts, classes = toxicity.training_rows(docs, labels, key="doc_id", text="text", label="toxic", max_rows=1000, max_chars=101)
+    for value in (0, 1):
+        assert sum(len(t) for t, c in zip(texts, classes) if c == value) == 101
+
+
 def test_toxicity_odd_rows(odd, nothing, talk):
     model = toxicity.train(*talk, steps=5, buckets=1 << 10)
     rows = toxicity.score(odd, model).collect()
