@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.llm import (
-    decontam, html_text, kd_shards, licenses, mixing, quality_ledger, repeats, secret_scan, simhash, toxicity,
+    alignment, decontam, html_text, kd_shards, licenses, mixing, neighbours, quality_ledger, ranked_search, repeats, secret_scan,
+    simhash, toxicity,
 )
 from moorage.llm.common import table
 
 
+#: Folder of the public tokenizers' vocabulary files.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
 def _sha256(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 
@@ -91,6 +98,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
+    )
+
+
+def op12_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return neighbours.score(docs, neighbours.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +123,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_html_text, op3_license_spans, op4_quality_ledger, op5_toxicity, op6_decontaminate,
-        op7_kd_shards, op8_repeats, op9_simhash, op10_secret_scan, pipeline,
+        op7_kd_shards, op8_repeats, op9_simhash, op10_secret_scan, op11_alignment, op12_quality_neighbours,
+        op13_ranked_search, pipeline,
     )
 }
 
@@ -188,5 +211,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)
+""",
+    "op13_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_PLAIN_WORDS} AS w FROM documents),
+b AS (SELECT qid, item_id, unnest(list_distinct(w)) AS term
+      FROM (SELECT row_number() OVER () AS qid, item_id, {_PLAIN_WORDS} AS w FROM benchmark)),
+a AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM b) GROUP BY rid, term),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight
+      FROM p, a GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 50 + (50 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, a WHERE len(w) > 0),
+s AS (SELECT qid, item_id, rid, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM b JOIN p USING (term) JOIN f USING (term) JOIN m USING (rid) GROUP BY qid, item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 50
 """,
 }
