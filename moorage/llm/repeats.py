@@ -18,6 +18,9 @@ would be sorted, and a suffix array of the corpus doesn't split over a cluster.
 
 Contexts and windows are told apart by 128-bit hashes.
 
+Beside the removal, which is by bytes, every row gets the number of its words that lie in passages of ``passages.WORDS`` words
+or more that another document holds too, however few bytes they have.
+
 Defined results: a null text counts as an empty one; texts under ``LENGTH``
 bytes lose nothing; rows with equal texts, repeated rows and null ids included,
 repeat each other; matches never cross rows; an empty table gives an empty
@@ -37,10 +40,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from moorage.llm import passages
 from moorage.llm.common import identity
 from moorage.session import materialise
 
-LENGTH, GRAM = 400, 128
+LENGTH, GRAM = 400, 64
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -223,16 +227,24 @@ def _by_window(contexts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated_starts(docs: DataFrame, *, key: str, text: str, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(mark, check, start, end): runs of bytes under repeated windows, phrase by phrase, of every row's text.
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text")).select("same.*", "text")
+
+
+def repeated_starts(
+    docs: DataFrame, *, key: str, text: str, length: int = LENGTH, gram: int = GRAM, words: int = passages.WORDS
+) -> DataFrame:
+    """(mark, check, unit, start, end): repeated runs of every row's text, phrase by phrase.
 
-    Within a phrase the first and the last repeated window overlap, so what
-    lies between them is covered too.
+    Runs of bytes lie under repeated windows of bytes, runs of words under windows that another document has. Within
+    a phrase the first and the last repeated window overlap, so what lies between them is covered too.
     """
     parsed = materialise(dictionary_rows(docs, key=key, text=text, length=length, gram=gram), "parse")
-    by_trigger = parsed.groupBy("trigger").agg(
-        F.count("*").alias("n"), F.min("high").alias("least"), F.max("high").alias("most")
-    ).where("n > 1").select("trigger", (F.col("least") != F.col("most")).alias("several"))
+    # A table of its own, so that a frequent trigger's side of the join can be split.
+    by_trigger = materialise(
+        parsed.groupBy("trigger").agg(F.count("*").alias("n"), F.min("high").alias("least"), F.max("high").alias("most"))
+        .where("n > 1").select("trigger", (F.col("least") != F.col("most")).alias("several")), "triggers",
+    )
     shared = materialise(parsed.join(by_trigger, "trigger"), "parse-shared")
 
     # Each distinct context of a trigger that has several, and one text that holds it.
@@ -241,21 +253,39 @@ def repeated_starts(docs: DataFrame, *, key: str, text: str, length: int = LENGT
             F.count("*").alias("times"), F.min(F.struct("mark", "check", "first", "left", "size")).alias("at")
         ), "contexts",
     )
-    asked = contexts.groupBy("at.mark", "at.check").agg(
-        F.collect_list(F.struct("trigger", "high", "low", "times", "at.first", "at.left", "at.size")).alias("asked")
+
+    def word_rows(mark, check, value):
+        return [(mark, check, *phrase) for phrase in passages.parse(value.encode(), words, passages.GRAM)]
+
+    word_shared, word_contexts = passages.shared_phrases(
+        _map(_texts(docs, key, text).where(F.octet_length("text") >= 2 * words - 1), word_rows,
+             "mark long, check int, trigger long, context long, first int, size int")
+    )
+    questions = contexts.select(
+        "at.mark", "at.check", F.lit("bytes").alias("unit"), "trigger", "high", "low", "times", "at.first", "at.left", "at.size"
+    ).unionByName(word_contexts.select(
+        "at.mark", "at.check", F.lit("words").alias("unit"), "trigger", F.col("context").alias("high"), F.lit(0).cast("long").alias("low"),
+        F.lit(1).cast("long").alias("times"), "at.first", F.lit(0).alias("left"), "at.size",
+    ))
+    asked = questions.groupBy("mark", "check").agg(
+        F.collect_list(F.struct("unit", "trigger", "high", "low", "times", "first", "left", "size")).alias("asked")
     )
-    texts = docs.select(identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text")).select("same.*", "text")
-    holders = texts.where(F.octet_length("text") >= length).join(asked, ["mark", "check"]).dropDuplicates(["mark", "check"])
+    long_enough = F.octet_length("text") >= min(length, 2 * words - 1)
+    holders = _texts(docs, key, text).where(long_enough).join(asked, ["mark", "check"]).dropDuplicates(["mark", "check"])
 
     def cut(value, questions):
-        raw = value.encode()
-        return [
-            (q["trigger"], q["high"], q["low"], q["times"], q["left"], q["size"], raw[q["first"] : q["first"] + q["size"] - 1 + length])
-            for q in questions
-        ]
+        raw, hashes = value.encode(), None
+        for q in questions:
+            if q["unit"] == "bytes":
+                found = raw[q["first"] : q["first"] + q["size"] - 1 + length]
+            else:
+                hashes = passages.word_hashes(raw) if hashes is None else hashes
+                found = passages.windows(hashes, q["first"], q["size"], words)
+            yield q["unit"], q["trigger"], q["high"], q["low"], q["times"], q["left"], q["size"], found
 
-    schema = "trigger long, high long, low long, times long, left int, size int, raw binary"
-    held = materialise(_map(holders.select("text", "asked"), cut, schema), "held")
+    schema = "unit string, trigger long, high long, low long, times long, left int, size int, raw binary"
+    answers = materialise(_map(holders.select("text", "asked"), cut, schema), "held")
+    held = answers.where("unit = 'bytes'").drop("unit")
     frequent = held.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > MOST).select("trigger")
     frequent = materialise(frequent, "frequent")
     ranges = held.join(frequent, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(
@@ -268,8 +298,16 @@ def repeated_starts(docs: DataFrame, *, key: str, text: str, length: int = LENGT
         .unionByName(ranges), ["high", "low"],
     )
     same_everywhere = shared.where("not several").withColumns({"least": F.lit(0), "most": F.col("size") - 1})
-    columns = ["mark", "check", (F.col("first") + F.col("least")).alias("start"), (F.col("first") + F.col("most") + length).alias("end")]
-    return same_everywhere.select(*columns).unionByName(several.select(*columns))
+    columns = [
+        "mark", "check", F.lit("bytes").alias("unit"), (F.col("first") + F.col("least")).alias("start"),
+        (F.col("first") + F.col("most") + length).alias("end"),
+    ]
+    of_words = passages.covered(
+        word_shared, word_contexts, answers.where("unit = 'words'").select("trigger", F.col("high").alias("context"), "raw"), words
+    )
+    return same_everywhere.select(*columns).unionByName(several.select(*columns)).unionByName(
+        of_words.withColumn("unit", F.lit("words"))
+    )
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -283,17 +321,20 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
-def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per row: key, n_bytes, n_removed, n_spans, ``spans`` (removed runs of bytes), kept_sha256."""
-    runs = repeated_starts(docs, key=key, text=text, length=length, gram=gram)
-    per_text = runs.groupBy("mark", "check").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+def remove(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, words: int = passages.WORDS
+) -> DataFrame:
+    """Per row: key, n_bytes, n_removed, n_spans, ``spans`` (removed runs of bytes), kept_sha256, n_passage_words."""
+    runs = repeated_starts(docs, key=key, text=text, length=length, gram=gram, words=words)
+    per_text = runs.groupBy("mark", "check").agg(F.collect_set(F.struct("unit", "start", "end")).alias("runs"))
     texts = docs.select(F.col(key).alias("key"), identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text"))
     joined = texts.select("key", "same.*", "text").join(per_text, ["mark", "check"], "left").select("key", "text", "runs")
     kind = docs.schema[key].dataType.simpleString()
 
     def row(k, value, found):
         raw = (value or "").encode()
-        spans = merged([(r["start"], r["end"]) for r in found or []])
+        spans = merged([(r["start"], r["end"]) for r in found or [] if r["unit"] == "bytes"])
+        shared = merged([(r["start"], r["end"]) for r in found or [] if r["unit"] == "words"])
         kept, place = hashlib.sha256(), 0
         for start, end in spans:
             kept.update(raw[place:start])
@@ -301,10 +342,11 @@ def remove(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length:
         kept.update(raw[place:])
         return [(
             k, len(raw), sum(end - start for start, end in spans), len(spans),
-            [{"start": start, "end": end} for start, end in spans], kept.hexdigest(),
+            [{"start": start, "end": end} for start, end in spans], kept.hexdigest(), sum(end - start for start, end in shared),
         )]
 
     return _map(
         joined, row,
-        f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept_sha256 string",
+        f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept_sha256 string, "
+        "n_passage_words long",
     )

@@ -1,8 +1,9 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
-from moorage.llm import repeats
+from moorage.llm import passages, repeats
 
 
 def plain(texts, length):
@@ -77,6 +78,50 @@ def test_odd_rows(odd, nothing):
     assert repeats.remove(nothing).count() == 0
 
 
+def plain_passages(rows, words):
+    """Words under a run of ``words`` words that a row of another id or text has too."""
+    split = [re.findall("[^\\x20\\x09-\\x0D]+", text or "") for _, text in rows]
+    holders = {}
+    for row, own in zip(rows, split):
+        for i in range(len(own) - words + 1):
+            holders.setdefault(tuple(own[i : i + words]), set()).add(tuple(row))
+    found = []
+    for own in split:
+        hit = {i + k for i in range(len(own) - words + 1) if len(holders[tuple(own[i : i + words])]) > 1 for k in range(words)}
+        found.append(len(hit))
+    return found
+
+
+def test_passages_of_small_texts(spark):
+    draw = random.Random(8)
+    shared = [[draw.choice("abcdefg") for _ in range(draw.choice([7, 9, 12, 30]))] for _ in range(5)]
+    rows = []
+    for number in range(50):
+        own = []
+        for _ in range(draw.randint(0, 5)):
+            own += draw.choice(shared) if draw.random() < 0.5 else [draw.choice("hijklmnop") for _ in range(draw.randint(1, 30))]
+        rows.append((number, " \n"[number % 2].join(own)))
+    rows += [*rows[:4], (70, rows[5][1]), (71, "x y z " * 40), (72, None), (None, rows[6][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = Counter((r["doc_id"], r["n_passage_words"]) for r in repeats.remove(frame, length=40, gram=12, words=9).collect())
+    assert found == Counter((row[0], n) for row, n in zip(rows, plain_passages(rows, 9)))
+
+
+def test_passages_of_given_texts(documents):
+    rows = documents.select("doc_id", "text").collect()
+    found = {r["doc_id"]: r["n_passage_words"] for r in repeats.remove(documents).collect()}
+    wanted = plain_passages(rows, passages.WORDS)
+    assert [found[r["doc_id"]] for r in rows] == wanted and any(wanted)
+
+
+def test_words_are_hashed_in_pieces():
+    raw = b" one two\tthree\r\nfour  five " * 20
+    whole = passages.word_hashes(raw)
+    assert len(whole) == 100
+    for size in (1, 3, 8, 50):
+        assert (passages.word_hashes(raw, size) == whole).all()
+
+
 def test_frequent_triggers_go_window_by_window(spark, monkeypatch):
     monkeypatch.setattr(repeats, "MOST", 1)
     check(spark, made(4, 40), 24, 12)
