@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moorage.llm.membership import Members
 from moorage.session import materialise
 
 WORDS, GRAM = 51, 6
@@ -63,7 +64,7 @@ def shared_phrases(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows.groupBy("trigger").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high").select("trigger"),
         "word-triggers",
     )
-    shared = materialise(rows.join(triggers, "trigger"), "words-shared")
+    shared = materialise(Members(triggers, "trigger").keep(rows, "trigger").join(triggers, "trigger"), "words-shared")
     contexts = shared.groupBy("trigger", "context").agg(
         F.min("mark").alias("low"), F.max("mark").alias("high"), F.min(F.struct("mark", "check", "first", "size")).alias("at")
     )

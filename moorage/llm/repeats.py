@@ -42,6 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from moorage.llm import passages
 from moorage.llm.common import identity
+from moorage.llm.membership import Members
 from moorage.session import materialise
 
 LENGTH, GRAM = 400, 64
@@ -245,7 +246,7 @@ def repeated_starts(
         parsed.groupBy("trigger").agg(F.count("*").alias("n"), F.min("high").alias("least"), F.max("high").alias("most"))
         .where("n > 1").select("trigger", (F.col("least") != F.col("most")).alias("several")), "triggers",
     )
-    shared = materialise(parsed.join(by_trigger, "trigger"), "parse-shared")
+    shared = materialise(Members(by_trigger, "trigger").keep(parsed, "trigger").join(by_trigger, "trigger"), "parse-shared")
 
     # Each distinct context of a trigger that has several, and one text that holds it.
     contexts = materialise(
@@ -271,7 +272,9 @@ def repeated_starts(
         F.collect_list(F.struct("unit", "trigger", "high", "low", "times", "first", "left", "size")).alias("asked")
     )
     long_enough = F.octet_length("text") >= min(length, 2 * words - 1)
-    holders = _texts(docs, key, text).where(long_enough).join(asked, ["mark", "check"]).dropDuplicates(["mark", "check"])
+    asked_of = Members(materialise(questions.select("mark").distinct(), "asked"), "mark")
+    texts = asked_of.keep(_texts(docs, key, text).where(long_enough), "mark")
+    holders = texts.join(asked, ["mark", "check"]).dropDuplicates(["mark", "check"])
 
     def cut(value, questions):
         raw, hashes = value.encode(), None
@@ -326,9 +329,13 @@ def remove(
 ) -> DataFrame:
     """Per row: key, n_bytes, n_removed, n_spans, ``spans`` (removed runs of bytes), kept_sha256, n_passage_words."""
     runs = repeated_starts(docs, key=key, text=text, length=length, gram=gram, words=words)
-    per_text = runs.groupBy("mark", "check").agg(F.collect_set(F.struct("unit", "start", "end")).alias("runs"))
+    per_text = materialise(
+        runs.groupBy("mark", "check").agg(F.collect_set(F.struct("unit", "start", "end")).alias("runs")), "runs"
+    )
     texts = docs.select(F.col(key).alias("key"), identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text"))
-    joined = texts.select("key", "same.*", "text").join(per_text, ["mark", "check"], "left").select("key", "text", "runs")
+    texts, members = texts.select("key", "same.*", "text"), Members(per_text, "mark")
+    joined = members.keep(texts, "mark").join(per_text, ["mark", "check"], "left").select("key", "text", "runs")
+    untouched = members.keep(texts, "mark", inside=False).select("key", "text", F.lit(None).cast(joined.schema["runs"].dataType).alias("runs"))
     kind = docs.schema[key].dataType.simpleString()
 
     def row(k, value, found):
@@ -346,7 +353,7 @@ def remove(
         )]
 
     return _map(
-        joined, row,
+        joined.unionByName(untouched), row,
         f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept_sha256 string, "
         "n_passage_words long",
     )

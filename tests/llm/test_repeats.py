@@ -125,3 +125,17 @@ def test_words_are_hashed_in_pieces():
 def test_frequent_triggers_go_window_by_window(spark, monkeypatch):
     monkeypatch.setattr(repeats, "MOST", 1)
     check(spark, made(4, 40), 24, 12)
+
+
+def test_members_all_pass(spark):
+    import numpy as np
+
+    from moorage.llm.membership import Members
+
+    keys = np.random.default_rng(4).integers(-(1 << 63), 1 << 63, 4000, dtype=np.int64).tolist()
+    frame = spark.createDataFrame([(key, place) for place, key in enumerate(keys)] + [(None, -1)], "key long, place int")
+    members = Members(frame.where("place < 2000"), "key")
+    passed = {row["place"] for row in members.keep(frame, "key").collect()}
+    assert passed >= set(range(2000)) and len(passed) < 2010
+    assert {row["place"] for row in members.keep(frame, "key", inside=False).collect()} == {-1, *range(4000)} - passed
+    assert Members(frame.limit(0), "key").keep(frame, "key").count() == 0
