@@ -2,8 +2,8 @@
 
 A text is its row of word hashes; triggers are runs of ``GRAM`` words with the smallest hash in each window of ``WORDS`` words,
 and they cut the windows into phrases as bytes are cut there. A phrase whose trigger no other document has is settled at
-once. A context that two documents hold is a passage as a whole; the windows of the other contexts are hashed one by one and counted over
-the cluster. `repeats.remove` runs both parses, so that the texts meet the questions of both in one join.
+once. A context that two documents hold is a passage as a whole; where a trigger has other contexts too, the windows of all are hashed
+one by one, to 64 bits, and counted over the cluster. `repeats.remove` runs both parses, so that the texts meet the questions of both in one join.
 
 Words are separated by blanks (bytes 9 to 13 and 32). Rows equal in id and text are one document here. Texts of fewer words have no passage.
 """
@@ -51,52 +51,49 @@ def parse(raw: bytes, words: int, gram: int) -> Iterator[tuple[int, int, int, in
         )
 
 
-def windows(hashes: np.ndarray, first: int, size: int, words: int) -> bytes:
-    """128-bit hashes of the windows that start at ``first`` and the ``size - 1`` words after, end to end."""
+def windows(hashes: np.ndarray, first: int, size: int, words: int) -> list[int]:
+    """A hash of the window that starts at ``first`` and of those of the ``size - 1`` words after."""
     raw = hashes[first : first + size - 1 + words].tobytes()
-    return b"".join(xxhash.xxh3_128_digest(raw[8 * place : 8 * (place + words)]) for place in range(size))
+    return [struct.unpack("<q", xxhash.xxh3_64_digest(raw[8 * place : 8 * (place + words)]))[0] for place in range(size)]
 
 
-def shared_phrases(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of all phrases (mark, check, trigger, context, first, size): those whose trigger another document has, and their contexts."""
+def shared_phrases(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of all phrases (mark, check, trigger, context, first, size): those whose trigger another document has, their
+    contexts, and the contexts whose windows must be known, with ``holders``: 1 if one document has it, else 2.
+
+    Where all contexts of a trigger are held by several documents, or it has only one, no window is asked for.
+    """
     rows = materialise(rows, "words")
     triggers = materialise(
         rows.groupBy("trigger").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high").select("trigger"),
         "word-triggers",
     )
     shared = materialise(Members(triggers, "trigger").keep(rows, "trigger").join(triggers, "trigger"), "words-shared")
-    contexts = shared.groupBy("trigger", "context").agg(
-        F.min("mark").alias("low"), F.max("mark").alias("high"), F.min(F.struct("mark", "check", "first", "size")).alias("at")
+    contexts = materialise(
+        shared.groupBy("trigger", "context").agg(
+            F.when(F.min("mark") == F.max("mark"), 1).otherwise(2).alias("holders"),
+            F.min(F.struct("mark", "check", "first", "size")).alias("at"),
+        ), "word-contexts",
     )
-    return shared, materialise(contexts, "word-contexts")
+    open_ = contexts.groupBy("trigger").agg(F.count("*").alias("n"), F.min("holders").alias("least")).where("n > 1 AND least = 1")
+    return shared, contexts, contexts.join(materialise(open_.select("trigger"), "word-open"), "trigger", "left_semi")
 
 
 def covered(shared: DataFrame, contexts: DataFrame, held: DataFrame, words: int) -> DataFrame:
     """(mark, check, start, end): runs of words under windows that another document has.
 
-    ``held`` has the window hashes (trigger, context, raw) of every context.
+    ``held`` has the windows (trigger, context, holders, mark, windows) of the contexts that were asked for.
     """
-    from moorage.llm.repeats import _map
-
-    def single(trigger, context, low, high, raw):
-        return [
-            (*struct.unpack("<qq", raw[16 * shift : 16 * shift + 16]), trigger, context, shift, low, high) for shift in range(len(raw) // 16)
-        ]
-
-    known = held.join(contexts.select("trigger", "context", "low", "high"), ["trigger", "context"])
-    apart = materialise(
-        _map(known.select("trigger", "context", "low", "high", "raw"), single,
-             "w_high long, w_low long, trigger long, context long, shift int, low long, high long"),
-        "word-windows",
-    )
+    apart = held.select("trigger", "context", "holders", "mark", F.posexplode("windows").alias("shift", "window"))
     classes = materialise(
-        apart.groupBy("w_high", "w_low").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-        .select("w_high", "w_low"), "word-classes",
+        apart.groupBy("window").agg(F.max("holders").alias("holders"), F.min("mark").alias("low"), F.max("mark").alias("high"))
+        .where("holders > 1 OR low <> high").select("window"), "word-classes",
     )
-    ranges = apart.where("low = high").join(classes, ["w_high", "w_low"]).groupBy("trigger", "context").agg(
-        F.min("shift").alias("least"), F.max("shift").alias("most")
+    ranges = (
+        Members(classes, "window").keep(apart.where("holders = 1").select("trigger", "context", "shift", "window"), "window")
+        .join(classes, "window").groupBy("trigger", "context").agg(F.min("shift").alias("least"), F.max("shift").alias("most"))
     )
-    whole = contexts.where("low <> high").select("trigger", "context", F.lit(0).alias("least"), (F.col("at.size") - 1).alias("most"))
+    whole = contexts.where("holders > 1").select("trigger", "context", F.lit(0).alias("least"), (F.col("at.size") - 1).alias("most"))
     found = shared.join(materialise(whole.unionByName(ranges), "word-ranges"), ["trigger", "context"])
     return found.select(
         "mark", "check", (F.col("first") + F.col("least")).alias("start"), (F.col("first") + F.col("most") + words).alias("end")

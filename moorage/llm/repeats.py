@@ -258,15 +258,15 @@ def repeated_starts(
     def word_rows(mark, check, value):
         return [(mark, check, *phrase) for phrase in passages.parse(value.encode(), words, passages.GRAM)]
 
-    word_shared, word_contexts = passages.shared_phrases(
+    word_shared, word_contexts, word_open = passages.shared_phrases(
         _map(_texts(docs, key, text).where(F.octet_length("text") >= 2 * words - 1), word_rows,
              "mark long, check int, trigger long, context long, first int, size int")
     )
     questions = contexts.select(
         "at.mark", "at.check", F.lit("bytes").alias("unit"), "trigger", "high", "low", "times", "at.first", "at.left", "at.size"
-    ).unionByName(word_contexts.select(
-        "at.mark", "at.check", F.lit("words").alias("unit"), "trigger", F.col("context").alias("high"), F.lit(0).cast("long").alias("low"),
-        F.lit(1).cast("long").alias("times"), "at.first", F.lit(0).alias("left"), "at.size",
+    ).unionByName(word_open.select(
+        "at.mark", "at.check", F.lit("words").alias("unit"), "trigger", F.col("context").alias("high"), F.col("at.mark").alias("low"),
+        F.col("holders").cast("long").alias("times"), "at.first", F.lit(0).alias("left"), "at.size",
     ))
     asked = questions.groupBy("mark", "check").agg(
         F.collect_list(F.struct("unit", "trigger", "high", "low", "times", "first", "left", "size")).alias("asked")
@@ -279,16 +279,17 @@ def repeated_starts(
     def cut(value, questions):
         raw, hashes = value.encode(), None
         for q in questions:
+            context = found = None
             if q["unit"] == "bytes":
-                found = raw[q["first"] : q["first"] + q["size"] - 1 + length]
+                context = raw[q["first"] : q["first"] + q["size"] - 1 + length]
             else:
                 hashes = passages.word_hashes(raw) if hashes is None else hashes
                 found = passages.windows(hashes, q["first"], q["size"], words)
-            yield q["unit"], q["trigger"], q["high"], q["low"], q["times"], q["left"], q["size"], found
+            yield q["unit"], q["trigger"], q["high"], q["low"], q["times"], q["left"], q["size"], context, found
 
-    schema = "unit string, trigger long, high long, low long, times long, left int, size int, raw binary"
+    schema = "unit string, trigger long, high long, low long, times long, left int, size int, raw binary, windows array<long>"
     answers = materialise(_map(holders.select("text", "asked"), cut, schema), "held")
-    held = answers.where("unit = 'bytes'").drop("unit")
+    held = answers.where("unit = 'bytes'").drop("unit", "windows")
     frequent = held.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > MOST).select("trigger")
     frequent = materialise(frequent, "frequent")
     ranges = held.join(frequent, "trigger", "left_anti").repartition("trigger").sortWithinPartitions("trigger").mapInArrow(
@@ -305,9 +306,10 @@ def repeated_starts(
         "mark", "check", F.lit("bytes").alias("unit"), (F.col("first") + F.col("least")).alias("start"),
         (F.col("first") + F.col("most") + length).alias("end"),
     ]
-    of_words = passages.covered(
-        word_shared, word_contexts, answers.where("unit = 'words'").select("trigger", F.col("high").alias("context"), "raw"), words
+    word_answers = answers.where("unit = 'words'").select(
+        "trigger", F.col("high").alias("context"), F.col("times").alias("holders"), F.col("low").alias("mark"), "windows"
     )
+    of_words = passages.covered(word_shared, word_contexts, word_answers, words)
     return same_everywhere.select(*columns).unionByName(several.select(*columns)).unionByName(
         of_words.withColumn("unit", F.lit("words"))
     )
