@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from moorage.llm import passages
-from moorage.llm.common import identity
+from moorage.llm.common import identity, pieces
 from moorage.llm.membership import Members
 from moorage.session import materialise
 
@@ -118,19 +118,23 @@ def parse(text: str | None, length: int, gram: int) -> list[dict]:
     return found
 
 
-def _map(frame: DataFrame, function, schema: str) -> DataFrame:
-    """Any number of output rows, as tuples, per input row; a batch goes out as soon as it has enough rows."""
+def _map(frame: DataFrame, function, schema: str, keep=None) -> DataFrame:
+    """Any number of output rows, as tuples, per input row; ``keep`` takes a batch to the part of it that counts.
+
+    Few rows are Python objects at a time, and made rows go out as soon as there are enough.
+    """
     target = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(target)
 
     def run(batches):
         for batch in batches:
             made: list[tuple] = []
-            for values in zip(*(column.to_pylist() for column in batch.columns)):
-                made += function(*values)
-                if len(made) >= 50_000:
-                    yield _batch(made, arrow)
-                    made = []
+            for piece in pieces(keep(batch) if keep else batch):
+                for values in zip(*(column.to_pylist() for column in piece.columns)):
+                    made += function(*values)
+                    if len(made) >= 50_000:
+                        yield _batch(made, arrow)
+                        made = []
             yield _batch(made, arrow)
 
     return frame.mapInArrow(run, target)
@@ -337,7 +341,6 @@ def remove(
     texts = docs.select(F.col(key).alias("key"), identity(F.col(key), F.col(text)).alias("same"), F.col(text).alias("text"))
     texts, members = texts.select("key", "same.*", "text"), Members(per_text, "mark")
     joined = members.keep(texts, "mark").join(per_text, ["mark", "check"], "left").select("key", "text", "runs")
-    untouched = members.keep(texts, "mark", inside=False).select("key", "text", F.lit(None).cast(joined.schema["runs"].dataType).alias("runs"))
     kind = docs.schema[key].dataType.simpleString()
 
     def row(k, value, found):
@@ -354,8 +357,12 @@ def remove(
             [{"start": start, "end": end} for start, end in spans], kept.hexdigest(), sum(end - start for start, end in shared),
         )]
 
-    return _map(
-        joined.unionByName(untouched), row,
+    schema = (
         f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept_sha256 string, "
-        "n_passage_words long",
+        "n_passage_words long"
     )
+    found = _map(joined, row, schema)
+    if members.bits is None:
+        return found
+    others = lambda batch: members.among(batch, 2, inside=False)
+    return found.unionByName(_map(texts.select("key", "text", "mark"), lambda k, value, _: row(k, value, None), schema, others))
