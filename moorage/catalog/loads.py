@@ -197,6 +197,16 @@ def _two_batches(spark, folder):
     return keyed(rows.where(f"starts_at < TIMESTAMP_NTZ '{SPLIT} 00:00:00'")), keyed(moved)
 
 
+def _merged(spark, batches):
+    """The fact table after its batches were merged one by one, month by month."""
+    store, like = warehouses.new_store(spark, "fact"), tables.inline(spark, [], _APPT_FACT)
+    for batch in batches:
+        draft = store.draft()
+        facts.merge(draft, "fact", batch, like, "appointment_id", "appointment_key", facts.month_of())
+        draft.publish()
+    return store.read()["fact"]
+
+
 @query(
     f"""WITH {B.APPT_SQL}, rows AS (SELECT *, starts_at < TIMESTAMP '{SPLIT} 00:00:00' AS old,
       status = 'Cancelled' AS moved FROM appointment)
@@ -205,11 +215,7 @@ def _two_batches(spark, folder):
       CAST(cost + CASE WHEN moved THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS cost FROM rows"""
 )
 def load_fact_upsert(spark, folder):
-    fact = tables.inline(spark, [], _APPT_FACT)
-    for batch in _two_batches(spark, folder):
-        fact = facts.upsert(fact, batch, "appointment_id", "appointment_key")
-        fact = materialise(fact, "fact")
-    return fact
+    return _merged(spark, _two_batches(spark, folder))
 
 
 @query(
@@ -250,10 +256,8 @@ def retain_missing_source_rows(spark, folder):
     rows = materialise(B.appointments(spark, folder), "appointments").select(
         "appointment_id", S.date_key(F.col("starts_at")).alias("date_key"), "status", "cost"
     )
-    fact = tables.inline(spark, [], _APPT_FACT)
     # The second extract no longer has the cancelled appointments; their facts stay.
-    for batch in (rows, rows.where("status <> 'Cancelled'")):
-        fact = materialise(facts.upsert(fact, batch, "appointment_id", "appointment_key"), "fact")
+    fact = _merged(spark, (rows, rows.where("status <> 'Cancelled'")))
     return fact.groupBy("status").agg(F.count("*").alias("appointments"), S.total(F.col("cost")).alias("amount"))
 
 

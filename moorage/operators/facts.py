@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moorage.operators.joins import lookup_join, unseen, update_from
-from moorage.operators.keys import allocate_keys
+from moorage.operators.keys import allocate, allocate_keys
+from moorage.session import materialise
+from moorage.sources.store import Draft
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,70 @@ def upsert(fact: DataFrame, rows: DataFrame, natural_key: str, key: str) -> Data
     return kept.unionByName(added.select(*fact.columns))
 
 
+PART = "_part"
+
+
+def month_of(date_key: str = "date_key") -> Column:
+    """The part of a fact: year and month of its date key."""
+    return F.floor(F.col(date_key) / 100).cast("int")
+
+
+def merge(draft: Draft, name: str, rows: DataFrame, like: DataFrame, natural_key: str, key: str, part: Column) -> list[str]:
+    """Update facts by natural id and add unseen ids in a table kept in parts; returns the parts that hold the batch.
+
+    ``rows`` is unique on the id and has all columns of ``like`` but the key. A narrow table beside the facts holds each id's key and
+    part, the latest entry of an id being its present one; it only grows. So the parts that hold facts of the batch
+    are known without reading any: those are rewritten without them, the batch is written to its parts, and all
+    other parts stay as they are. An id whose part changes leaves the old one.
+    """
+    places = f"{name}__places"
+    if draft.read(name) is not None and not draft.in_parts(name):
+        _into_parts(draft, name, natural_key, key, part)
+    rows = rows.select(*[column for column in like.columns if column != key], part.alias(PART))
+    known = draft.read(places)
+    top = draft.top_key(name) or 0
+    if known is None:
+        seen, new = None, rows
+    else:
+        latest = (
+            known.join(rows.select(natural_key), natural_key, "left_semi")
+            .groupBy(natural_key).agg(F.max_by(F.struct(F.col(key).alias("key"), F.col("part")), "version").alias("_place"))
+        )
+        placed = materialise(rows.join(latest, natural_key, "left"), "batch")
+        seen, new = placed.where("_place IS NOT NULL"), placed.where("_place IS NULL").drop("_place")
+    columns = [*like.columns, PART]
+    added, top = allocate(new, natural_key, key, top)
+    batch = added.select(*columns, F.lit(None).cast("int").alias("_from"))
+    left: list[str] = []
+    if seen is not None:
+        batch = batch.unionByName(seen.withColumn(key, F.col("_place.key")).select(*columns, F.col("_place.part").alias("_from")))
+        left = [str(row[0]) for row in seen.select("_place.part").distinct().collect()]
+    written = draft.write_parts(batch.select(*columns), PART, name)
+    replaced: dict[str, str | None] = {}
+    if left:
+        rest = draft.read(name, left).join(seen.select(natural_key), natural_key, "left_anti")
+        replaced = dict.fromkeys(left) | draft.write_parts(rest.withColumn(PART, part), PART, name)
+    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in like.schema)
+    draft.put_parts(name, schema, replaced, written, top)
+    moved = batch.where("_from IS NULL OR _from <> " + PART)
+    draft.append(places, _places(moved, natural_key, key, draft.base + 1))
+    return sorted(written)
+
+
+def _places(rows: DataFrame, natural_key: str, key: str, version: int) -> DataFrame:
+    return rows.select(natural_key, key, F.col(PART).alias("part"), F.lit(version).cast("bigint").alias("version"))
+
+
+def _into_parts(draft: Draft, name: str, natural_key: str, key: str, part: Column) -> None:
+    """Put a table that was published whole into parts, once."""
+    whole = draft.read(name)
+    rows = whole.withColumn(PART, part)
+    top = whole.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in whole.schema)
+    draft.put_parts(name, schema, {}, draft.write_parts(rows, PART, name), top)
+    draft.put(f"{name}__places", _places(rows, natural_key, key, draft.base))
+
+
 def new_facts(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     """The rows with an unseen natural key, with keys above those in use."""
     rows = rows.select(*[name for name in fact.columns if name != key])

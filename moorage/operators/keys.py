@@ -16,6 +16,14 @@ def allocate_keys(
     """Give every row the next free number in natural-key order.
 
     ``after`` is the highest number in use, or the table that holds it.
+    """
+    return allocate(rows, natural_key, key, after)[0]
+
+
+def allocate(
+    rows: DataFrame, natural_key: str | Sequence[str], key: str, after: int | DataFrame = 0
+) -> tuple[DataFrame, int]:
+    """Numbered rows, and the highest number in use with them.
 
     The rows are range-partitioned and sorted inside each range, so no task
     sorts everything. Each row's range and place in it are written down before
@@ -34,10 +42,8 @@ def allocate_keys(
         before.append(running)
         running += sizes.get(number, 0)
     offset = F.get(F.lit(before).cast("array<bigint>"), F.col("_range"))
-    return placed.select(
-        (offset + F.col("_place") + 1).alias(key),
-        *[F.col(name) for name in rows.columns],
-    )
+    numbered = placed.select((offset + F.col("_place") + 1).alias(key), *[F.col(name) for name in rows.columns])
+    return numbered, running
 
 
 def _placed(rows: DataFrame, order: list[str]) -> DataFrame:

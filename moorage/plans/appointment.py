@@ -12,7 +12,7 @@ from moorage.operators import audit, dims, facts, quality
 from moorage.operators.joins import lookup_join
 from moorage.operators.quality import LoadError
 from moorage.session import materialise
-from moorage.sources.store import SnapshotStore
+from moorage.sources.store import Draft, SnapshotStore
 
 LOAD = "appointment"
 # The statuses an appointment can have.
@@ -123,10 +123,13 @@ def fact_rows(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFr
     )
 
 
-def _load_facts(now: dict[str, DataFrame], new: dict[str, DataFrame], appointment: DataFrame) -> DataFrame:
+def _load_facts(draft: Draft, now: dict[str, DataFrame], new: dict[str, DataFrame], appointment: DataFrame) -> None:
+    """Merge the appointments into the months they are in."""
     rows = materialise(fact_rows(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
     _kept_all(rows, appointment, "appointment_lookup")
-    return facts.upsert(now["fact_appointment"], rows, "appointment_id", "appointment_key")
+    facts.merge(
+        draft, "fact_appointment", rows, now["fact_appointment"], "appointment_id", "appointment_key", facts.month_of()
+    )
 
 
 def run_star(store: SnapshotStore, patient: DataFrame, doctor: DataFrame, appointment: DataFrame) -> int:
@@ -146,7 +149,7 @@ def run_star(store: SnapshotStore, patient: DataFrame, doctor: DataFrame, appoin
             "dim_date": lambda: dims.load_dates(now["dim_date"], appointment, "starts_at"),
         },
     )
-    draft.put("fact_appointment", _load_facts(now, new, appointment))
+    _load_facts(draft, now, new, appointment)
     return draft.publish()
 
 
@@ -223,7 +226,7 @@ def run_snowflake(
             ),
         },
     )
-    draft.put("fact_appointment", _load_facts(now, new, appointment))
+    _load_facts(draft, now, new, appointment)
     return draft.publish()
 
 

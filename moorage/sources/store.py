@@ -4,13 +4,17 @@ A load writes its tables to a new folder, checks them, and then makes them
 visible together by creating one small manifest file. Readers take the highest
 manifest, so they see all of a load or nothing of it. Creating a manifest that
 exists fails; of two loads that started from the same version only one wins.
+
+A table may be kept in parts, one folder or more for each value of a part column
+that is not stored itself. A load then replaces or adds folders of the parts it
+touches; the others carry over by path and are not read.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,16 +50,25 @@ class SnapshotStore:
             stream.close()
 
     def read(self, version: int | None = None) -> dict[str, DataFrame]:
-        """Every table as of one version, all from the same one."""
+        """Every table as of one version, all from the same one, but for those with two underscores that loads keep for themselves."""
         entries = self._tables(self.version() if version is None else version)
-        return {name: self._read(entry) for name, entry in entries.items()}
+        return {name: self._read(entry) for name, entry in entries.items() if "__" not in name}
 
     def _read(self, entry: dict) -> DataFrame:
-        return self.spark.read.schema(entry["schema"]).parquet(*entry["paths"])
+        return self._rows(entry["schema"], _folders(entry))
+
+    def _rows(self, schema: str, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def paths(self, name: str, version: int | None = None) -> list[str]:
         """The folders that hold a table's rows as of one version, oldest first."""
-        return self._tables(self.version() if version is None else version)[name]["paths"]
+        return _folders(self._tables(self.version() if version is None else version)[name])
+
+    def parts(self, name: str, version: int | None = None) -> dict[str, list[str]]:
+        """The folders of each part of a table that is kept in parts."""
+        return self._tables(self.version() if version is None else version)[name]["parts"]
 
     def draft(self) -> Draft:
         """The next version, to be filled table by table."""
@@ -97,6 +110,16 @@ class SnapshotStore:
             raise
 
 
+def _folders(entry: dict) -> list[str]:
+    if "parts" in entry:
+        return [path for part in sorted(entry["parts"]) for path in entry["parts"][part]]
+    return entry["paths"]
+
+
+def _schema(rows: DataFrame) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
+
+
 class Draft:
     """A version in the making. Its tables can be read back at once but are not visible to others."""
 
@@ -109,21 +132,54 @@ class Draft:
         """Write one table and return it as written."""
         path = f"{self._folder}/{name}"
         rows.write.parquet(path)
-        schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema)
-        self._entries[name] = {"paths": [path], "schema": schema}
+        self._entries[name] = {"paths": [path], "schema": _schema(rows)}
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def append(self, name: str, rows: DataFrame) -> DataFrame:
         """Add rows to a table of the base version, whose files stay as they are; no rows leave it unchanged."""
-        if name not in self._entries:
+        if name not in self._entries or self.in_parts(name):
             return self.put(name, rows)
         entry = self._entries[name]
-        path = f"{self._folder}/{name}"
+        path = f"{self._folder}/{name}-{uuid.uuid4().hex}"
         rows.write.parquet(path)
         if not rows.sparkSession.read.schema(rows.schema).parquet(path).isEmpty():
             self._entries[name] = {"paths": [*entry["paths"], path], "schema": entry["schema"]}
         return self._store._read(self._entries[name])
 
+    def read(self, name: str, parts: Iterable[str] | None = None) -> DataFrame | None:
+        """A table as it is in this draft, or only some of its parts; None if there is no such table."""
+        entry = self._entries.get(name)
+        if entry is None:
+            return None
+        if parts is None:
+            return self._store._read(entry)
+        return self._store._rows(entry["schema"], [path for part in sorted(parts) for path in entry["parts"].get(part, [])])
+
+    def top_key(self, name: str) -> int | None:
+        """The highest key in use in a table, if a load has noted it."""
+        return self._entries.get(name, {}).get("top_key")
+
+    def write_parts(self, rows: DataFrame, part: str, label: str) -> dict[str, str]:
+        """Write rows to one folder for each value of ``part``, which is left out; large values go to several tasks."""
+        path = f"{self._folder}/{label}-{uuid.uuid4().hex}"
+        rows.hint("rebalance", part).write.partitionBy(part).parquet(path)
+        store = self._store
+        found = [status.getPath().getName() for status in store._files.listStatus(store._path(path)) if status.isDirectory()]
+        return {name.partition("=")[2]: f"{path}/{name}" for name in found if name.startswith(f"{part}=")}
+
+    def put_parts(self, name: str, schema: str, replaced: dict[str, str | None], added: dict[str, str], top_key: int) -> None:
+        """Replace the folders of some parts by one or none, then add one to some; other parts stay as they are."""
+        parts = dict(self._entries.get(name, {}).get("parts", {}))
+        for part, path in replaced.items():
+            parts[part] = [path] if path else []
+        for part, path in added.items():
+            parts[part] = [*parts.get(part, []), path]
+        parts = {part: paths for part, paths in parts.items() if paths}
+        self._entries[name] = {"parts": parts, "schema": schema, "top_key": top_key}
+
+    def in_parts(self, name: str) -> bool:
+        return "parts" in self._entries.get(name, {})
+
     def put_all(self, loads: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Load independent tables at the same time, each straight into the draft."""
         return together({name: lambda name=name, load=load: self.put(name, load()) for name, load in loads.items()})
