@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorage.session import scratch_path
 from moorage.sources import logs
 from moorage.sources.tables import scan, spread
 
@@ -214,6 +215,13 @@ def parsed_step(spark: SparkSession, folder: str, step: str) -> DataFrame:
     return logs.parse_step(sample_api_log(spark, folder, [step]), step)
 
 
+def parsed_outcomes(spark: SparkSession, folder: str, steps: list[str]) -> DataFrame:
+    """The outcomes of some steps, from a log that is kept by step and read once."""
+    path = scratch_path(spark, "api-log")
+    logs.write_log(sample_api_log(spark, folder, steps), path)
+    return logs.parse_outcomes(logs.read_log(spark, path), steps)
+
+
 # ------------------------------------------------------------- run reports
 
 

@@ -198,12 +198,7 @@ def extract_changed_order(spark, folder):
 
 
 def _blocked(spark, folder, steps, rules=errors.RULES):
-    found = None
-    for step in steps:
-        parsed = captured.parsed_step(spark, folder, step)
-        rows = parsed.select("run_id", "step", errors.blocking_count(F.col("result.error"), step, rules).alias("blocking"))
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    return errors.blocked(captured.parsed_outcomes(spark, folder, steps), steps, rules)
 
 
 def _blocked_sql(step: str, count: str) -> str:
@@ -274,11 +269,8 @@ def _classified_sql(step: str, http: str, transport: str, data: str, blocking: s
     )
 )
 def classify_response(spark, folder):
-    found = None
-    for step in ("shopping", "pricing", "create", "payment"):
-        rows = errors.classified(captured.parsed_step(spark, folder, step), step)
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    steps = ["shopping", "pricing", "create", "payment"]
+    return errors.classified(captured.parsed_outcomes(spark, folder, steps), steps)
 
 
 # ------------------------------------------------------------------- workflow

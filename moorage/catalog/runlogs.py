@@ -35,7 +35,7 @@ def report_flatten_tests(spark, folder):
     f"""SELECT (SELECT count(*) FILTER (NOT failed) FROM ({REQUESTS_SQL})) AS passed_requests,
     (SELECT count(*) FILTER (failed) FROM ({REQUESTS_SQL})) AS failed_requests,
     count(*) FILTER (NOT failed) AS passed_tests, count(*) FILTER (failed) AS failed_tests, false AS missing,
-    false AS overall_pass FROM ({TESTS_SQL})"""
+    CAST(0 AS BIGINT) AS unreadable, false AS overall_pass FROM ({TESTS_SQL})"""
 )
 def report_totals(spark, folder):
     return runlogs.totals(captured.parsed_reports(spark, folder))

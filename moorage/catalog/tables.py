@@ -46,7 +46,7 @@ def scan_inline_values(spark, folder):
 def scan_run_report_json(spark, folder):
     path = scratch_path(spark, "run-reports")
     captured.sample_reports(spark, folder).write.text(path)
-    found = logs.read_run_reports(spark, path)
+    found = logs.readable(logs.read_run_reports(spark, path))
     return found.select(
         F.col("iterationIndex").alias("iteration"),
         F.size("results").alias("requests"),
@@ -64,7 +64,7 @@ def scan_run_report_json(spark, folder):
 def scan_pipeline_runs_json(spark, folder):
     path = scratch_path(spark, "pipeline-runs")
     captured.sample_pipeline_runs(spark, folder).write.text(path)
-    found = logs.read_pipeline_runs(spark, path)
+    found = logs.readable(logs.read_pipeline_runs(spark, path))
     return found.select(
         F.col("runId").alias("run_id"), "pipeline", "status",
         F.coalesce(F.size("activities"), F.lit(0)).alias("activities"),

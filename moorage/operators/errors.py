@@ -66,6 +66,24 @@ def blocking_count(errors: Column, step: str, rules: dict[str, Callable[[Column]
     return F.coalesce(F.size(F.filter(errors, rules[step])), F.lit(0))
 
 
+def dispatched(errors: Column, steps: list[str], rules: dict[str, Callable[[Column], Column]] = RULES) -> Column:
+    """How many errors block, each row by the rule of its own ``step``; steps with one rule share a branch."""
+    by_rule: dict[Callable[[Column], Column], list[str]] = {}
+    for step in steps:
+        by_rule.setdefault(rules[step], []).append(step)
+    found = F.lit(0)
+    for rule, names in by_rule.items():
+        count = F.coalesce(F.size(F.filter(errors, rule)), F.lit(0))
+        found = F.when(F.col("step").isin(names), count).otherwise(found)
+    return found
+
+
+def blocked(outcomes: DataFrame, steps: list[str], rules: dict[str, Callable[[Column], Column]] = RULES) -> DataFrame:
+    """Blocking errors per response of several steps, from `logs.parse_outcomes`; an unreadable body is one of them."""
+    unread = F.col("unreadable").isNotNull().cast("int")
+    return outcomes.select("run_id", "step", (dispatched(F.col("business"), steps, rules) + unread).alias("blocking"))
+
+
 def messages(errors: Column) -> Column:
     """Transport error messages on one line."""
     return F.array_join(F.transform(errors, lambda error: error["message"]), "; ")
@@ -79,17 +97,18 @@ def exploded(parsed: DataFrame) -> DataFrame:
     )
 
 
-def classified(parsed: DataFrame, step: str) -> DataFrame:
-    """Pass or fail per response: HTTP status, transport errors, data present, no blocking business error."""
-    has_result = F.col("has_data") & F.col("result").isNotNull()
+def classified(outcomes: DataFrame, steps: list[str]) -> DataFrame:
+    """Pass or fail per response of `logs.parse_outcomes`: HTTP status, transport errors, data present, no blocking error.
+
+    A body that can't be read has no data and one blocking error.
+    """
     no_transport = F.coalesce(F.size("errors"), F.lit(0)) == 0
-    blocked = blocking_count(F.col("result.error"), step)
-    return parsed.select(
+    return outcomes.select(
         "run_id", "step",
         (F.col("http_status") == 200).alias("http_ok"),
         no_transport.alias("transport_ok"),
-        has_result.alias("has_data"),
-        blocked.alias("blocking_errors"),
+        (F.col("has_data") & F.col("has_result")).alias("has_data"),
+        (dispatched(F.col("business"), steps) + F.col("unreadable").isNotNull().cast("int")).alias("blocking_errors"),
     ).withColumn(
         "outcome",
         F.when(F.col("http_ok") & F.col("transport_ok") & F.col("has_data") & (F.col("blocking_errors") == 0), "pass")

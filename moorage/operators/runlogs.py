@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
+from moorage.sources import logs
 
 PASS = "pass"
 # States in which a pipeline run is over.
@@ -45,12 +46,15 @@ def _tests_of(results: Column) -> Column:
 
 
 def iteration_counts(reports: DataFrame) -> DataFrame:
-    """Requests and tests, passed and failed, counted inside each iteration; whatever did not pass failed."""
+    """Requests and tests, passed and failed, counted inside each iteration; whatever did not pass failed.
+
+    An unreadable document is a row without counts.
+    """
     size = lambda items: F.coalesce(F.size(items), F.lit(0))
     passed = lambda items: size(F.filter(items, lambda item: item["status"] == PASS))
     rows = reports.withColumn("tests", _tests_of(F.col("results")))
     return rows.select(
-        F.col("iterationIndex").alias("iteration"), "missing", "summary",
+        F.col("iterationIndex").alias("iteration"), "missing", "unreadable", "summary",
         size(F.col("results")).alias("requests"), passed(F.col("results")).alias("passed_requests"),
         size(F.col("tests")).alias("tests"), passed(F.col("tests")).alias("passed_tests"),
     ).withColumns(
@@ -62,21 +66,26 @@ def iteration_counts(reports: DataFrame) -> DataFrame:
 
 
 def totals(reports: DataFrame) -> DataFrame:
-    """One row over all iterations. The run passes only if a report exists and nothing in it failed."""
+    """One row over all iterations.
+
+    The run passes only if a report exists, all of it is readable, it has an iteration, and nothing in it failed.
+    """
     total = lambda name: F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
     missing = F.coalesce(F.bool_or("missing"), F.lit(False))
     return iteration_counts(reports).agg(
         total("passed_requests").alias("passed_requests"), total("failed_requests").alias("failed_requests"),
         total("passed_tests").alias("passed_tests"), total("failed_tests").alias("failed_tests"),
-        missing.alias("missing"),
+        missing.alias("missing"), F.count("unreadable").alias("unreadable"), F.count("*").alias("_rows"),
     ).withColumn(
-        "overall_pass", ~F.col("missing") & (F.col("failed_requests") == 0) & (F.col("failed_tests") == 0)
-    )
+        "overall_pass",
+        ~F.col("missing") & (F.col("unreadable") == 0) & (F.col("_rows") > 0) & (F.col("failed_requests") == 0)
+        & (F.col("failed_tests") == 0),
+    ).drop("_rows")
 
 
 def summary_differences(reports: DataFrame) -> DataFrame:
     """Numbers of the stored summary that a recount does not confirm, one row per number."""
-    counted = iteration_counts(reports)
+    counted = iteration_counts(reports.where("unreadable IS NULL"))
     numbers = {
         "totalRequests": "requests", "passedRequests": "passed_requests", "failedRequests": "failed_requests",
         "totalTests": "tests", "passedTests": "passed_tests", "failedTests": "failed_tests",
@@ -94,8 +103,8 @@ def summary_differences(reports: DataFrame) -> DataFrame:
 
 
 def terminal(runs: DataFrame) -> DataFrame:
-    """Finished runs only."""
-    return runs.where(F.col("status").isin(TERMINAL))
+    """Finished runs only; an unreadable one, whose state nobody knows, ends the job."""
+    return logs.readable(runs).where(F.col("status").isin(TERMINAL))
 
 
 def activities(runs: DataFrame) -> DataFrame:
@@ -110,7 +119,7 @@ def activities(runs: DataFrame) -> DataFrame:
 
 def result_values(runs: DataFrame) -> DataFrame:
     """Every value of every result row, as row number, column and text."""
-    rows = runs.select("pipeline", "runId", F.explode("activities").alias("activity"))
+    rows = logs.readable(runs).select("pipeline", "runId", F.explode("activities").alias("activity"))
     rows = rows.select("pipeline", "runId", F.col("activity.name").alias("activity"),
                        F.explode("activity.resultSets").alias("found"))
     rows = rows.select("pipeline", "runId", "activity", F.posexplode("found.rows").alias("row_number", "fields"))

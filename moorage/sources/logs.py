@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.payload import first_value, with_computed
 
+CORRUPT = "_corrupt_record"
+
 API_LOG = "run_id string, seq int, step string, http_status int, body string, requested_at timestamp_ntz"
 
 # Field names and nesting of the responses. A field that may be
@@ -79,24 +81,81 @@ STEPS = {
 }
 
 
+def _unreadable(parsed: str, text: str) -> Column:
+    """The text that gave no record, or a corrupt one; a field of another type than declared leaves it readable."""
+    corrupt = F.col(f"{parsed}.{CORRUPT}")
+    return F.when(F.col(parsed).isNull(), F.col(text)).when(F.try_parse_json(corrupt).isNull(), corrupt)
+
+
 def parse_step(log: DataFrame, step: str) -> DataFrame:
-    """Rows of one step with the body parsed once: transport ``errors``, ``has_data`` and the step's ``result``."""
+    """Rows of one step with the body parsed once: transport ``errors``, ``has_data``, the step's ``result``, ``unreadable``.
+
+    ``unreadable`` is the text of a body that is no JSON, null for any other and for no body at all.
+    """
     kind = STEPS[step]
     shape = f"struct<{_COMMON}, {kind.shape}>"
     declared = "variant" if step == "shopping" else shape
-    schema = f"data struct<{kind.container}: {declared}>, errors array<struct<message: string>>"
+    schema = f"data struct<{kind.container}: {declared}>, errors array<struct<message: string>>, {CORRUPT} string"
     rows = log.where(F.col("step") == step).withColumnRenamed("body", "text")
-    parsed = with_computed(rows, "body", F.from_json("text", schema)).select(
+    body = F.from_json("text", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = with_computed(rows, "body", body).select(
         "run_id", "seq", "step", "http_status",
         F.col("body.errors").alias("errors"),
         F.col("body.data").isNotNull().alias("has_data"),
         F.col(f"body.data.{kind.container}").alias("result"),
+        _unreadable("body", "text").alias("unreadable"),
     )
     if step != "shopping":
         return parsed
     return with_computed(parsed.withColumnRenamed("result", "raw"), "result", first_value(F.col("raw"), shape)).drop("raw")
 
 
+BUSINESS_ERRORS = "array<struct<code: string, typeCode: string, type: string, descText: string, statusText: string>>"
+
+
+def parse_outcomes(log: DataFrame, steps: list[str]) -> DataFrame:
+    """What the error rules need of several steps, from one read of the log and one parse of each body.
+
+    Every row's ``step`` says where its result is. Columns as of `parse_step`, but ``business`` holds the result's
+    errors and ``has_result`` says whether there is a result.
+    """
+    rows = with_computed(log.where(F.col("step").isin(steps)), "parsed", F.try_parse_json("body"))
+
+    def field(path: str, kind: str) -> Column:
+        return F.try_variant_get("parsed", path, kind)
+
+    def by_step(path: str, kind: str) -> Column:
+        places = {f"$.data.{STEPS[step].container}": [] for step in steps}
+        for step in steps:
+            places[f"$.data.{STEPS[step].container}"].append(step)
+        found = F.lit(None).cast(kind)
+        for place, names in places.items():
+            # Shopping has its result in a list, or alone.
+            value = field(f"{place}{path}", kind)
+            if "shopping" in names:
+                value = F.coalesce(field(f"{place}[0]{path}", kind), value)
+            found = F.when(F.col("step").isin(names), value).otherwise(found)
+        return found
+
+    return rows.select(
+        "run_id", "seq", "step", "http_status",
+        field("$.errors", "array<struct<message: string>>").alias("errors"),
+        field("$.data", "map<string, variant>").isNotNull().alias("has_data"),
+        by_step("", "map<string, variant>").isNotNull().alias("has_result"),
+        by_step(".error", BUSINESS_ERRORS).alias("business"),
+        F.when(F.col("parsed").isNull(), F.col("body")).alias("unreadable"),
+    )
+
+
+def write_log(log: DataFrame, path: str) -> None:
+    """Keep a log by step, so that a reader of some steps opens no others."""
+    log.write.partitionBy("step").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(API_LOG).parquet(path)
+
+
 # Field names of the test-run report and of the pipeline-run log.
 _RESULT = (
     "struct<name: string, path: string, status: string, test: struct<filename: string>, "
@@ -120,21 +179,63 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _documents(text: DataFrame, element: str) -> DataFrame:
+    """The entries of JSON documents (one or a list each) in ``value``, and ``unreadable``: the text of what is neither."""
+    one = f"struct<{element}, {CORRUPT} string>"
+    record = F.from_json("value", one, {"columnNameOfCorruptRecord": CORRUPT})
+    # A list that is cut off gives no entries, a record that is cut off gives what came before and is marked.
+    starts = lambda sign: F.ltrim("value").startswith(sign)
+    parsed = with_computed(
+        text, "parsed", F.when(starts("["), F.from_json("value", f"array<{one}>")).when(starts("{"), F.array(record))
+    )
+    entries = parsed.select("value", F.explode(F.coalesce("parsed", F.array(F.lit(None).cast(one)))).alias("entry"))
+    return entries.select("entry.*", _unreadable("entry", "value").alias("unreadable")).drop(CORRUPT)
+
+
+def _read(spark: SparkSession, path: str, element: str, multi_line: bool) -> DataFrame:
+    text = spark.read.text(path, wholetext=multi_line)
+    return _documents(text if multi_line else text.where(F.trim("value") != ""), element)
+
+
 def read_run_reports(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Iterations of a test-run report; a path that is not there gives one row flagged missing."""
+    """Iterations of a test-run report; a path that is not there gives one row flagged missing.
+
+    A line, or with ``multi_line`` a file, that is no JSON or holds something else than iterations gives
+    one row with its text in ``unreadable``.
+    """
     if not exists(spark, path):
-        no_report = spark.createDataFrame([], RUN_REPORT)
+        no_report = spark.createDataFrame([], f"{RUN_REPORT}, unreadable string")
         flag = spark.createDataFrame([(True,)], "missing boolean")
         return no_report.withColumn("missing", F.lit(True)).unionByName(flag, allowMissingColumns=True)
-    rows = spark.read.schema(RUN_REPORT).option("multiLine", multi_line).json(path)
-    return rows.withColumn("missing", F.lit(False))
+    return _read(spark, path, RUN_REPORT, multi_line).withColumn("missing", F.lit(False))
 
 
 def read_pipeline_runs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    return spark.read.schema(PIPELINE_RUN).option("multiLine", multi_line).json(path)
-
+    """Runs of a pipeline log, with ``unreadable`` as of `read_run_reports`."""
+    return _read(spark, path, PIPELINE_RUN, multi_line)
 
 
 def parse_text(rows: DataFrame, schema: str) -> DataFrame:
-    """One JSON document per row of ``value`` to the columns of ``schema``."""
-    return with_computed(rows, "parsed", F.from_json("value", schema)).select("parsed.*")
+    """One JSON document per row of ``value`` to the columns of ``schema`` and ``unreadable``."""
+    return _documents(rows.select("value"), schema)
+
+
+def quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The readable rows, and the texts of the others as ``unreadable``."""
+    return rows.where("unreadable IS NULL").drop("unreadable"), rows.where("unreadable IS NOT NULL").select("unreadable")
+
+
+def quarantine_counts(rows: DataFrame) -> DataFrame:
+    """One row: how many rows are readable, and how many are not."""
+    return rows.agg(
+        F.count_if(F.col("unreadable").isNull()).alias("readable"), F.count("unreadable").alias("unreadable")
+    )
+
+
+def readable(rows: DataFrame) -> DataFrame:
+    """The rows, all of which must be readable: the first unreadable text that a task meets ends the job."""
+    if "unreadable" not in rows.columns:
+        return rows
+    start = F.substring(F.col("unreadable"), 1, 200)
+    refused = F.raise_error(F.concat(F.lit("Unreadable document: "), start)).cast("boolean")
+    return rows.where(F.when(F.col("unreadable").isNotNull(), refused).otherwise(True)).drop("unreadable")

@@ -181,15 +181,15 @@ def test_run_reports(spark, tmp_path):
     path = tmp_path / "report.json"
     path.write_text(json.dumps(report()))
     frame = logs.read_run_reports(spark, str(path), multi_line=True)
-    assert rows(runlogs.totals(frame)) == [(1, 0, 0, 5, False, False)]
+    assert rows(runlogs.totals(frame)) == [(1, 0, 0, 5, False, 0, False)]
     assert rows(runlogs.summary_differences(frame), "measure", "stored", "recounted") == [
         ("failed_requests", 1, 0), ("passed_requests", 0, 1)
     ]
     assert rows(runlogs.requests(frame), "request", "http_status", "duration") == [("f", "401", "7")]
     assert rows(runlogs.tests(frame), "request", "error")[0] == ("f", "")
     path.write_text(json.dumps(report(tests=None)))
-    assert rows(runlogs.totals(logs.read_run_reports(spark, str(path), multi_line=True))) == [(1, 0, 0, 0, False, True)]
-    assert rows(runlogs.totals(logs.read_run_reports(spark, str(tmp_path / "none.json")))) == [(0, 0, 0, 0, True, False)]
+    assert rows(runlogs.totals(logs.read_run_reports(spark, str(path), multi_line=True))) == [(1, 0, 0, 0, False, 0, True)]
+    assert rows(runlogs.totals(logs.read_run_reports(spark, str(tmp_path / "none.json")))) == [(0, 0, 0, 0, True, 0, False)]
 
 
 def test_pipeline_runs(spark):
