@@ -35,6 +35,19 @@ def rebuild(source: DataFrame, natural_key: str, attributes: list[str], key: str
     return allocate_keys(source.select(natural_key, *attributes).distinct(), natural_key, key)
 
 
+def stacked(rows: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """The distinct rows that each of several dimensions takes from one source, from one read and one shuffle of it.
+
+    ``columns`` names each dimension's columns. A result row has the dimension's name in ``_dim``, its own columns,
+    and nulls in those of the others.
+    """
+    kinds = {name: rows.schema[name].dataType for names in columns.values() for name in names}
+    entry = lambda dim, own: F.struct(
+        F.lit(dim).alias("_dim"), *[(F.col(name) if name in own else F.lit(None).cast(kind)).alias(name) for name, kind in kinds.items()]
+    )
+    return rows.select(F.inline(F.array(*[entry(dim, own) for dim, own in columns.items()]))).distinct()
+
+
 def distinct_spellings(source: DataFrame, text: str, name: str, collation: str | None = None) -> DataFrame:
     """Distinct values of a text column.
 

@@ -105,7 +105,12 @@ def _into_parts(draft: Draft, name: str, natural_key: str, key: str, part: Colum
 def new_facts(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:
     """The rows with an unseen natural key, with keys above those in use."""
     rows = rows.select(*[name for name in fact.columns if name != key])
-    return allocate_keys(unseen(rows, fact, natural_key), natural_key, key, fact).select(*fact.columns)
+    return numbered(fact, unseen(rows, fact, natural_key), natural_key, key)
+
+
+def numbered(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:
+    """Rows that the fact table doesn't have, with keys above those in use."""
+    return allocate_keys(rows, natural_key, key, fact).select(*fact.columns)
 
 
 def insert_only(fact: DataFrame, rows: DataFrame, natural_key: list[str], key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from moorage.operators.joins import lookup_join
@@ -42,12 +42,34 @@ def _report(violations: Column, sample: Column, name: str, code: int) -> list[Co
     ]
 
 
-def row_rules(rows: DataFrame, rules: list[Rule], sample_key: str) -> DataFrame:
-    """All row-level rules of a table in one pass."""
-    counted = rows.agg(
+def _row_metrics(rules: list[Rule], sample_key: str) -> list[Column]:
+    """Per rule, how many rows break it and the smallest key of one that does."""
+    return [
         *[F.count_if(rule.broken).alias(f"n{i}") for i, rule in enumerate(rules)],
         *[F.min(F.when(rule.broken, F.col(sample_key))).alias(f"k{i}") for i, rule in enumerate(rules)],
-    )
+    ]
+
+
+class Watch:
+    """Row rules checked by the very write that reads the rows, with no pass of their own.
+
+    Run ``rows`` through an action first; after it, ``gate`` refuses as the gate of `row_rules` does. A rule that no row breaks
+    counts none however often a task is repeated.
+    """
+
+    def __init__(self, rows: DataFrame, rules: list[Rule], sample_key: str):
+        self._rules, self._seen = rules, Observation()
+        self.rows = rows.observe(self._seen, *_row_metrics(rules, sample_key))
+
+    def gate(self, load: str, messages: dict[int, str]) -> None:
+        found = self._seen.get
+        counts = [(rule, found.get(f"n{i}"), found.get(f"k{i}")) for i, rule in enumerate(self._rules)]
+        refuse([(rule.name, rule.code, number, key) for rule, number, key in counts if number], load, messages)
+
+
+def row_rules(rows: DataFrame, rules: list[Rule], sample_key: str) -> DataFrame:
+    """All row-level rules of a table in one pass."""
+    counted = rows.agg(*_row_metrics(rules, sample_key))
     lines = F.array(
         *[F.struct(*_report(F.col(f"n{i}"), F.col(f"k{i}"), rule.name, rule.code)) for i, rule in enumerate(rules)]
     )
@@ -169,12 +191,16 @@ CONTRACT_MESSAGES = {
 }
 
 
+def contract_rules(needed: list[str], lengths: dict[str, int], checks: tuple[Rule, ...] = ()) -> list[Rule]:
+    return [*required(needed, NOT_NULL), *longest(lengths, TOO_LONG), *checks]
+
+
 def contract(
     rows: DataFrame, key: str, needed: list[str], lengths: dict[str, int], checks: tuple[Rule, ...] = (),
     unique: tuple[str, ...] = (),
 ) -> DataFrame:
     """Required columns, text lengths and checks of a staged table in one pass, and its key if it has one."""
-    rules = [*required(needed, NOT_NULL), *longest(lengths, TOO_LONG), *checks]
+    rules = contract_rules(needed, lengths, checks)
     keyed = [duplicate_key(rows, list(unique), f"{key}_unique", UNIQUE)] if unique else []
     return all_of([row_rules(rows, rules, key), *keyed])
 
@@ -200,9 +226,15 @@ def all_of(reports: list[DataFrame]) -> DataFrame:
 
 def gate(report: DataFrame, load: str, messages: dict[int, str]) -> None:
     """Raise for the first broken code in the order of ``messages``, naming every rule broken under it."""
+    found = report.where("violations > 0").select("rule", "code", "violations", "sample_key")
+    refuse([tuple(row) for row in found.collect()], load, messages)  # one row per rule
+
+
+def refuse(found: list[tuple], load: str, messages: dict[int, str]) -> None:
+    """The gate's refusal of broken rules (name, code, violations, sample key)."""
     broken: dict[int, list[str]] = {}
-    for row in report.where("violations > 0").orderBy("code", "rule").collect():  # one row per rule
-        broken.setdefault(row["code"], []).append(f"{row['violations']} x {row['rule']}, e.g. {row['sample_key']}")
+    for name, code, violations, sample in sorted(found, key=lambda row: (row[1], row[0])):
+        broken.setdefault(code, []).append(f"{violations} x {name}, e.g. {sample}")
     for code, message in messages.items():
         if code in broken:
             raise LoadError(load, code, f"{message} ({'; '.join(broken[code])})")

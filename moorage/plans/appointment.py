@@ -19,23 +19,23 @@ LOAD = "appointment"
 STATUSES = ["Scheduled", "Completed", "Cancelled", "NoShow"]
 PATIENT = ["given_name", "family_name", "birth_date", "city", "email"]
 DOCTOR = ["given_name", "family_name", "specialty", "email", "is_active"]
-# Gate codes of this load, in the order in which they are checked.
+# The codes; they are checked in this order.
 MESSAGES = quality.CONTRACT_MESSAGES | {
-    51004: "Staging counts do not match copy counts",
-    51001: "Patient and doctor staging data must not be empty",
-    51002: "An appointment references a missing patient or doctor",
-    51003: "Invalid appointment time, cost or status",
-    51005: "A key lookup lost rows",
+    51004: "A copy reported another number of rows than its staged table has",
+    51001: "No patients or no doctors were staged",
+    51002: "Appointments name patients or doctors that were not staged",
+    51003: "Appointments end before they start, cost less than nothing or have an unknown status",
+    51005: "Rows found no dimension key",
 }
 # Longest texts of the staged tables.
 PATIENT_LENGTHS = {"given_name": 50, "family_name": 50, "city": 80, "email": 254}
 DOCTOR_LENGTHS = {"given_name": 50, "family_name": 50, "specialty": 100, "email": 254}
 APPOINTMENT_LENGTHS = {"status": 20, "reason": 200}
 QUALITY_MESSAGES = {
-    51100: "Warehouse has no appointments",
-    51101: "Invalid appointment relationship, date, status, count or amount",
-    51102: "Duplicate appointment ids",
-    51010: "Warehouse validation failed",
+    51100: "The fact table is empty",
+    51101: "Facts without a parent, or with values that can't be",
+    51102: "An appointment id is there more than once",
+    51010: "Facts without a direct parent, or with values that can't be",
 }
 _DATE = "date_key int, calendar_date date, calendar_year smallint, calendar_month smallint, day_of_month smallint"
 _FACT = (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from moorage.functions import scalars as S
 from moorage.operators import dims, facts, quality
 from moorage.operators.joins import lookup_join, unseen
+from moorage.session import materialise
 from moorage.sources.store import SnapshotStore
 
 LOAD = "sales"
@@ -60,40 +61,64 @@ def extract(order: DataFrame, line: DataFrame, customer: DataFrame, product: Dat
     )
 
 
+#: What each dimension takes from the extract: its natural key and its attributes.
+DIMENSIONS = {
+    "dim_customer": ("customer_id", CUSTOMER, "customer_key", "customer_conflict"),
+    "dim_product": ("product_id", PRODUCT, "product_key", "product_conflict"),
+    "dim_store": ("store_id", STORE, "store_key", "store_conflict"),
+}
+
+
+def _conflicts(sources: dict[str, DataFrame], now: dict[str, DataFrame] | None) -> DataFrame:
+    """Ids that come with several attributes; an id that a dimension knows is not inserted and can't conflict."""
+    incoming = lambda table, key: sources[table] if now is None else unseen(sources[table], now[table], key)
+    return quality.all_of(
+        [
+            quality.conflicting_attributes(incoming(table, key), key, attributes, rule, 1)
+            for table, (key, attributes, _, rule) in DIMENSIONS.items()
+        ]
+    )
+
+
 def extract_report(rows: DataFrame, now: dict[str, DataFrame] | None = None) -> DataFrame:
     """The unique constraints of the target tables as checks on the rows that would be inserted.
 
     With the current tables given, rows that they already know are not
     inserted and so cannot conflict.
     """
+    lines = rows.where(F.col("order_status") == COMPLETED)
+    if now is not None:
+        lines = unseen(lines, now["fact_sales"], ["order_id", "line_number"])
+    return quality.all_of([_conflicts(dict.fromkeys(DIMENSIONS, rows), now), _repeated_lines(lines)])
 
-    def incoming(table: str, *keys: str) -> DataFrame:
-        return rows if now is None else unseen(rows, now[table], keys[0] if len(keys) == 1 else list(keys))
 
-    lines = incoming("fact_sales", "order_id", "line_number").where(F.col("order_status") == COMPLETED)
-    return quality.all_of(
-        [
-            quality.conflicting_attributes(
-                incoming("dim_customer", "customer_id"), "customer_id", CUSTOMER, "customer_conflict", 1
-            ),
-            quality.conflicting_attributes(
-                incoming("dim_product", "product_id"), "product_id", PRODUCT, "product_conflict", 1
-            ),
-            quality.conflicting_attributes(incoming("dim_store", "store_id"), "store_id", STORE, "store_conflict", 1),
-            quality.duplicate_key(lines, ["order_id", "line_number"], "order_line", 2),
-        ]
-    )
+def _repeated_lines(lines: DataFrame) -> DataFrame:
+    return quality.duplicate_key(lines, ["order_id", "line_number"], "order_line", 2)
 
 
-def staged_report(rows: DataFrame) -> DataFrame:
+def row_rules() -> list[quality.Rule]:
     """Required columns and text lengths of the extract, and the ranges of what becomes a fact."""
-    quality.same_columns(LOAD, rows, NEEDED)
     sold = F.col("order_status") == COMPLETED
     checks = (
         quality.Rule("quantity_positive", quality.CHECK, sold & ~(F.col("quantity") > 0)),
         quality.Rule("price_not_negative", quality.CHECK, sold & ~(F.col("unit_price") >= 0)),
     )
-    return quality.contract(rows, "order_id", NEEDED, LENGTHS, checks)
+    return quality.contract_rules(NEEDED, LENGTHS, checks)
+
+
+def dimension_sources(rows: DataFrame, now: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """The distinct rows of every dimension, and the days, from one read of the extract that checks its rows too.
+
+    Refuses rows that break the contract, and ids with conflicting attributes.
+    """
+    quality.same_columns(LOAD, rows, NEEDED)
+    columns = {table: [key, *attributes] for table, (key, attributes, _, _) in DIMENSIONS.items()} | {"dim_date": ["order_date"]}
+    watch = quality.Watch(rows, row_rules(), "order_id")
+    stacked = materialise(dims.stacked(watch.rows, columns), "sales-dimensions")
+    watch.gate(LOAD, MESSAGES)
+    sources = {table: stacked.where(F.col("_dim") == table).select(*own) for table, own in columns.items()}
+    quality.gate(_conflicts(sources, now), LOAD, MESSAGES)
+    return sources
 
 
 def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_date") -> DataFrame:
@@ -114,43 +139,39 @@ def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_d
 
 
 def run_star(store: SnapshotStore, rows: DataFrame) -> int:
-    """Insert-only load: known dimension rows and facts stay as they are. ``rows`` is read several times."""
+    """Insert-only load: known dimension rows and facts stay as they are. ``rows`` is read twice."""
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark)
-    quality.gate(quality.all_of([staged_report(rows), extract_report(rows, now)]), LOAD, MESSAGES)
-    new = draft.put_all(
-        {
-            "dim_date": lambda: dims.load_dates_named(now["dim_date"], rows, "order_date"),
-            "dim_customer": lambda: dims.load_insert_only(
-                now["dim_customer"], rows, "customer_id", CUSTOMER, "customer_key"
-            ),
-            "dim_product": lambda: dims.load_insert_only(
-                now["dim_product"], rows, "product_id", PRODUCT, "product_key"
-            ),
-            "dim_store": lambda: dims.load_insert_only(now["dim_store"], rows, "store_id", STORE, "store_key"),
-        },
-    )
-    sold = facts.new_facts(now["fact_sales"], fact_rows(rows, new), ["order_id", "line_number"], "sales_key")
-    draft.append("fact_sales", sold)
+    sources = dimension_sources(rows, now)
+    loads = {"dim_date": lambda: dims.load_dates_named(now["dim_date"], sources["dim_date"], "order_date")}
+    for table, (natural_key, attributes, key, _) in DIMENSIONS.items():
+        loads[table] = lambda table=table, natural_key=natural_key, attributes=attributes, key=key: dims.load_insert_only(
+            now[table], sources[table], natural_key, attributes, key
+        )
+    new = draft.put_all(loads)
+    # Written down once: numbering reads its rows twice, and the lookups behind them needn't run again.
+    sold = materialise(unseen(fact_rows(rows, new), now["fact_sales"], ["order_id", "line_number"]), "sales-facts")
+    quality.gate(_repeated_lines(sold), LOAD, MESSAGES)
+    draft.append("fact_sales", facts.numbered(now["fact_sales"], sold, ["order_id", "line_number"], "sales_key"))
     return draft.publish()
 
 
 def run_rebuild(store: SnapshotStore, rows: DataFrame) -> int:
-    """Full rebuild; ``order_date`` is ISO text and keys start at one again."""
-    quality.gate(quality.all_of([staged_report(rows), extract_report(rows)]), LOAD, MESSAGES)
+    """Full rebuild; ``order_date`` is ISO text and keys start at one again. ``rows`` is read twice."""
+    sources = dimension_sources(rows, None)
     no_dates = store.spark.createDataFrame(
         [], "date_key int, calendar_date string, calendar_year int, calendar_month int"
     )
     draft = store.draft()
-    new = draft.put_all(
-        {
-            "dim_date": lambda: dims.load_dates_text(no_dates, rows, "order_date"),
-            "dim_customer": lambda: dims.rebuild(rows, "customer_id", CUSTOMER, "customer_key"),
-            "dim_product": lambda: dims.rebuild(rows, "product_id", PRODUCT, "product_key"),
-            "dim_store": lambda: dims.rebuild(rows, "store_id", STORE, "store_key"),
-        },
-    )
-    draft.put("fact_sales", facts.rebuild(fact_rows(rows, new), ["order_id", "line_number"], "sales_key"))
+    loads = {"dim_date": lambda: dims.load_dates_text(no_dates, sources["dim_date"], "order_date")}
+    for table, (natural_key, attributes, key, _) in DIMENSIONS.items():
+        loads[table] = lambda table=table, natural_key=natural_key, attributes=attributes, key=key: dims.rebuild(
+            sources[table], natural_key, attributes, key
+        )
+    new = draft.put_all(loads)
+    sold = materialise(fact_rows(rows, new), "sales-facts")
+    quality.gate(_repeated_lines(sold), LOAD, MESSAGES)
+    draft.put("fact_sales", facts.rebuild(sold, ["order_id", "line_number"], "sales_key"))
     return draft.publish()
 
 

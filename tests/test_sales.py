@@ -81,3 +81,26 @@ def test_rebuild_matches_a_first_load(spark, store):
 def test_repeated_order_line_is_refused(spark, store):
     with pytest.raises(LoadError):
         sales.run_star(store, frame(spark, [*SALES, SALES[0]]))
+
+
+@pytest.mark.parametrize("load", ["star", "rebuild"])
+def test_extract_is_read_twice(spark, store, load):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    given = frame(spark)
+    if load == "rebuild":
+        given = given.withColumn("order_date", F.col("order_date").cast("string"))
+    extract = given.mapInArrow(counted, given.schema)
+    (sales.run_star if load == "star" else sales.run_rebuild)(store, extract)
+    assert seen.value == 2 * len(SALES) and store.version() == 1
+
+
+def test_refusal_names_every_broken_rule(spark, store):
+    lines = changed(0, store_name=None, customer_name=None)
+    with pytest.raises(LoadError, match="1 x customer_name_required, e.g. 4001; 1 x store_name_required, e.g. 4001"):
+        sales.run_star(store, frame(spark, lines))
