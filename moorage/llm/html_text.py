@@ -7,7 +7,8 @@ with the share of its occurrences that lie outside the marked articles. One
 linear scan then finds the run of tokens with the highest sum. Elements that
 never hold article text (scripts, menus, forms, ...) are left out before. So
 are elements with a class or id made of noise names alone (``ad``,
-``cookie-notice``); where a noise name is only a part of it (``has-sidebar``,
+``cookie-notice``), or of noise names and names of mere boxes (``ad-slot``,
+``comments-area``), inside articles too; where a noise name is only a part of another name (``has-sidebar``,
 ``entry-header``) or a general one (``widget``), the words inside stay but score
 less. An element that holds most words of the page, or of the article it
 lies in, is never held against them.
@@ -47,34 +48,49 @@ NOISE_NAMES = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist cookie "
     "cookies consent copyright disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter "
     "notice notices notification alert pagination pager popup promo promoted promotion related replies reply respond "
-    "share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
-)# Fixed values: of these, names that articles use for their own parts as well.
+    "share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets "
+    "adsbygoogle adslot adunit adcontainer adwrapper".split()
+)
+# Names of boxes, which say nothing about what they hold.
+BOX_NAMES = frozenset(
+    "area bar block body bottom box button buttons card container content group holder inline inner item items link links list "
+    "panel placeholder post posts row section slot strip thread top unit wrap wrapper zone".split()
+)
+# Of these, names that articles use for their own parts as well.
 WEAK_NAMES = frozenset("alert header masthead notice notices widget widgets".split())
 
+#: A quote opens a value only after an equals sign; anywhere else it is a character like others.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=(?!\s*[\"']))*)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s=/>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>][^\s>]*)))?")
 NAME_PARTS = re.compile(r"[a-z]+|[0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 BLANK = re.compile(r"\s+")
 
 
-def called(name: str, attributes: str) -> str:
-    """``noise`` for an element with a class or id made of noise names, ``light`` for one with a part of it, else nothing."""
+def attributes_of(text: str) -> list[tuple[str, str]]:
+    """Names, in small letters, and values of a tag's attributes; one without a value has an empty one."""
+    return [(match[1].lower(), match[2] or match[3] or match[4] or "") for match in ATTRIBUTE.finditer(text)]
+
+
+def called(name: str, attributes: list[tuple[str, str]]) -> str:
+    """``noise`` for an element with a class or id of noise and box names, ``light`` for one with a part of it, else nothing."""
     found = ""
     if name in ("html", "body", "article", "main"):
         return found
-    for match in ATTRIBUTE.finditer(attributes):
-        if match[1].lower() in ("class", "id"):
-            for value in (match[2] or match[3] or match[4] or "").split():
+    for key, values in attributes:
+        if key in ("class", "id"):
+            for value in values.split():
                 parts = NAME_PARTS.findall(CAMEL.sub("-", value).lower())
-                known = [part in NOISE_NAMES for part in parts]
-                if known and all(known) and not WEAK_NAMES.issuperset(parts):
+                known = [part for part in parts if part in NOISE_NAMES]
+                if known and not WEAK_NAMES.issuperset(known) and BOX_NAMES.issuperset(
+                    part for part in parts if part not in NOISE_NAMES and not part.isdigit()
+                ):
                     return "noise"
-                if any(known):
+                if known:
                     found = "light"
     return found
 
@@ -133,17 +149,16 @@ class Called:
         return found
 
 
-def noisy(name: str, attributes: str, inside: bool) -> bool:
+def noisy(name: str, attributes: list[tuple[str, str]], inside: bool) -> bool:
     """Whether an element, by its name, role or state, holds no article text."""
     if name in NOISE or name == "header" and not inside:
         return True
-    if not attributes:
-        return False
-    for match in ATTRIBUTE.finditer(attributes):
-        key, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+    for key, value in attributes:
         if key == "role" and value.lower() in NOISE_ROLES or key == "aria-hidden" and value.lower() == "true":
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes)) and name not in ("html", "body")
+        if key == "hidden" and name not in ("html", "body"):
+            return True
+    return False
 
 
 def tokens(page: str | None) -> list[tuple[str, str, bool, bool, bool]]:
@@ -204,7 +219,8 @@ def tokens(page: str | None) -> list[tuple[str, str, bool, bool, bool]]:
                 noise, depth = "", 0
             elif noise == "p" and name in BLOCKS:
                 noise, depth = "", 0
-        if not noise and not closing and name not in VOID and not attributes.endswith("/") and noisy(name, attributes, bool(articles)):
+        named = attributes_of(attributes) if attributes and not closing else []
+        if not noise and not closing and name not in VOID and not attributes.endswith("/") and noisy(name, named, bool(articles)):
             noise, depth = name, 1
         elif not noise and name in ARTICLE:
             if closing:
@@ -213,7 +229,7 @@ def tokens(page: str | None) -> list[tuple[str, str, bool, bool, bool]]:
             else:
                 articles.append(name)
         opens = not closing and name not in VOID and not attributes.endswith("/")
-        if opens and attributes and not noise and (kind := called(name, attributes)):
+        if opens and named and not noise and (kind := called(name, named)):
             names.begin(name, kind, bool(articles))
         if opens:
             names.open(name)
@@ -301,8 +317,13 @@ def main_text(page: str | None, tag_weights: dict[str, float]) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def learn(pages: DataFrame, *, key: str = "page_id", html: str = "html", max_pages: int = 400) -> dict[str, float]:
-    """Tag weights from the ``max_pages`` pages whose ids have the smallest hashes."""
+def learn(
+    pages: DataFrame, *, key: str = "page_id", html: str = "html", max_pages: int = 400, max_names: int = 500
+) -> dict[str, float]:
+    """Tag weights from the ``max_pages`` pages whose ids have the smallest hashes.
+
+    Only the ``max_names`` most frequent tag names of them get a weight of their own; all others have `TAG_UNSEEN`.
+    """
     sample = (
         pages.select(F.xxhash64(F.col(key)).alias("_order"), F.col(key).alias("_key"), F.col(html).alias("_html"))
         .where(F.lower("_html").rlike("<(article|main)[\\s>]"))
@@ -315,8 +336,7 @@ def learn(pages: DataFrame, *, key: str = "page_id", html: str = "html", max_pag
 
     counted = map_rows(chosen, ["_html"], row, "tags array<struct<name:string,inner:long,outer:long>>")
     sums = counted.select(F.inline("tags")).groupBy("name").agg(F.sum("inner").alias("inner"), F.sum("outer").alias("outer"))
-    # Made-up names could be many; only the most frequent can matter for the weights.
-    rows = sums.orderBy(F.desc(F.col("inner") + F.col("outer")), "name").limit(500).collect()
+    rows = sums.orderBy(F.desc(F.col("inner") + F.col("outer")), "name").limit(max_names).collect()
     return weights({r["name"]: (r["inner"], r["outer"]) for r in rows})
 
 

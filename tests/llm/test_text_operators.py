@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -348,3 +349,108 @@ def test_clean_removes_documents_or_spans(spark, odd, nothing):
     spans = decontam.clean(odd, items, spans=True)
     assert spans.count() == odd.count() and spans.where("text = 'the'").count() == 2
     assert decontam.clean(nothing, items).count() == 0 and decontam.clean(odd, items.where("false")).count() == odd.count()
+
+
+def _formats(draw, n):
+    """Credentials of five formats."""
+    mixed = string.ascii_letters + string.digits
+    made = [
+        lambda: "sk_live_" + "".join(draw.choices(mixed, k=24)), lambda: "ghp_" + "".join(draw.choices(mixed, k=36)),
+        lambda: "".join(draw.choices(string.ascii_lowercase + string.digits, k=32)),
+        lambda: "-".join("".join(draw.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12)),
+        lambda: "".join(draw.choices(mixed + "+/", k=43)) + "=",
+    ]
+    return [draw.choice(made)() for _ in range(n)]
+
+
+def test_bare_credentials_of_known_formats_are_found(spark, documents):
+    """Learned from assignments; measured on unseen values without one, and on the ordinary strings of the documents."""
+    draw = random.Random(5)
+    known, unseen = _formats(draw, 300), _formats(draw, 300)
+    plain = [row["text"] for row in documents.collect()]
+    texts = plain + [f'token = "{value}"' for value in known]
+    judge = secret_scan.learn(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+    found = [[(s.kind, s.value) for s in secret_scan.scan_text(f"see {value}.", judge) if s.kind != "hex"] for value in unseen]
+    assert sum(spans == [("format", value)] for spans, value in zip(found, unseen)) >= 0.95 * len(unseen)
+    words = [s.value for text in plain for s in secret_scan.scan_text(text, secret_scan._Everything()) if s.kind == "format"]
+    wrong = [s.value for text in plain for s in secret_scan.scan_text(text, judge) if s.kind == "format"]
+    assert len(words) > 500 and len(wrong) <= 0.01 * len(words)
+
+
+def test_one_odd_word_doesn_t_move_the_threshold():
+    draw = random.Random(2)
+    keys = ["".join(draw.choices(string.ascii_letters + string.digits, k=24)) for _ in range(300)]
+    words = ["".join(draw.choices("aeinrst", k=draw.randint(12, 20))) for _ in range(2000)]
+    even = secret_scan.Judge(keys[:200], words)
+    odd_one = secret_scan.Judge(keys[:200], [*words, "aQwErTyUiOpLkJhGfDsAzXcV"])
+    for judge in (even, odd_one):
+        assert judge.threshold < 1 and all(judge.score(key) > judge.threshold for key in keys[200:])
+    # The length of a format is part of it.
+    assert max(map(even.score, keys[200:])) > even.score(keys[200][:13]) and min(map(even.score, keys[200:])) > even.score(keys[0] * 9)
+
+
+def test_candidates_touching_base_spans_in_linear_time():
+    import time
+
+    text = " ".join(f"token={'z' * 12}{i:04d} {'word' * 3}{i:04d}" for i in range(8000))
+    judge = secret_scan._Everything()
+    start = time.perf_counter()
+    spans = secret_scan.scan_text(text, judge)
+    assert time.perf_counter() - start < 1.5
+    assert Counter(s.kind for s in spans) == {"assign": 8000, "format": 8000}
+    plain = [m for m in secret_scan.CANDIDATE.finditer(text[:5000])]
+    base = [s for s in secret_scan.base_spans(text[:5000])]
+    clear = [m.span() for m in plain if not any(s.start < m.end() and m.start() < s.end for s in base)]
+    assert [(s.start, s.end) for s in secret_scan.scan_text(text[:5000], judge) if s.kind == "format"] == clear
+
+
+def test_sample_is_that_of_the_whole_table(spark):
+    values = [f"{'value' * 3}{i:05d}" for i in range(900)]
+    whole = secret_scan.Smallest(50)
+    for value in values * 2:
+        whole.add(value)
+    parts = secret_scan.Smallest(50)
+    for start in range(0, 900, 90):
+        part = secret_scan.Smallest(50)
+        for value in values[start : start + 90]:
+            part.add(value)
+        for value, _ in part.found():
+            parts.add(value)
+    assert whole.found() == parts.found() and len(whole.found()) == 50
+
+
+CONTENT_WRAPPERS = [
+    "content has-sidebar", "layout no-sidebar", "ad-free-content", "elementor-widget-container", "entry-header", "card hidden md:block",
+    "post-body", "text-block", "row", "article__lead", "address", "adaptive", "commentary", "headerless", "socialism", "shareholders",
+    "notice", "widget", "post-header", "readable",
+]
+NOISE_WRAPPERS = [
+    "ad", "ad-container", "ad-slot", "ad-unit", "adsbygoogle", "comments-area", "comment-list", "comment-body", "post-comments",
+    "related-posts", "share-buttons", "newsletter-box", "promo-box", "social-links", "cookie-bar", "sidebar", "adSlot", "ad_wrapper_2",
+    "breadcrumbs", "cookie-notice",
+]
+
+
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<div class=page>{}</div>"])
+def test_wrappers_by_name(frame):
+    """Content stays and noise goes, inside a marked article and without one."""
+    words = "<p>" + " ".join(f"Plain{i}" for i in range(80)) + ".</p>"
+    kept = {name: html_text.main_text(frame.format(f'{words}<div class="{name}">Part of it here.</div>{words}'), {}) for name in CONTENT_WRAPPERS + NOISE_WRAPPERS}
+    assert [name for name in CONTENT_WRAPPERS if "Part of it here." not in kept[name]] == []
+    assert [name for name in NOISE_WRAPPERS if "Part of it here." in kept[name]] == []
+    assert all(text.count("Plain0 ") == 2 for text in kept.values())
+
+
+@pytest.mark.parametrize(
+    "tag, stays",
+    [
+        ('<p title="the hidden cost of things">', True), ('<p class="card hidden md:block">', True),
+        ('<p style="overflow: hidden ; x:1">', True), ("<p data-hidden=1>", True), ("<p data-x=it's>", True), ("<p title='a > b'>", True),
+        ('<p title="5 = 6" data-y = "x>y">', True), ('<p "odd>', True), ("<p hidden>", False), ('<p id=a hidden="">', False),
+        ("<p HIDDEN=until-found>", False), ("<p aria-hidden=true>", False),
+    ],
+)
+def test_attributes_by_the_rules(tag, stays):
+    page = f"<article><p>First one here.</p>{tag}Text one here.</p><p>don't lose this.</p><p>Text three.</p></article>"
+    lines = ["First one here.", *["Text one here."] * stays, "don't lose this.", "Text three."]
+    assert html_text.main_text(page, {}) == "\n".join(lines)
