@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from moorage.operators.joins import lookup_join, unseen, update_from
 from moorage.operators.keys import allocate, allocate_keys
-from moorage.session import materialise
+from moorage.session import materialise, together
 from moorage.sources.store import Draft
 
 
@@ -76,16 +76,20 @@ def merge(draft: Draft, name: str, rows: DataFrame, like: DataFrame, natural_key
     if seen is not None:
         batch = batch.unionByName(seen.withColumn(key, F.col("_place.key")).select(*columns, F.col("_place.part").alias("_from")))
         left = [str(row[0]) for row in seen.select("_place.part").distinct().collect()]
-    written = draft.write_parts(batch.select(*columns), PART, name)
-    replaced: dict[str, str | None] = {}
+    moved = _places(batch.where("_from IS NULL OR _from <> " + PART), natural_key, key, draft.base + 1)
+    # Independent of each other, and all from rows that are written down.
+    writes = {
+        "batch": lambda: draft.write_parts(batch.select(*columns), PART, name),
+        "places": lambda: draft.append(places, moved),
+    }
     if left:
-        rest = draft.read(name, left).join(seen.select(natural_key), natural_key, "left_anti")
-        replaced = dict.fromkeys(left) | draft.write_parts(rest.withColumn(PART, part), PART, name)
+        rest = draft.read(name, left).join(seen.select(natural_key), natural_key, "left_anti").withColumn(PART, part)
+        writes["rest"] = lambda: draft.write_parts(rest, PART, name)
+    done = together(writes)
+    replaced: dict[str, str | None] = dict.fromkeys(left) | done.get("rest", {})
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in like.schema)
-    draft.put_parts(name, schema, replaced, written, top)
-    moved = batch.where("_from IS NULL OR _from <> " + PART)
-    draft.append(places, _places(moved, natural_key, key, draft.base + 1))
-    return sorted(written)
+    draft.put_parts(name, schema, replaced, done["batch"], top)
+    return sorted(done["batch"])
 
 
 def _places(rows: DataFrame, natural_key: str, key: str, version: int) -> DataFrame:
