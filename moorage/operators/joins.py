@@ -47,3 +47,14 @@ def unseen(rows: DataFrame, known: DataFrame, on: str | list[str]) -> DataFrame:
     if isinstance(on, str):
         return lookup_join(rows, known.select(on), on, "left_anti")
     return rows.join(known.select(*on), list(on), "left_anti")
+
+
+def within(known: DataFrame, key: str, bounds: tuple | None) -> DataFrame:
+    """The rows of ``known`` that rows with keys in these bounds can meet.
+
+    The bounds reach the Parquet reader; files that hold their keys in order, as those of allocated keys do, are
+    skipped outside of them. Without bounds there is nothing to meet.
+    """
+    if bounds is None:
+        return known.where(F.lit(False))
+    return known.where(F.col(key).between(*bounds))

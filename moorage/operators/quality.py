@@ -59,7 +59,15 @@ class Watch:
 
     def __init__(self, rows: DataFrame, rules: list[Rule], sample_key: str):
         self._rules, self._seen = rules, Observation()
-        self.rows = rows.observe(self._seen, *_row_metrics(rules, sample_key))
+        self.rows = rows.observe(
+            self._seen, *_row_metrics(rules, sample_key), F.min(sample_key).alias("low"), F.max(sample_key).alias("high")
+        )
+
+    @property
+    def bounds(self) -> tuple | None:
+        """The smallest and the largest sample key that came by."""
+        found = self._seen.get
+        return None if found.get("low") is None else (found["low"], found["high"])
 
     def gate(self, load: str, messages: dict[int, str]) -> None:
         found = self._seen.get

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
 from moorage.operators import dims, facts, quality
-from moorage.operators.joins import lookup_join, unseen
+from moorage.operators.joins import lookup_join, unseen, within
+from moorage.operators.keys import allocate
 from moorage.session import materialise
 from moorage.sources.store import SnapshotStore
 
@@ -106,10 +107,10 @@ def row_rules() -> list[quality.Rule]:
     return quality.contract_rules(NEEDED, LENGTHS, checks)
 
 
-def dimension_sources(rows: DataFrame, now: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+def dimension_sources(rows: DataFrame, now: dict[str, DataFrame] | None) -> tuple[dict[str, DataFrame], tuple | None]:
     """The distinct rows of every dimension, and the days, from one read of the extract that checks its rows too.
 
-    Refuses rows that break the contract, and ids with conflicting attributes.
+    Also the bounds of its order ids. Refuses rows that break the contract, and ids with conflicting attributes.
     """
     quality.same_columns(LOAD, rows, NEEDED)
     columns = {table: [key, *attributes] for table, (key, attributes, _, _) in DIMENSIONS.items()} | {"dim_date": ["order_date"]}
@@ -118,7 +119,7 @@ def dimension_sources(rows: DataFrame, now: dict[str, DataFrame] | None) -> dict
     watch.gate(LOAD, MESSAGES)
     sources = {table: stacked.where(F.col("_dim") == table).select(*own) for table, own in columns.items()}
     quality.gate(_conflicts(sources, now), LOAD, MESSAGES)
-    return sources
+    return sources, watch.bounds
 
 
 def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_date") -> DataFrame:
@@ -142,7 +143,7 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
     """Insert-only load: known dimension rows and facts stay as they are. ``rows`` is read twice."""
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark)
-    sources = dimension_sources(rows, now)
+    sources, orders = dimension_sources(rows, now)
     loads = {"dim_date": lambda: dims.load_dates_named(now["dim_date"], sources["dim_date"], "order_date")}
     for table, (natural_key, attributes, key, _) in DIMENSIONS.items():
         loads[table] = lambda table=table, natural_key=natural_key, attributes=attributes, key=key: dims.load_insert_only(
@@ -150,15 +151,19 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
         )
     new = draft.put_all(loads)
     # Written down once: numbering reads its rows twice, and the lookups behind them needn't run again.
-    sold = materialise(unseen(fact_rows(rows, new), now["fact_sales"], ["order_id", "line_number"]), "sales-facts")
+    known = within(now["fact_sales"], "order_id", orders)
+    sold = materialise(unseen(fact_rows(rows, new), known, ["order_id", "line_number"]), "sales-facts")
     quality.gate(_repeated_lines(sold), LOAD, MESSAGES)
-    draft.append("fact_sales", facts.numbered(now["fact_sales"], sold, ["order_id", "line_number"], "sales_key"))
+    # The store notes the highest key in use, so the facts needn't be read for it.
+    top = draft.top_key("fact_sales")
+    numbered, top = allocate(sold, ["order_id", "line_number"], "sales_key", now["fact_sales"] if top is None else top)
+    draft.append("fact_sales", numbered.select(*now["fact_sales"].columns), top)
     return draft.publish()
 
 
 def run_rebuild(store: SnapshotStore, rows: DataFrame) -> int:
     """Full rebuild; ``order_date`` is ISO text and keys start at one again. ``rows`` is read twice."""
-    sources = dimension_sources(rows, None)
+    sources, _ = dimension_sources(rows, None)
     no_dates = store.spark.createDataFrame(
         [], "date_key int, calendar_date string, calendar_year int, calendar_month int"
     )

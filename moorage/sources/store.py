@@ -13,6 +13,7 @@ touches; the others carry over by path and are not read.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -91,6 +92,39 @@ class SnapshotStore:
             check(written)
         return draft.publish()
 
+    def sweep(self, keep: int = 1, grace: float = 86_400.0) -> list[str]:
+        """Remove versions, drafts and staging folders that nobody needs; returns what went, below the root.
+
+        The newest ``keep`` versions stay, and so does everything younger than ``grace`` seconds: a manifest that old may still
+        be read, a folder or draft that old may still be written. Manifests go first, so that a version is never
+        offered without its files. Folders that a staying manifest names stay, however old.
+        """
+        latest, oldest = self.version(), time.time() - grace
+        gone, needed = [], set()
+        for status in list(self._files.listStatus(self._path(f"{self.root}/manifests"))):
+            name = status.getPath().getName()
+            young = status.getModificationTime() / 1000 > oldest
+            if name.endswith(".json") and (int(name[:-5]) > latest - keep or young):
+                needed |= {path for entry in self._tables(int(name[:-5])).values() for path in _folders(entry)}
+            elif not young:
+                gone.append(f"manifests/{name}")
+        for group in ("data", "stage"):
+            top = self._path(f"{self.root}/{group}")
+            for status in list(self._files.listStatus(top)) if self._files.exists(top) else []:
+                place = f"{group}/{status.getPath().getName()}"
+                if not any(f"{path}/".startswith(f"{self.root}/{place}/") for path in needed) and self._newest(status) < oldest:
+                    gone.append(place)
+        for place in gone:
+            self._files.delete(self._path(f"{self.root}/{place}"), True)
+        return sorted(gone)
+
+    def _newest(self, status) -> float:
+        """When anything in a folder was last written."""
+        newest, files = status.getModificationTime(), self._files.listFiles(status.getPath(), True)
+        while files.hasNext():
+            newest = max(newest, files.next().getModificationTime())
+        return newest / 1000
+
     def _create_manifest(self, version: int, text: str) -> None:
         draft = self._path(f"{self.root}/manifests/{uuid.uuid4().hex}.draft")
         out = self._files.create(draft, False)
@@ -135,15 +169,20 @@ class Draft:
         self._entries[name] = {"paths": [path], "schema": _schema(rows)}
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    def append(self, name: str, rows: DataFrame) -> DataFrame:
-        """Add rows to a table of the base version, whose files stay as they are; no rows leave it unchanged."""
+    def append(self, name: str, rows: DataFrame, top_key: int | None = None) -> DataFrame:
+        """Add rows to a table of the base version, whose files stay as they are; no rows leave it unchanged.
+
+        ``top_key`` is the highest key in use with them, for the next load.
+        """
         if name not in self._entries or self.in_parts(name):
-            return self.put(name, rows)
+            found = self.put(name, rows)
+            self._entries[name] |= {"top_key": top_key}
+            return found
         entry = self._entries[name]
         path = f"{self._folder}/{name}-{uuid.uuid4().hex}"
         rows.write.parquet(path)
         if not rows.sparkSession.read.schema(rows.schema).parquet(path).isEmpty():
-            self._entries[name] = {"paths": [*entry["paths"], path], "schema": entry["schema"]}
+            self._entries[name] = {"paths": [*entry["paths"], path], "schema": entry["schema"], "top_key": top_key}
         return self._store._read(self._entries[name])
 
     def read(self, name: str, parts: Iterable[str] | None = None) -> DataFrame | None:
