@@ -11,17 +11,50 @@ def missing_from(rows: DataFrame, published: DataFrame) -> DataFrame:
     return rows.subtract(published.select(*rows.columns))
 
 
+#: Buckets that rows are dealt to by their content; so many rows at most say which of them differ.
+BUCKETS = 1024
+
+
+def _in_buckets(rows: DataFrame) -> DataFrame:
+    """Rows with ``_hash`` and ``_bucket``; a null counts by its place too."""
+    columns = [F.col(f"`{name}`") for name in rows.columns]
+    content = F.xxhash64(*columns, *[column.isNull() for column in columns])
+    return rows.withColumn("_hash", content).withColumn("_bucket", F.pmod("_hash", F.lit(BUCKETS)).cast("int"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Buckets in which the two sides don't hold the same rows as often.
+
+    A bucket's fingerprint is its number of rows and the sums of both halves of their hashes. Sums add up within each task, so
+    one row a bucket and task is shuffled, whatever the tables' sizes. Buckets whose fingerprints agree by chance (once in some
+    2 to the power 64) would be taken for equal.
+    """
+    half = F.lit((1 << 32) - 1)
+    signed = lambda rows, sign: rows.select(
+        "_bucket", F.lit(sign).alias("rows"), (F.col("_hash").bitwiseAND(half) * sign).alias("low"),
+        (F.shiftrightunsigned("_hash", 32) * sign).alias("high"),
+    )
+    return (
+        signed(left, 1).unionAll(signed(right, -1)).groupBy("_bucket")
+        .agg(F.sum("rows").alias("rows"), F.sum("low").alias("low"), F.sum("high").alias("high"))
+        .where("rows <> 0 OR low <> 0 OR high <> 0").select("_bucket")
+    )
+
+
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose number of copies differs, both directions at once.
 
-    One grouped sum of signs in place of two EXCEPT ALLs: each side is
+    Only rows of buckets that differ are compared one by one, so equal tables are compared without a shuffle of rows.
+    The comparison is one grouped sum of signs in place of two EXCEPT ALLs: each side is
     shuffled once and identical rows combine before the shuffle. ``surplus`` is
     positive for copies only ``left`` has.
     """
-    signed = left.withColumn("_sign", F.lit(1)).unionByName(
-        right.select(*left.columns).withColumn("_sign", F.lit(-1))
-    )
-    return signed.groupBy(*left.columns).agg(F.sum("_sign").alias("surplus")).where("surplus <> 0")
+    columns = left.columns
+    left, right = _in_buckets(left), _in_buckets(right.select(*columns))
+    differing = F.broadcast(differing_buckets(left, right))  # at most BUCKETS numbers
+    side = lambda rows, sign: rows.join(differing, "_bucket", "left_semi").select(*columns, F.lit(sign).alias("_sign"))
+    signed = side(left, 1).unionByName(side(right, -1))
+    return signed.groupBy(*columns).agg(F.sum("_sign").alias("surplus")).where("surplus <> 0")
 
 
 def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:
