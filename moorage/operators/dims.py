@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
 from moorage.operators.joins import lookup_join, unseen, update_from
-from moorage.operators.keys import allocate_keys
+from moorage.operators.keys import allocate, allocate_keys
 
 
 def load_type1(dim: DataFrame, source: DataFrame, natural_key: str, attributes: list[str], key: str) -> DataFrame:
@@ -25,9 +25,16 @@ def load_type1(dim: DataFrame, source: DataFrame, natural_key: str, attributes:
 
 def load_insert_only(dim: DataFrame, source: DataFrame, natural_key: str, attributes: list[str], key: str) -> DataFrame:
     """Add unseen ids; known ids keep the attributes they have."""
+    return dim.unionByName(new_members(dim, source, natural_key, attributes, key)[0])
+
+
+def new_members(
+    dim: DataFrame, source: DataFrame, natural_key: str, attributes: list[str], key: str, top: int | None = None
+) -> tuple[DataFrame, int]:
+    """The rows that an insert-only load adds, and the highest key with them; ``top`` is the highest so far, if it is known."""
     new = unseen(source.select(natural_key, *attributes).distinct(), dim, natural_key)
-    added = allocate_keys(new, natural_key, key, dim)
-    return dim.unionByName(added.select(*dim.columns))
+    added, top = allocate(new, natural_key, key, dim if top is None else top)
+    return added.select(*dim.columns), top
 
 
 def rebuild(source: DataFrame, natural_key: str, attributes: list[str], key: str) -> DataFrame:
@@ -64,6 +71,13 @@ def load_outrigger(
     outrigger: DataFrame, source: DataFrame, text: str, name: str, key: str, collation: str | None = None
 ) -> DataFrame:
     """Add the text values that have no key yet."""
+    return outrigger.unionByName(new_texts(outrigger, source, text, name, key, collation)[0])
+
+
+def new_texts(
+    outrigger: DataFrame, source: DataFrame, text: str, name: str, key: str, collation: str | None = None, top: int | None = None
+) -> tuple[DataFrame, int]:
+    """The rows that `load_outrigger` adds, and the highest key with them; ``top`` as of `new_members`."""
     values = distinct_spellings(source, text, name, collation)
     if collation is None:
         new = unseen(values, outrigger, name)
@@ -71,8 +85,8 @@ def load_outrigger(
         folded = F.collate(F.col(name), collation)
         known = outrigger.select(folded.alias("_folded")).distinct()
         new = values.withColumn("_folded", folded).join(known, "_folded", "left_anti").drop("_folded")
-    added = allocate_keys(new, name, key, outrigger)
-    return outrigger.unionByName(added.select(*outrigger.columns))
+    added, top = allocate(new, name, key, outrigger if top is None else top)
+    return added.select(*outrigger.columns), top
 
 
 def swap_text_for_key(
@@ -115,15 +129,25 @@ def distinct_days(source: DataFrame, column: str) -> DataFrame:
 
 def load_dates(dim: DataFrame, source: DataFrame, column: str) -> DataFrame:
     """Add one row per date that occurs; dates that do not occur get none."""
+    return dim.unionByName(new_dates(dim, source, column))
+
+
+def new_dates(dim: DataFrame, source: DataFrame, column: str) -> DataFrame:
+    """The rows that `load_dates` adds."""
     days = distinct_days(source, column).select(*calendar_columns(F.col("calendar_date")))
-    return _add_dates(dim, days)
+    return unseen(days, dim, "calendar_date").select(*dim.columns)
 
 
 def load_dates_named(dim: DataFrame, source: DataFrame, column: str) -> DataFrame:
     """As :func:`load_dates` with the month's name in place of the day."""
+    return dim.unionByName(new_dates_named(dim, source, column))
+
+
+def new_dates_named(dim: DataFrame, source: DataFrame, column: str) -> DataFrame:
+    """The rows that `load_dates_named` adds."""
     day = F.col("calendar_date")
     days = distinct_days(source, column).select(*calendar_columns(day)[:4], S.month_name(day).alias("month_name"))
-    return _add_dates(dim, days)
+    return unseen(days, dim, "calendar_date").select(*dim.columns)
 
 
 def load_dates_text(dim: DataFrame, source: DataFrame, column: str) -> DataFrame:

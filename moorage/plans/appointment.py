@@ -11,7 +11,7 @@ from moorage.functions import scalars as S
 from moorage.operators import audit, dims, facts, quality
 from moorage.operators.joins import lookup_join
 from moorage.operators.quality import LoadError
-from moorage.session import materialise
+from moorage.session import materialise, together
 from moorage.sources.store import Draft, SnapshotStore
 
 LOAD = "appointment"
@@ -146,9 +146,9 @@ def run_star(store: SnapshotStore, patient: DataFrame, doctor: DataFrame, appoin
                 now["dim_patient"], patient, "patient_id", PATIENT, "patient_key"
             ),
             "dim_doctor": lambda: dims.load_type1(now["dim_doctor"], doctor, "doctor_id", DOCTOR, "doctor_key"),
-            "dim_date": lambda: dims.load_dates(now["dim_date"], appointment, "starts_at"),
         },
     )
+    draft.append("dim_date", dims.new_dates(now["dim_date"], appointment, "starts_at"))
     _load_facts(draft, now, new, appointment)
     return draft.publish()
 
@@ -202,18 +202,22 @@ def run_snowflake(
             return now["load_audit"]
         return audit.insert_once(now["load_audit"], audit_row(patient, doctor, appointment, run_id, loaded_at))
 
-    new = draft.put_all(
+    def texts(table: str, source: DataFrame, text: str, name: str, key: str) -> tuple[DataFrame, int]:
+        return dims.new_texts(now[table], source, text, name, key, collation, draft.top_key(table))
+
+    loaded = together(
         {
-            "dim_city": lambda: dims.load_outrigger(
-                now["dim_city"], patient, "city", "city_name", "city_key", collation
+            "grown": lambda: draft.append_all(
+                {
+                    "dim_city": lambda: texts("dim_city", patient, "city", "city_name", "city_key"),
+                    "dim_specialty": lambda: texts("dim_specialty", doctor, "specialty", "specialty_name", "specialty_key"),
+                    "dim_date": lambda: (dims.new_dates(now["dim_date"], appointment, "starts_at"), None),
+                }
             ),
-            "dim_specialty": lambda: dims.load_outrigger(
-                now["dim_specialty"], doctor, "specialty", "specialty_name", "specialty_key", collation
-            ),
-            "dim_date": lambda: dims.load_dates(now["dim_date"], appointment, "starts_at"),
-            "load_audit": load_audit,
-        },
+            "audit": lambda: draft.put("load_audit", load_audit()),
+        }
     )
+    new = loaded["grown"] | {"load_audit": loaded["audit"]}
     new |= draft.put_all(
         {
             "dim_patient": lambda: load_with_outrigger(

@@ -144,12 +144,12 @@ def run_star(store: SnapshotStore, rows: DataFrame) -> int:
     draft = store.draft()
     now = store.read(draft.base) or empty(store.spark)
     sources, orders = dimension_sources(rows, now)
-    loads = {"dim_date": lambda: dims.load_dates_named(now["dim_date"], sources["dim_date"], "order_date")}
+    loads = {"dim_date": lambda: (dims.new_dates_named(now["dim_date"], sources["dim_date"], "order_date"), None)}
     for table, (natural_key, attributes, key, _) in DIMENSIONS.items():
-        loads[table] = lambda table=table, natural_key=natural_key, attributes=attributes, key=key: dims.load_insert_only(
-            now[table], sources[table], natural_key, attributes, key
+        loads[table] = lambda table=table, natural_key=natural_key, attributes=attributes, key=key: dims.new_members(
+            now[table], sources[table], natural_key, attributes, key, draft.top_key(table)
         )
-    new = draft.put_all(loads)
+    new = draft.append_all(loads)
     # Written down once: numbering reads its rows twice, and the lookups behind them needn't run again.
     known = within(now["fact_sales"], "order_id", orders)
     sold = materialise(unseen(fact_rows(rows, new), known, ["order_id", "line_number"]), "sales-facts")

@@ -223,6 +223,10 @@ class Draft:
         """Load independent tables at the same time, each straight into the draft."""
         return together({name: lambda name=name, load=load: self.put(name, load()) for name, load in loads.items()})
 
+    def append_all(self, loads: dict[str, Callable[[], tuple[DataFrame, int | None]]]) -> dict[str, DataFrame]:
+        """Add to independent tables at the same time; each load gives its rows and the highest key in use with them."""
+        return together({name: lambda name=name, load=load: self.append(name, *load()) for name, load in loads.items()})
+
     def publish(self) -> int:
         """Make every table visible together; tables not put carry over from the base version."""
         self._store._create_manifest(self.base + 1, json.dumps(self._entries))

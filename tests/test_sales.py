@@ -42,7 +42,11 @@ def test_insert_only(spark, store):
     new = changed(0, order_id=4009, customer_id=90, order_date=date(2026, 8, 1))[:1]
     sales.run_star(store, frame(spark, new))
     assert rows(store.read()["fact_sales"].where("order_id = 4009"), "sales_key", "customer_key") == [(4, 4)]
-    # Files of known facts are carried over; only a load with new facts adds a folder.
+    # Files of what is known are carried over; only a load with new rows adds a folder.
+    for name in sales.TABLES:
+        assert store.paths(name, 3) == store.paths(name, 1)
+    assert store.paths("dim_customer", 4)[:-1] == store.paths("dim_customer", 1)
+    assert store.paths("dim_store", 4) == store.paths("dim_store", 1)
     assert store.paths("fact_sales", 3) == store.paths("fact_sales", 1)
     assert store.paths("fact_sales", 4)[:-1] == store.paths("fact_sales", 1)
 
