@@ -1,4 +1,11 @@
-"""A training corpus from ``documents``: each stage works on all that its predecessor kept."""
+"""A training corpus from ``documents``: each stage works on all that its predecessor kept.
+
+Defined results: a null text counts as an empty one in every stage, scores as one, has no words and shares its fingerprint
+with other empty ones; null ids, languages and sources are carried along, a null source being one of its own. Rows with equal
+texts, repeated rows included, are one group of copies, of which the row with the smallest id stays. Very long texts are read
+whole. Columns of other names, also those that a stage uses itself, pass through all stages but the last. An empty
+``documents`` gives an empty result; without toxic labels no document is rejected, without benchmark items none is contaminated.
+"""
 
 from __future__ import annotations
 
