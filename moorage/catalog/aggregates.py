@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import given_logs
+from given_logs import FLAT_SQL
 from moorage import bindings as B
-from moorage import captured
 from moorage.catalog import warehouses
 from moorage.catalog.joins import COST_SQL, SHOP_OK_SQL
 from moorage.catalog.registry import query
@@ -101,17 +102,17 @@ def agg_min_max(spark, folder):
     )
 
 
-TESTS_SQL = """SELECT o_orderkey, r, t, (o_orderkey + r + t) % 7 = 0 AS failed FROM orders, range(0, 3) a(r),
-  range(0, 3) b(t) WHERE r <= o_orderkey % 3 AND (o_orderkey + r) % 10 <> 0 AND t <= (o_orderkey + r) % 3"""
-REQUESTS_SQL = "SELECT o_orderkey, r, (o_orderkey + r) % 4 = 0 AS failed FROM orders, range(0, 3) a(r) WHERE r <= o_orderkey % 3"
+TESTS_SQL = """SELECT k, page, n, part, supplier, quantity, flag, t.name, t.failed FROM item,
+  LATERAL (VALUES ('ordered before', shipped < ordered), ('small part', size > 40)) t(name, failed) WHERE quantity > 5"""
+REQUESTS_SQL = "SELECT *, flag = 'R' AS failed FROM item"
 
 
 @query(
-    f"""SELECT CAST(o_orderkey AS INTEGER) AS iteration, count(*) FILTER (NOT failed) AS passed,
-    count(*) FILTER (failed) AS failed FROM ({TESTS_SQL}) GROUP BY o_orderkey"""
+    f"""WITH {FLAT_SQL} SELECT CAST(k AS INTEGER) AS iteration, count(*) FILTER (NOT failed) AS passed,
+    count(*) FILTER (failed) AS failed FROM ({TESTS_SQL}) GROUP BY k"""
 )
 def agg_conditional_counts(spark, folder):
-    rows = runlogs.tests(captured.parsed_reports(spark, folder))
+    rows = runlogs.tests(given_logs.parsed_reports(spark, folder))
     return rows.groupBy("iteration").agg(
         F.count_if(F.col("status") == runlogs.PASS).alias("passed"),
         F.count_if(F.col("status") != runlogs.PASS).alias("failed"),
@@ -119,12 +120,12 @@ def agg_conditional_counts(spark, folder):
 
 
 @query(
-    f"""SELECT CAST(o_orderkey AS INTEGER) AS iteration, NOT bool_or(failed) AS all_passed
-    FROM (SELECT o_orderkey, failed FROM ({TESTS_SQL}) UNION ALL SELECT o_orderkey, failed FROM ({REQUESTS_SQL}))
-    GROUP BY o_orderkey"""
+    f"""WITH {FLAT_SQL} SELECT CAST(k AS INTEGER) AS iteration, bool_and(NOT failed) AS all_passed
+    FROM (SELECT k, failed FROM ({TESTS_SQL}) UNION ALL SELECT k, failed FROM ({REQUESTS_SQL})
+      UNION ALL SELECT k, true FROM run WHERE n_lines = 0) GROUP BY k"""
 )
 def agg_all_pass(spark, folder):
-    counted = runlogs.iteration_counts(captured.parsed_reports(spark, folder))
+    counted = runlogs.iteration_counts(given_logs.parsed_reports(spark, folder))
     clean = (F.col("requests") > 0) & (F.col("failed_requests") == 0) & (F.col("failed_tests") == 0)
     return counted.groupBy("iteration").agg(F.bool_and(clean).alias("all_passed"))
 
@@ -165,29 +166,29 @@ def topk_latest_audit(spark, folder):
     return audit.latest(B.audit_rows(spark, folder))
 
 
-@query(
-    f"""SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CASE WHEN o_orderkey % 8 <> 0 THEN 'P1' END AS pax_ref_id
-    FROM orders"""
-)
+@query(f"WITH {FLAT_SQL} SELECT run_id, CASE WHEN n IS NOT NULL THEN 'P' || customer END AS pax_ref_id FROM head")
 def first_array_element(spark, folder):
-    return payloads.retrieved_order(captured.parsed_step(spark, folder, "retrieve")).select("run_id", "pax_ref_id")
+    return payloads.retrieved_order(given_logs.parsed_step(spark, folder, "retrieve")).select("run_id", "pax_ref_id")
 
 
-ORIGIN, DESTINATION = "AAA", "BBB"
-PICK_SQL = f"""SELECT o_orderkey AS k, coalesce(min(i) FILTER ((o_orderkey + i) % 3 <> 0 AND (o_orderkey + i) % 2 = 0), 0)
-  AS i FROM orders, range(0, 4) t(i) WHERE {SHOP_OK_SQL} AND i < o_orderkey % 4 GROUP BY o_orderkey"""
+ORIGIN, DESTINATION = "HOU", "ECO"
+OFFER_ID_SQL = "'F-' || k || '-' || n"
+#: The first direct line of a run, else its first line.
+PICK_SQL = f"""SELECT run_id, arg_min(n, CASE WHEN direct THEN n - {given_logs.PAGE} ELSE n END) AS n FROM item
+  WHERE {SHOP_OK_SQL} GROUP BY run_id"""
+PICKED_SQL = f"WITH {FLAT_SQL} SELECT run_id, {OFFER_ID_SQL} AS offer_id FROM ({PICK_SQL}) JOIN item USING (run_id, n)"
 
 
-@query(f"SELECT CAST(k AS VARCHAR) AS run_id, 'F-' || k || '-' || i AS offer_id FROM ({PICK_SQL})")
+@query(PICKED_SQL)
 def first_matching_else_first(spark, folder):
-    parsed = captured.parsed_step(spark, folder, "shopping")
+    parsed = given_logs.parsed_step(spark, folder, "shopping")
     rows = with_computed(parsed, "offer", payloads.first_direct_else_first(ORIGIN, DESTINATION))
     return rows.where("offer IS NOT NULL").select("run_id", F.col("offer.offerId").alias("offer_id"))
 
 
-@query(f"SELECT CAST(k AS VARCHAR) AS run_id, 'F-' || k || '-' || i AS offer_id FROM ({PICK_SQL})")
+@query(PICKED_SQL)
 def topk_per_document(spark, folder):
-    return payloads.best_per_document(captured.parsed_step(spark, folder, "shopping"), ORIGIN, DESTINATION)
+    return payloads.best_per_document(given_logs.parsed_step(spark, folder, "shopping"), ORIGIN, DESTINATION)
 
 
 # -------------------------------------------------------------- set operations

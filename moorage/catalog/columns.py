@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+import given_logs
+from given_logs import FLAT_SQL
 from moorage import bindings as B
-from moorage import captured
 from moorage.catalog.registry import query
 from moorage.functions import scalars as S
 from moorage.operators import audit, errors, payloads
@@ -121,11 +122,11 @@ def fn_join_nonempty(spark, folder):
 
 
 @query(
-    f"""SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'Subscription unavailable; Run ' || o_orderkey AS detail
-    FROM orders WHERE {captured.TRANSPORT}"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'Subscription unavailable; Run ' || run_id AS detail FROM run
+    WHERE {given_logs.TRANSPORT}"""
 )
 def fn_join_messages(spark, folder):
-    parsed = captured.parsed_step(spark, folder, "shopping").where("errors IS NOT NULL")
+    parsed = given_logs.parsed_step(spark, folder, "shopping").where("errors IS NOT NULL")
     return parsed.select("run_id", errors.messages(F.col("errors")).alias("detail"))
 
 
@@ -151,19 +152,19 @@ def fn_coalesce_default_text(spark, folder):
 
 
 @query(
-    """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CASE WHEN o_orderkey % 12 = 0 THEN NULL
-    WHEN o_orderkey % 4 = 0 THEN 'original-' || o_orderkey ELSE 'ticket-' || o_orderkey END AS ticket_number FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, CASE WHEN state <> 'P' THEN 'ticket-' || run_id
+    WHEN segment <> 'BUILDING' THEN 'original-' || run_id END AS ticket_number FROM run"""
 )
 def fn_first_truthy(spark, folder):
-    return payloads.ticket(captured.parsed_step(spark, folder, "ticket")).select("run_id", "ticket_number")
+    return payloads.ticket(given_logs.parsed_step(spark, folder, "ticket")).select("run_id", "ticket_number")
 
 
 @query(
-    """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'C-' || o_orderkey || (CASE WHEN o_orderkey % 2 = 0 THEN '-1'
-    ELSE '-7' END) AS offer_item_id FROM orders WHERE o_orderkey % 13 <> 0"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'C-' || k || '-' || n || '-' || (CASE WHEN quantity > 25 THEN 1 ELSE part END) AS offer_item_id
+    FROM item JOIN (SELECT run_id, min(n) AS n FROM item WHERE flag = 'A' GROUP BY run_id) USING (run_id, n)"""
 )
 def fn_append_suffix_fallback(spark, folder):
-    return payloads.reshop_offer(captured.parsed_step(spark, folder, "reshop"), "T1").select("run_id", "offer_item_id")
+    return payloads.reshop_offer(given_logs.parsed_step(spark, folder, "reshop"), "T1").select("run_id", "offer_item_id")
 
 
 @query("SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount FROM orders GROUP BY ALL")

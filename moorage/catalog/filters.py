@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+import given_logs
+from given_logs import FLAT_SQL
 from moorage import bindings as B
-from moorage import captured
 from moorage.catalog.registry import query
 from moorage.functions import scalars as S
 from moorage.operators import errors
@@ -119,19 +120,17 @@ def filter_optional_param(spark, folder):
 
 
 @query(
-    """SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 4 = 0 THEN 'original-' || o_orderkey
-      ELSE 'ticket-' || o_orderkey END AS ticket_number FROM orders WHERE o_orderkey % 12 <> 0"""
+    f"""WITH {FLAT_SQL} SELECT run_id, CASE WHEN state <> 'P' THEN 'ticket-' ELSE 'original-' END || run_id AS ticket_number FROM run
+    WHERE state <> 'P' OR segment <> 'BUILDING'"""
 )
 def filter_truthy(spark, folder):
     from moorage.operators import payloads
 
-    found = payloads.ticket(captured.parsed_step(spark, folder, "ticket"))
-    return found.where(S.filled(F.col("ticket_number"))).select(
-        F.col("run_id").cast("bigint").alias("order_key"), "ticket_number"
-    )
+    found = payloads.ticket(given_logs.parsed_step(spark, folder, "ticket"))
+    return found.where(S.filled(F.col("ticket_number"))).select("run_id", "ticket_number")
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS run_id FROM orders WHERE o_orderkey % 6 IN (1, 2)""")
+@query(f"""WITH {FLAT_SQL} SELECT DISTINCT run_id FROM item WHERE flag = 'A' OR (flag = 'R' AND quantity > 25)""")
 def filter_regex(spark, folder):
-    found = errors.exploded(captured.parsed_step(spark, folder, "confirm"))
+    found = errors.exploded(given_logs.parsed_step(spark, folder, "confirm"))
     return found.where(errors.schedule_change(F.col("text"))).select("run_id").distinct()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import given_logs
+from given_logs import FLAT_SQL
 from moorage import bindings as B
-from moorage import captured
 from moorage.catalog import warehouses
 from moorage.catalog.registry import query
 from moorage.catalog.tables import DETAILS_SQL, EXTRACT, appointment_details
@@ -149,18 +150,15 @@ def join_update_from(spark, folder):
     return update_from(target, newest, "patient_id", ["city"])
 
 
-SHOP_OK_SQL = f"NOT {captured.TRANSPORT} AND NOT {captured.BUSINESS}"
-SEGMENTS_SQL = f"""SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'J' || j AS journey_id, CAST(s AS INTEGER) AS pos,
-  'S' || j || (CASE WHEN s = 0 THEN 'a' ELSE 'b' END) AS segment_id,
-  'D' || j || (CASE WHEN s = 0 THEN 'a' ELSE 'b' END) AS dated_segment_id,
-  CASE WHEN s = 0 THEN 'AAA' ELSE 'CCC' END AS origin,
-  CASE WHEN s = 1 OR (o_orderkey + j) % 2 = 0 THEN 'BBB' ELSE 'CCC' END AS destination
-  FROM orders, range(0, 4) t(j), range(0, 2) u(s)
-  WHERE {SHOP_OK_SQL} AND j < o_orderkey % 4 AND (s = 0 OR (o_orderkey + j) % 3 = 0)"""
+SHOP_OK_SQL = f"NOT {given_logs.TRANSPORT} AND NOT {given_logs.BUSINESS}"
+SEGMENTS_SQL = f"""SELECT run_id, 'J' || n AS journey_id, leg AS pos, 'S' || n || name AS segment_id,
+  'D' || n || name AS dated_segment_id, CASE WHEN leg = 0 THEN substr(segment, 1, 3) ELSE brand END AS origin,
+  CASE WHEN leg = 1 OR size <= 30 THEN substr(kind, 1, 3) ELSE brand END AS destination
+  FROM item, (VALUES (0, 'a'), (1, 'b')) t(leg, name) WHERE {SHOP_OK_SQL} AND (leg = 0 OR size > 30)"""
 
 
-@query(SEGMENTS_SQL)
+@query(f"WITH {FLAT_SQL} {SEGMENTS_SQL}")
 def join_array_by_id(spark, folder):
-    return payloads.segments(captured.parsed_step(spark, folder, "shopping"))
+    return payloads.segments(given_logs.parsed_step(spark, folder, "shopping"))
 
 

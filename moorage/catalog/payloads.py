@@ -1,36 +1,38 @@
-"""Nested-JSON and API-log queries over one workflow run per order."""
+"""Nested-JSON and API-log queries; a workflow run is a few lines of an order."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moorage import captured
-from moorage.catalog.aggregates import DESTINATION, ORIGIN, PICK_SQL
+import given_logs
+from given_logs import FLAT_SQL
+from moorage.catalog.aggregates import DESTINATION, OFFER_ID_SQL, ORIGIN, PICK_SQL
 from moorage.catalog.joins import SEGMENTS_SQL, SHOP_OK_SQL
 from moorage.catalog.registry import query
 from moorage.functions.payload import as_array
 from moorage.operators import errors, payloads, workflow
 from moorage.sources import logs, tables
 
-RUN = "CAST(o_orderkey AS VARCHAR) AS run_id"
-AMOUNT_SQL = "CAST(o_totalprice AS DECIMAL(12,2))"
-CURRENCY_SQL = "CASE o_orderstatus WHEN 'F' THEN 'GBP' WHEN 'O' THEN 'USD' ELSE 'EUR' END"
-PAX_COUNT_SQL = "CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 2 = 0 THEN 1 ELSE 2 END"
+PAX_SQL = "CASE WHEN quantity > 30 THEN 2 ELSE 1 END"
+GUEST_SQL = "'P' || customer"
+ITEM_ID_SQL = "'I-' || k || '-' || n"
+#: Runs of which no line is rejected.
+CREATED_SQL = f"run_id NOT IN (SELECT run_id FROM item WHERE {given_logs.REJECTED})"
 
 
 def _shopping(spark, folder):
-    return captured.parsed_step(spark, folder, "shopping")
+    return given_logs.parsed_step(spark, folder, "shopping")
 
 
 @query(
-    f"""SELECT {RUN}, CASE WHEN o_orderkey % 8 = 0 THEN 0 ELSE {PAX_COUNT_SQL} END AS passengers,
-    CASE WHEN o_orderkey % 8 <> 0 THEN CASE WHEN {PAX_COUNT_SQL} = 1 THEN 'P1' ELSE 'P1,P2' END ELSE '' END AS pax_ref_ids
-    FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, CAST(CASE WHEN n IS NULL THEN 0 ELSE {PAX_SQL} END AS INTEGER) AS passengers,
+    CASE WHEN n IS NULL THEN '' WHEN {PAX_SQL} = 2 THEN {GUEST_SQL} || ',Q' || customer ELSE {GUEST_SQL} END AS pax_ref_ids
+    FROM head"""
 )
 def json_array_or_scalar(spark, folder):
     from moorage.functions.payload import first_value
 
-    parsed = captured.parsed_step(spark, folder, "retrieve")
+    parsed = given_logs.parsed_step(spark, folder, "retrieve")
     order = first_value(F.col("result.response.order"), logs.ORDER)
     service = first_value(first_value(order["orderItem"], logs.ITEM)["service"], logs.SERVICE)
     pax = as_array(service["paxRefId"], "string")
@@ -40,9 +42,8 @@ def json_array_or_scalar(spark, folder):
 
 
 @query(
-    f"""SELECT {RUN}, CASE WHEN NOT {captured.TRANSPORT} THEN 'T1-' || o_orderkey END AS trx_id,
-    CASE WHEN NOT {captured.TRANSPORT} AND o_orderkey % 23 <> 0 THEN 'SUB-' || o_orderkey END AS subscription_id
-    FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, CASE WHEN NOT {given_logs.TRANSPORT} THEN 'T1-' || run_id END AS trx_id,
+    CASE WHEN NOT {given_logs.TRANSPORT} AND balance >= 0 THEN 'SUB-' || customer END AS subscription_id FROM run"""
 )
 def json_safe_path(spark, folder):
     return _shopping(spark, folder).select(
@@ -51,168 +52,167 @@ def json_safe_path(spark, folder):
     )
 
 
-OFFERS = "FROM orders, range(0, 4) t(i)"
-OFFERS_WHERE = f"WHERE {SHOP_OK_SQL} AND i < o_orderkey % 4"
-OFFER_ID_SQL = "'F-' || o_orderkey || '-' || i"
+OFFERS = f"FROM item WHERE {SHOP_OK_SQL}"
 
 
 @query(
-    f"""SELECT {RUN}, CAST(i AS INTEGER) AS pos, {OFFER_ID_SQL} AS offer_id,
-    CASE WHEN o_orderkey % 13 = 0 AND i = 1 THEN 'ZZ' ELSE 'QA' END AS owner_code,
-    CAST({AMOUNT_SQL} + i * 10 AS DECIMAL(18,2)) AS amount, {CURRENCY_SQL} AS currency {OFFERS} {OFFERS_WHERE}"""
+    f"""WITH {FLAT_SQL} SELECT run_id, pos, {OFFER_ID_SQL} AS offer_id, CASE WHEN flag = 'R' THEN 'ZZ' ELSE 'QA' END AS owner_code,
+    CAST(price AS DECIMAL(18,2)) AS amount, currency {OFFERS}"""
 )
 def flatten_offers(spark, folder):
     return payloads.offers(_shopping(spark, folder)).drop("offer")
 
 
 @query(
-    f"""SELECT {RUN}, {OFFER_ID_SQL} AS offer_id, {OFFER_ID_SQL} || '-' || t AS offer_item_id,
-    'V' || t || s AS service_id, 'P' || p AS pax_ref_id {OFFERS}, range(1, 3) a(t), range(1, 3) b(s), range(1, 3) c(p)
-    {OFFERS_WHERE} AND t <= 1 + (o_orderkey + i) % 2 AND s <= 1 + i % 2 AND p <= {PAX_COUNT_SQL}"""
+    f"""WITH {FLAT_SQL} SELECT run_id, {OFFER_ID_SQL} AS offer_id, {OFFER_ID_SQL} || '-' || part || '-' || t AS offer_item_id,
+    'V' || supplier || '-' || t || '-' || s AS service_id, g || customer AS pax_ref_id
+    FROM item, (VALUES (1), (2)) a(t), (VALUES (1), (2)) b(s), (VALUES ('P'), ('Q')) c(g)
+    WHERE {SHOP_OK_SQL} AND (t = 1 OR quantity > 25) AND (s = 1 OR size > 25) AND (g = 'P' OR quantity > 30)"""
 )
 def flatten_offer_items_services(spark, folder):
     return payloads.offer_services(_shopping(spark, folder))
 
 
-@query(SEGMENTS_SQL)
+@query(f"WITH {FLAT_SQL} {SEGMENTS_SQL}")
 def flatten_segments(spark, folder):
     return payloads.segments(_shopping(spark, folder))
 
 
-@query(f"SELECT {RUN}, {OFFER_ID_SQL} AS offer_id, 'J' || i AS journey_id {OFFERS} {OFFERS_WHERE}")
+@query(f"WITH {FLAT_SQL} SELECT run_id, {OFFER_ID_SQL} AS offer_id, 'J' || n AS journey_id {OFFERS}")
 def resolve_journey_ref(spark, folder):
     rows = payloads.offers(_shopping(spark, folder))
     return rows.select("run_id", "offer_id", payloads.journey_ref(F.col("offer")).alias("journey_id"))
 
 
-@query(
-    f"""SELECT {RUN}, {OFFER_ID_SQL} AS offer_id {OFFERS} {OFFERS_WHERE}
-    AND (o_orderkey + i) % 3 <> 0 AND (o_orderkey + i) % 2 = 0"""
-)
+@query(f"WITH {FLAT_SQL} SELECT run_id, {OFFER_ID_SQL} AS offer_id {OFFERS} AND direct")
 def filter_direct_offers(spark, folder):
     return payloads.direct_offers(_shopping(spark, folder), ORIGIN, DESTINATION)
 
 
-SELECTED_SQL = f"""SELECT CAST(k AS VARCHAR) AS run_id, 'T1-' || k AS trx_id, 'SUB-' || k AS subscription_id,
-  'SR-' || k AS shopping_response_id, 'F-' || k || '-' || i AS offer_id,
-  CASE WHEN k % 13 = 0 AND i = 1 THEN 'ZZ' ELSE 'QA' END AS owner_code, 'F-' || k || '-' || i || '-1' AS offer_item_id,
-  'P1' AS pax_ref_id FROM ({PICK_SQL}) WHERE k % 23 <> 0"""
+SELECTED_SQL = f"""SELECT run_id, 'T1-' || run_id AS trx_id, 'SUB-' || customer AS subscription_id,
+  'SR-' || run_id AS shopping_response_id, {OFFER_ID_SQL} AS offer_id, CASE WHEN flag = 'R' THEN 'ZZ' ELSE 'QA' END AS owner_code,
+  {OFFER_ID_SQL} || '-' || part || '-1' AS offer_item_id, {GUEST_SQL} AS pax_ref_id
+  FROM ({PICK_SQL}) JOIN item USING (run_id, n) WHERE balance >= 0"""
 
 
-@query(SELECTED_SQL)
+@query(f"WITH {FLAT_SQL} {SELECTED_SQL}")
 def select_offer(spark, folder):
     return payloads.selected_offer(_shopping(spark, folder), ORIGIN, DESTINATION)
 
 
-PRICED_SQL = f"""SELECT {RUN}, 'T2-' || o_orderkey AS trx_id, 'SUB-' || o_orderkey AS subscription_id,
-  CASE WHEN o_orderkey % 3 <> 0 THEN 'SR2-' || o_orderkey ELSE s.shopping_response_id END AS shopping_response_id,
-  'F-' || o_orderkey || '-0' AS offer_id, 'QA' AS owner_code, 'F-' || o_orderkey || '-0-1' AS offer_item_id,
-  'P1' AS pax_ref_id FROM orders LEFT JOIN ({SELECTED_SQL}) s ON s.run_id = CAST(o_orderkey AS VARCHAR)
-  WHERE o_orderkey % 11 <> 0"""
+PRICED_SQL = f"""SELECT h.run_id, 'T2-' || h.run_id AS trx_id, 'SUB-' || customer AS subscription_id,
+  CASE WHEN segment <> 'MACHINERY' THEN 'SR2-' || h.run_id ELSE s.shopping_response_id END AS shopping_response_id,
+  {OFFER_ID_SQL} AS offer_id, CASE WHEN flag = 'R' THEN 'ZZ' ELSE 'QA' END AS owner_code,
+  {OFFER_ID_SQL} || '-' || part || '-1' AS offer_item_id, {GUEST_SQL} AS pax_ref_id
+  FROM head h LEFT JOIN ({SELECTED_SQL}) s ON s.run_id = h.run_id WHERE {given_logs.PRICED}"""
 
 
-@query(PRICED_SQL)
+@query(f"WITH {FLAT_SQL} {PRICED_SQL}")
 def extract_priced_offer(spark, folder):
     selected = payloads.selected_offer(_shopping(spark, folder), ORIGIN, DESTINATION)
-    return payloads.priced_offer(captured.parsed_step(spark, folder, "pricing"), selected)
+    return payloads.priced_offer(given_logs.parsed_step(spark, folder, "pricing"), selected)
 
 
 @query(
-    f"""SELECT {RUN}, 'T3-' || o_orderkey AS trx_id, 'N-' || o_orderkey AS nf_order_id,
-    'SUB-' || o_orderkey AS subscription_id, 'O-' || o_orderkey AS order_id, 'QA' AS owner_code FROM orders
-    WHERE o_orderkey % 7 <> 0"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'T3-' || run_id AS trx_id, 'N-' || run_id AS nf_order_id,
+    'SUB-' || customer AS subscription_id, 'O-' || k AS order_id, 'QA' AS owner_code FROM run WHERE {CREATED_SQL}"""
 )
 def extract_created_order(spark, folder):
-    return payloads.created_order(captured.parsed_step(spark, folder, "create"))
-
-
-HAS_ITEM = "o_orderkey % 8 <> 0"
+    return payloads.created_order(given_logs.parsed_step(spark, folder, "create"))
 
 
 @query(
-    f"""SELECT {RUN}, 'T4-' || o_orderkey AS trx_id, 'O-' || o_orderkey AS order_id, 'QA' AS owner_code,
-    CASE WHEN {HAS_ITEM} THEN 'I-' || o_orderkey END AS order_item_id, CASE WHEN {HAS_ITEM} THEN 'V1' END AS service_id,
-    CASE WHEN {HAS_ITEM} THEN 'P1' END AS pax_ref_id, CAST({AMOUNT_SQL} AS VARCHAR) AS amount_text,
-    CAST({AMOUNT_SQL} AS DECIMAL(18,2)) AS amount, {CURRENCY_SQL} AS currency FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'T4-' || run_id AS trx_id, 'O-' || k AS order_id, 'QA' AS owner_code,
+    {ITEM_ID_SQL} AS order_item_id, 'V' || supplier AS service_id, CASE WHEN n IS NOT NULL THEN {GUEST_SQL} END AS pax_ref_id,
+    CAST(total AS VARCHAR) AS amount_text, total AS amount, currency FROM head"""
 )
 def extract_retrieved_order(spark, folder):
-    return payloads.retrieved_order(captured.parsed_step(spark, folder, "retrieve"))
+    return payloads.retrieved_order(given_logs.parsed_step(spark, folder, "retrieve"))
 
 
 @query(
-    f"""SELECT {RUN}, 'T7-' || o_orderkey AS trx_id, CASE WHEN {HAS_ITEM} THEN 'I-' || o_orderkey END AS order_item_id,
-    CASE WHEN {HAS_ITEM} THEN 'V1' END AS service_id FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'T7-' || run_id AS trx_id, {ITEM_ID_SQL} AS order_item_id,
+    'V' || supplier AS service_id FROM head"""
 )
 def extract_order_before_change(spark, folder):
-    return payloads.order_before_change(captured.parsed_step(spark, folder, "retrieve_change"))
+    return payloads.order_before_change(given_logs.parsed_step(spark, folder, "retrieve_change"))
 
 
 def _ticket_sql(step: int) -> str:
-    return f"""SELECT {RUN}, 'T{step}-' || o_orderkey AS trx_id, CASE WHEN o_orderkey % 12 = 0 THEN NULL
-    WHEN o_orderkey % 4 = 0 THEN 'original-' || o_orderkey ELSE 'ticket-' || o_orderkey END AS ticket_number,
-    'T' AS ticket_type, 1 AS coupon_number, CASE WHEN o_orderkey % 2 = 0 THEN 'OK' ELSE 'I' END AS coupon_status
-    FROM orders"""
+    return f"""SELECT run_id, 'T{step}-' || run_id AS trx_id, CASE WHEN state <> 'P' THEN 'ticket-' || run_id
+    WHEN segment <> 'BUILDING' THEN 'original-' || run_id END AS ticket_number, 'T' AS ticket_type, n AS coupon_number,
+    CASE flag WHEN 'A' THEN 'OK' WHEN 'N' THEN 'I' WHEN 'R' THEN 'I' END AS coupon_status FROM head"""
 
 
-@query(f"{_ticket_sql(5)} UNION ALL {_ticket_sql(10)}")
+@query(f"WITH {FLAT_SQL} {_ticket_sql(5)} UNION ALL {_ticket_sql(10)}")
 def extract_ticket(spark, folder):
-    first = payloads.ticket(captured.parsed_step(spark, folder, "ticket"))
-    return first.unionByName(payloads.ticket(captured.parsed_step(spark, folder, "ticket_change")))
+    first = payloads.ticket(given_logs.parsed_step(spark, folder, "ticket"))
+    return first.unionByName(payloads.ticket(given_logs.parsed_step(spark, folder, "ticket_change")))
 
 
 @query(
-    f"""SELECT {RUN}, 'PAY-' || o_orderkey AS payment_id, 'Paid' AS payment_status,
-    CASE WHEN o_orderkey % 6 <> 0 THEN CAST({AMOUNT_SQL} AS DECIMAL(18,2)) END AS amount, {CURRENCY_SQL} AS currency
-    FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'PAY-' || run_id AS payment_id, 'Paid' AS payment_status,
+    CASE WHEN state <> 'O' THEN total END AS amount, currency FROM run"""
 )
 def extract_payment(spark, folder):
-    return payloads.payment(captured.parsed_step(spark, folder, "ticket"))
+    return payloads.payment(given_logs.parsed_step(spark, folder, "ticket"))
 
 
 @query(
-    f"""SELECT {RUN}, 'T8-' || o_orderkey AS trx_id,
-    CASE WHEN o_orderkey % 5 <> 0 THEN 'SR8-' || o_orderkey END AS shopping_response_id, 'C-' || o_orderkey AS offer_id,
-    'QA' AS owner_code, CAST({AMOUNT_SQL} + 5 AS DECIMAL(18,2)) AS amount, {CURRENCY_SQL} AS currency,
-    'C-' || o_orderkey || (CASE WHEN o_orderkey % 2 = 0 THEN '-1' ELSE '-7' END) AS offer_item_id,
-    CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN 'T1' ELSE 'P9' END AS pax_ref_id
-    FROM orders WHERE o_orderkey % 13 <> 0"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'T8-' || run_id AS trx_id, CASE WHEN balance >= 0 THEN 'SR8-' || run_id END AS shopping_response_id,
+    'C-' || k || '-' || n AS offer_id, 'QA' AS owner_code, CAST(price AS DECIMAL(18,2)) AS amount, currency,
+    'C-' || k || '-' || n || '-' || (CASE WHEN quantity > 25 THEN 1 ELSE part END) AS offer_item_id,
+    CASE WHEN quantity > 25 OR size > 25 THEN 'T1' ELSE {GUEST_SQL} END AS pax_ref_id
+    FROM item JOIN (SELECT run_id, min(n) AS n FROM item WHERE flag = 'A' GROUP BY run_id) USING (run_id, n)"""
 )
 def extract_reshop_offer(spark, folder):
-    return payloads.reshop_offer(captured.parsed_step(spark, folder, "reshop"), "T1")
+    return payloads.reshop_offer(given_logs.parsed_step(spark, folder, "reshop"), "T1")
 
 
 @query(
-    f"""SELECT {RUN}, v.name, v.value FROM orders, LATERAL (VALUES ('trx_id', 'T9-' || o_orderkey),
-      ('nf_order_id', CASE WHEN o_orderkey % 4 <> 0 THEN 'N9-' || o_orderkey END),
-      ('subscription_id', 'SUB9-' || o_orderkey),
-      ('order_id', CASE WHEN o_orderkey % 15 = 0 THEN 'O-other' ELSE 'O-' || o_orderkey END),
-      ('owner_code', CASE WHEN o_orderkey % 4 <> 0 THEN 'QA' END), ('order_item_id', 'I-' || o_orderkey),
-      ('pax_ref_id', 'P1'), ('amount', CAST({AMOUNT_SQL} + 5 AS VARCHAR)), ('currency', {CURRENCY_SQL})) v(name, value)
+    f"""WITH {FLAT_SQL} SELECT run_id, v.name, v.value FROM head, LATERAL (VALUES ('trx_id', 'T9-' || run_id),
+      ('nf_order_id', CASE WHEN segment <> 'FURNITURE' THEN 'N9-' || run_id END),
+      ('subscription_id', 'SUB9-' || customer),
+      ('order_id', CASE WHEN priority = 5 THEN 'O-other' ELSE 'O-' || k END),
+      ('owner_code', CASE WHEN segment <> 'FURNITURE' THEN 'QA' END), ('order_item_id', {ITEM_ID_SQL}),
+      ('pax_ref_id', CASE WHEN n IS NOT NULL THEN {GUEST_SQL} END), ('amount', CAST(total AS VARCHAR)),
+      ('currency', currency)) v(name, value)
     WHERE v.value IS NOT NULL"""
 )
 def extract_changed_order(spark, folder):
-    return payloads.changed_values(captured.parsed_step(spark, folder, "confirm"))
+    return payloads.changed_values(given_logs.parsed_step(spark, folder, "confirm"))
 
 
 # --------------------------------------------------------------------- errors
 
 
 def _blocked(spark, folder, steps, rules=errors.RULES):
-    return errors.blocked(captured.parsed_outcomes(spark, folder, steps), steps, rules)
+    return errors.blocked(given_logs.parsed_outcomes(spark, folder, steps), steps, rules)
+
+
+NOTHING_OPEN_SQL = "run_id NOT IN (SELECT run_id FROM item WHERE flag = 'A')"
 
 
-def _blocked_sql(step: str, count: str) -> str:
-    return f"SELECT {RUN}, '{step}' AS step, CAST({count} AS INTEGER) AS blocking FROM orders"
+def _blocked_sql(step: str, rule: str) -> str:
+    """Blocking errors of a step: the lines of each run that the rule holds for."""
+    return f"""SELECT run_id, '{step}' AS step, CAST(count(*) FILTER ({rule}) AS INTEGER) AS blocking
+    FROM run LEFT JOIN (SELECT run_id, n, flag, quantity, size FROM item) USING (run_id) GROUP BY run_id"""
+
+
+def _run_sql(step: str, rule: str) -> str:
+    """Blocking errors of a step that fails as a whole."""
+    return f"SELECT run_id, '{step}' AS step, CAST(CASE WHEN {rule} THEN 1 ELSE 0 END AS INTEGER) AS blocking FROM run"
 
 
 @query(
-    " UNION ALL ".join(
+    f"WITH {FLAT_SQL} "
+    + " UNION ALL ".join(
         [
-            _blocked_sql("shopping", f"CASE WHEN {captured.BUSINESS} THEN 1 ELSE 0 END"),
-            _blocked_sql("pricing", "0"),
-            _blocked_sql("retrieve_change", "CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END"),
-            _blocked_sql("ticket", "CASE WHEN o_orderkey % 14 = 0 THEN 1 ELSE 0 END"),
-            _blocked_sql("reshop", "CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END"),
+            _run_sql("shopping", given_logs.BUSINESS),
+            _run_sql("pricing", "false"),
+            _blocked_sql("retrieve_change", "quantity = 50"),
+            _blocked_sql("ticket", "quantity = 49"),
+            _run_sql("reshop", NOTHING_OPEN_SQL),
         ]
     )
 )
@@ -220,29 +220,28 @@ def errors_strict(spark, folder):
     return _blocked(spark, folder, ["shopping", "pricing", "retrieve_change", "ticket", "reshop"])
 
 
-@query(_blocked_sql("create", "CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END"))
+@query(f"WITH {FLAT_SQL} {_blocked_sql('create', given_logs.REJECTED)}")
 def errors_non_warning_block(spark, folder):
     return _blocked(spark, folder, ["create"])
 
 
-@query(_blocked_sql("retrieve", "CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END"))
+@query(f"WITH {FLAT_SQL} {_blocked_sql('retrieve', given_logs.OTHER)}")
 def errors_code_exempt(spark, folder):
     return _blocked(spark, folder, ["retrieve"])
 
 
-@query(_blocked_sql("confirm", "CASE WHEN o_orderkey % 6 IN (2, 4, 5) THEN 1 ELSE 0 END"))
+@query(f"""WITH {FLAT_SQL} {_blocked_sql("confirm", f"flag = 'R' OR {given_logs.UNEXPECTED}")}""")
 def errors_change_rules(spark, folder):
     return _blocked(spark, folder, ["confirm"])
 
 
 @query(
-    " UNION ALL ".join(
+    f"WITH {FLAT_SQL} "
+    + " UNION ALL ".join(
         [
-            _blocked_sql("create", "CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 2 = 1 THEN 1 ELSE 0 END "
-                         "+ CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END"),
-            _blocked_sql("retrieve", "CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END + "
-                         "CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END"),
-            _blocked_sql("confirm", "CASE WHEN o_orderkey % 6 = 0 THEN 0 ELSE 1 END"),
+            _blocked_sql("create", f"(flag = 'N' AND size <= 25) OR {given_logs.REJECTED}"),
+            _blocked_sql("retrieve", f"flag = 'N' OR {given_logs.OTHER}"),
+            _blocked_sql("confirm", f"flag IN ('A', 'R') OR {given_logs.LATE} OR {given_logs.UNEXPECTED}"),
         ]
     )
 )
@@ -250,27 +249,30 @@ def errors_ui_rules(spark, folder):
     return _blocked(spark, folder, ["create", "retrieve", "confirm"], errors.BROWSER_RULES)
 
 
-def _classified_sql(step: str, http: str, transport: str, data: str, blocking: str) -> str:
-    return f"""SELECT run_id, '{step}' AS step, http_ok, transport_ok, has_data, blocking_errors,
-    CASE WHEN http_ok AND transport_ok AND has_data AND blocking_errors = 0 THEN 'pass' ELSE 'fail' END AS outcome
-    FROM (SELECT {RUN}, {http} AS http_ok, {transport} AS transport_ok, {data} AS has_data,
-      CAST({blocking} AS INTEGER) AS blocking_errors FROM orders)"""
+HTTP_SQL = "balance >= -900"
+
+
+def _classified_sql(http: str, transport: str, data: str, blocked: str) -> str:
+    return f"""SELECT run_id, step, http_ok, transport_ok, has_data, blocking AS blocking_errors,
+    CASE WHEN http_ok AND transport_ok AND has_data AND blocking = 0 THEN 'pass' ELSE 'fail' END AS outcome
+    FROM (SELECT run_id, step, blocking, {http} AS http_ok, {transport} AS transport_ok, {data} AS has_data
+      FROM ({blocked}) JOIN run USING (run_id))"""
 
 
 @query(
-    " UNION ALL ".join(
+    f"WITH {FLAT_SQL} "
+    + " UNION ALL ".join(
         [
-            _classified_sql("shopping", "true", f"NOT {captured.TRANSPORT}", f"NOT {captured.TRANSPORT}",
-                            f"CASE WHEN {captured.BUSINESS} THEN 1 ELSE 0 END"),
-            _classified_sql("pricing", "o_orderkey % 29 <> 0", "o_orderkey % 11 <> 0", "true", "0"),
-            _classified_sql("create", "o_orderkey % 29 <> 0", "true", "true", "CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END"),
-            _classified_sql("payment", "o_orderkey % 29 <> 0", "true", "true", "0"),
+            _classified_sql("true", f"NOT {given_logs.TRANSPORT}", f"NOT {given_logs.TRANSPORT}", _run_sql("shopping", given_logs.BUSINESS)),
+            _classified_sql(HTTP_SQL, given_logs.PRICED, "true", _run_sql("pricing", "false")),
+            _classified_sql(HTTP_SQL, "true", "true", _blocked_sql("create", given_logs.REJECTED)),
+            _classified_sql(HTTP_SQL, "true", "true", _run_sql("payment", "false")),
         ]
     )
 )
 def classify_response(spark, folder):
     steps = ["shopping", "pricing", "create", "payment"]
-    return errors.classified(captured.parsed_outcomes(spark, folder, steps), steps)
+    return errors.classified(given_logs.parsed_outcomes(spark, folder, steps), steps)
 
 
 # ------------------------------------------------------------------- workflow
@@ -279,12 +281,12 @@ NEEDED = ["trx_id", "subscription_id", "shopping_response_id", "offer_id", "owne
 
 
 @query(
-    f"""SELECT {RUN}, 'pricing' AS step, CASE WHEN s.run_id IS NULL THEN '{", ".join(NEEDED)}' ELSE '' END AS missing
-    FROM orders LEFT JOIN ({SELECTED_SQL}) s ON s.run_id = CAST(o_orderkey AS VARCHAR)"""
+    f"""WITH {FLAT_SQL} SELECT r.run_id, 'pricing' AS step, CASE WHEN s.run_id IS NULL THEN '{", ".join(NEEDED)}' ELSE '' END AS missing
+    FROM run r LEFT JOIN ({SELECTED_SQL}) s ON s.run_id = r.run_id"""
 )
 def required_values_missing(spark, folder):
     selected = payloads.selected_offer(_shopping(spark, folder), ORIGIN, DESTINATION)
-    steps = captured.sample_api_log(spark, folder, ["pricing"])
+    steps = given_logs.api_log(spark, folder, ["pricing"])
     return workflow.required_missing(steps, selected, NEEDED)
 
 
@@ -357,29 +359,25 @@ def identity_match_gate(spark, folder):
 
 
 @query(
-    f"""SELECT {RUN}, true AS order_agrees, true AS owner_agrees,
-    o_orderkey % 3 = 0 OR o_orderkey % 6 <> 0 AS reference_agrees,
-    o_orderkey % 3 = 0 OR o_orderkey % 10 <> 0 AS reference_owner_agrees FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, segment = 'MACHINERY' OR NOT {given_logs.TRANSPORT} AS order_agrees, true AS owner_agrees,
+    priority = 3 OR (segment <> 'MACHINERY' AND NOT {given_logs.TRANSPORT}) AS reference_agrees,
+    priority = 3 OR nation >= 5 AS reference_owner_agrees FROM run"""
 )
 def chain_order_match(spark, folder):
-    ticketed = payloads.ticket_references(captured.parsed_step(spark, folder, "ticket"))
-    retrieved = payloads.retrieved_order(captured.parsed_step(spark, folder, "retrieve"))
+    ticketed = payloads.ticket_references(given_logs.parsed_step(spark, folder, "ticket"))
+    retrieved = payloads.retrieved_order(given_logs.parsed_step(spark, folder, "retrieve"))
     return workflow.order_match(ticketed, retrieved)
 
 
-@query(
-    f"""SELECT {RUN}, bool_and(NOT (o_orderkey % 13 = 0 AND i = 1)) AS all_owned {OFFERS} {OFFERS_WHERE}
-    GROUP BY o_orderkey"""
-)
+@query(f"WITH {FLAT_SQL} SELECT run_id, bool_and(flag <> 'R') AS all_owned {OFFERS} GROUP BY run_id")
 def owner_all_equal(spark, folder):
     return workflow.carrier_owns_all(payloads.offers(_shopping(spark, folder)), "QA")
 
 
 @query(
-    f"""SELECT {RUN}, 'O-' || o_orderkey AS booking_reference, CAST({AMOUNT_SQL} AS DECIMAL(18,2)) AS amount,
-    {CURRENCY_SQL} AS currency, CASE WHEN {HAS_ITEM} THEN 'I-' || o_orderkey END AS order_item_id,
-    'N-' || o_orderkey AS external_id FROM orders WHERE o_orderkey % 7 <> 0"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 'O-' || k AS booking_reference, total AS amount, currency, {ITEM_ID_SQL} AS order_item_id,
+    'N-' || run_id AS external_id FROM head WHERE {CREATED_SQL}"""
 )
 def payment_batch_rows(spark, folder):
-    created = payloads.created_order(captured.parsed_step(spark, folder, "create"))
-    return payloads.payment_rows(created, payloads.retrieved_order(captured.parsed_step(spark, folder, "retrieve")))
+    created = payloads.created_order(given_logs.parsed_step(spark, folder, "create"))
+    return payloads.payment_rows(created, payloads.retrieved_order(given_logs.parsed_step(spark, folder, "retrieve")))

@@ -4,55 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moorage import captured
+import given_logs
+from given_logs import FLAT_SQL
 from moorage.catalog.aggregates import REQUESTS_SQL, TESTS_SQL
 from moorage.catalog.registry import query
 from moorage.operators import runlogs
 
-ITERATION = "CAST(o_orderkey AS INTEGER) AS iteration"
-NAME_SQL = """CASE WHEN r <> 1 THEN 'request ' || r WHEN o_orderkey % 2 = 0 THEN 'file ' || r ELSE 'path/' || r END"""
+ITERATION = "CAST(k AS INTEGER) AS iteration"
+NAME_SQL = """CASE WHEN flag <> 'N' THEN 'request ' || n WHEN quantity > 25 THEN 'file ' || supplier ELSE 'path/' || part END"""
 
 
 @query(
-    f"""SELECT {ITERATION}, CAST(r AS INTEGER) AS pos, {NAME_SQL} AS request,
-    CASE WHEN o_orderkey % 3 = 0 THEN '-' ELSE '200' END AS http_status, CAST(o_orderkey % 1000 AS VARCHAR) AS duration,
-    CASE WHEN failed THEN 'fail' ELSE 'pass' END AS status FROM ({REQUESTS_SQL})"""
+    f"""WITH {FLAT_SQL} SELECT {ITERATION}, pos, {NAME_SQL} AS request, CASE WHEN priority = 3 THEN '-' ELSE '200' END AS http_status,
+    CAST(quantity AS VARCHAR) AS duration, CASE WHEN failed THEN 'fail' ELSE 'pass' END AS status FROM ({REQUESTS_SQL})"""
 )
 def report_flatten_requests(spark, folder):
-    return runlogs.requests(captured.parsed_reports(spark, folder))
+    return runlogs.requests(given_logs.parsed_reports(spark, folder))
 
 
 @query(
-    f"""SELECT {ITERATION}, {NAME_SQL} AS request, 'test ' || t AS description,
-    CASE WHEN failed THEN 'fail' ELSE 'pass' END AS status, CASE WHEN failed THEN 'expected 200' ELSE '' END AS error
+    f"""WITH {FLAT_SQL} SELECT {ITERATION}, {NAME_SQL} AS request, name AS description,
+    CASE WHEN failed THEN 'fail' ELSE 'pass' END AS status, CASE WHEN failed THEN 'not ' || name ELSE '' END AS error
     FROM ({TESTS_SQL})"""
 )
 def report_flatten_tests(spark, folder):
-    return runlogs.tests(captured.parsed_reports(spark, folder))
+    return runlogs.tests(given_logs.parsed_reports(spark, folder))
 
 
 @query(
-    f"""SELECT (SELECT count(*) FILTER (NOT failed) FROM ({REQUESTS_SQL})) AS passed_requests,
-    (SELECT count(*) FILTER (failed) FROM ({REQUESTS_SQL})) AS failed_requests,
-    count(*) FILTER (NOT failed) AS passed_tests, count(*) FILTER (failed) AS failed_tests, false AS missing,
-    CAST(0 AS BIGINT) AS unreadable, false AS overall_pass FROM ({TESTS_SQL})"""
+    f"""WITH {FLAT_SQL} SELECT *, false AS missing, CAST(0 AS BIGINT) AS unreadable,
+    failed_requests = 0 AND failed_tests = 0 AND EXISTS (FROM run) AS overall_pass
+    FROM (SELECT count(*) FILTER (NOT failed) AS passed_requests, count(*) FILTER (failed) AS failed_requests FROM ({REQUESTS_SQL})),
+      (SELECT count(*) FILTER (NOT failed) AS passed_tests, count(*) FILTER (failed) AS failed_tests FROM ({TESTS_SQL}))"""
 )
 def report_totals(spark, folder):
-    return runlogs.totals(captured.parsed_reports(spark, folder))
+    return runlogs.totals(given_logs.parsed_reports(spark, folder))
 
 
 @query(
-    f"""WITH rows AS (SELECT q.o_orderkey, q.r, q.failed, coalesce(bool_or(t.failed), false) AS test_failed
-      FROM ({REQUESTS_SQL}) q LEFT JOIN ({TESTS_SQL}) t ON t.o_orderkey = q.o_orderkey AND t.r = q.r
-      GROUP BY q.o_orderkey, q.r, q.failed),
-    counts AS (SELECT o_orderkey, count(*) FILTER (NOT failed) AS passed, count(*) FILTER (failed) AS failed,
+    f"""WITH {FLAT_SQL}, rows AS (SELECT q.k, q.page, q.n, q.failed, coalesce(bool_or(t.failed), false) AS test_failed
+      FROM ({REQUESTS_SQL}) q LEFT JOIN ({TESTS_SQL}) t ON t.k = q.k AND t.n = q.n GROUP BY q.k, q.page, q.n, q.failed),
+    counts AS (SELECT k, count(*) FILTER (NOT failed) AS passed, count(*) FILTER (failed) AS failed,
       count(*) FILTER (NOT failed AND NOT test_failed) AS clean, count(*) FILTER (failed OR test_failed) AS unclean
-      FROM rows GROUP BY o_orderkey)
+      FROM rows GROUP BY k, page)
     SELECT {ITERATION}, 'passed_requests' AS measure, clean AS stored, passed AS recounted FROM counts WHERE clean <> passed
     UNION ALL SELECT {ITERATION}, 'failed_requests', unclean, failed FROM counts WHERE unclean <> failed"""
 )
 def report_recompute_summary(spark, folder):
-    return runlogs.summary_differences(captured.parsed_reports(spark, folder))
+    return runlogs.summary_differences(given_logs.parsed_reports(spark, folder))
 
 
 ACTIVITIES_SQL = """SELECT 'PL_' || event_type AS pipeline, CAST(event_id AS VARCHAR) AS run_id, t.name, t.status,
@@ -66,7 +65,7 @@ ACTIVITIES_SQL = """SELECT 'PL_' || event_type AS pipeline, CAST(event_id AS VAR
 
 @query(ACTIVITIES_SQL)
 def pipeline_activity_status(spark, folder):
-    return runlogs.activities(captured.parsed_pipeline_runs(spark, folder))
+    return runlogs.activities(given_logs.parsed_pipeline_runs(spark, folder))
 
 
 @query(
@@ -77,7 +76,7 @@ def pipeline_activity_status(spark, folder):
     .replace("FROM events,", "FROM (SELECT *, value AS value_of FROM events),")
 )
 def pipeline_result_rows(spark, folder):
-    return runlogs.result_values(captured.parsed_pipeline_runs(spark, folder))
+    return runlogs.result_values(given_logs.parsed_pipeline_runs(spark, folder))
 
 
 @query(
@@ -85,7 +84,7 @@ def pipeline_result_rows(spark, folder):
     ELSE 'Succeeded' END AS status FROM events WHERE value >= 20"""
 )
 def pipeline_terminal_filter(spark, folder):
-    rows = runlogs.terminal(captured.parsed_pipeline_runs(spark, folder))
+    rows = runlogs.terminal(given_logs.parsed_pipeline_runs(spark, folder))
     return rows.select(F.col("runId").alias("run_id"), "status")
 
 
@@ -95,4 +94,4 @@ def pipeline_terminal_filter(spark, folder):
 )
 def precedence_outcome(spark, folder):
     needs = {"Copy": [], "Load": ["Copy"], "Validate": ["Load"]}
-    return runlogs.precedence(captured.parsed_pipeline_runs(spark, folder), needs)
+    return runlogs.precedence(given_logs.parsed_pipeline_runs(spark, folder), needs)

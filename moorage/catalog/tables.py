@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import given_logs
+from given_logs import FLAT_SQL
 from moorage import bindings as B
-from moorage import captured
 from moorage.catalog.registry import query
 from moorage.operators import runlogs
 from moorage.plans import sales
@@ -40,17 +41,17 @@ def scan_inline_values(spark, folder):
 
 
 @query(
-    """SELECT CAST(o_orderkey AS INTEGER) AS iteration, CAST(1 + o_orderkey % 3 AS INTEGER) AS requests,
-    CASE WHEN o_orderkey % 4 = 0 THEN 'fail' ELSE 'pass' END AS first_status, false AS missing FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT CAST(k AS INTEGER) AS iteration, CAST(n_lines AS INTEGER) AS requests,
+    CASE WHEN flag = 'R' THEN 'fail' WHEN n IS NOT NULL THEN 'pass' END AS first_status, false AS missing FROM head"""
 )
 def scan_run_report_json(spark, folder):
     path = scratch_path(spark, "run-reports")
-    captured.sample_reports(spark, folder).write.text(path)
+    given_logs.reports(spark, folder).write.text(path)
     found = logs.readable(logs.read_run_reports(spark, path))
     return found.select(
         F.col("iterationIndex").alias("iteration"),
         F.size("results").alias("requests"),
-        F.col("results")[0]["status"].alias("first_status"),
+        F.get("results", F.lit(0))["status"].alias("first_status"),
         "missing",
     )
 
@@ -63,7 +64,7 @@ def scan_run_report_json(spark, folder):
 )
 def scan_pipeline_runs_json(spark, folder):
     path = scratch_path(spark, "pipeline-runs")
-    captured.sample_pipeline_runs(spark, folder).write.text(path)
+    given_logs.pipeline_runs(spark, folder).write.text(path)
     found = logs.readable(logs.read_pipeline_runs(spark, path))
     return found.select(
         F.col("runId").alias("run_id"), "pipeline", "status",
@@ -72,13 +73,12 @@ def scan_pipeline_runs_json(spark, folder):
 
 
 @query(
-    """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CAST(1 AS INTEGER) AS seq, 'shopping' AS step,
-    CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL ELSE 'T1-' || o_orderkey END AS trx_id
-    FROM orders"""
+    f"""WITH {FLAT_SQL} SELECT run_id, 1 AS seq, 'shopping' AS step,
+    CASE WHEN NOT {given_logs.TRANSPORT} THEN 'T1-' || run_id END AS trx_id FROM run"""
 )
 def scan_api_payloads(spark, folder):
     path = scratch_path(spark, "api-log")
-    log = tables.stage(captured.sample_api_log(spark, folder, ["shopping"]), path)
+    log = tables.stage(given_logs.api_log(spark, folder, ["shopping"]), path)
     body = F.parse_json("body")
     trx = F.try_variant_get(body, "$.data.iataAirShopping[0].payloadAttributes.trxId", "string")
     return log.select("run_id", "seq", "step", trx.alias("trx_id"))
@@ -276,7 +276,7 @@ def add_then_drop_column(spark, folder):
         NULL, NULL)) t(name, status, error_message, copied) WHERE value >= 20"""
 )
 def activity_projection(spark, folder):
-    return runlogs.activities(captured.parsed_pipeline_runs(spark, folder)).select(
+    return runlogs.activities(given_logs.parsed_pipeline_runs(spark, folder)).select(
         "run_id", "name", "status", "error_message", "copied"
     )
 
