@@ -1,10 +1,13 @@
 """Benchmark decontamination with a hash set of benchmark word windows.
 
 The windows of all benchmark items, normalised like the documents, form a set
-of 64-bit hashes that travels to every task inside the plan. Tasks look up
-each window of each document in it, and check hits word by word against the
-windows themselves. If there are more windows than ``MOST_WINDOWS`` the set
-isn't sent out; windows of documents and items then meet in a join by hash.
+of 64-bit hashes that every task gets. Tasks look up each window of each
+document in it, and hits are checked word by word against the windows
+themselves. A small set (``MOST_WINDOWS`` windows, ``MOST_CHARS`` characters)
+travels in the plan with the windows' words. A larger one is broadcast as bare
+hashes, up to ``MOST_HASHES`` of them; the windows of documents pass it where
+they are made, and only those that hit are shuffled. Beyond that, windows meet
+the hashes in a join, without any words. The result is the same each time.
 
 Only DataFrame and SQL functions are used.
 
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from moorage.llm.common import PLAIN_BREAK, ascii_lower, split_words
 from moorage.session import materialise
 
-#: Distinct benchmark windows that the plan carries to every task (about 100 bytes each).
-MOST_WINDOWS = 50_000
+#: Distinct benchmark windows that the plan carries to every task, and their characters together.
+MOST_WINDOWS, MOST_CHARS = 50_000, 8_000_000
+#: Distinct hashes of windows that are broadcast, of 8 bytes each (about 32 in the table that the tasks look them up in).
+MOST_HASHES = 2_000_000
 
 
 def normal_words(text: Column) -> Column:
@@ -72,7 +77,38 @@ def _bounded(items: DataFrame, key: str, text: str, width: int) -> tuple[DataFra
     """The windows, and their distinct grams on the driver if they are few enough."""
     table = materialise(windows(items, key=key, text=text, width=width), "windows")
     distinct = table.select("length", "gram", "hash").distinct()
-    return table, distinct.collect() if distinct.count() <= MOST_WINDOWS else None
+    number, chars = distinct.agg(F.count("*"), F.coalesce(F.sum(F.length("gram")), F.lit(0))).first()
+    return table, distinct.collect() if number <= MOST_WINDOWS and chars <= MOST_CHARS else None
+
+
+def _identity(key: Column, text: Column) -> Column:
+    """What rows equal in id and text share."""
+    return F.struct(key.alias("id"), F.xxhash64(text).alias("mark"))
+
+
+def _candidates(docs: DataFrame, table: DataFrame, key: str, text: str) -> DataFrame:
+    """Per document ``known``: ``maybe``, the (place, length, gram) of windows that a window's hash was found at.
+
+    Words don't leave the task: a window is its place and hash until it hits, and gets the gram that the hash stands for then.
+    """
+    lengths = [row["length"] for row in table.select("length").distinct().orderBy("length").collect()]  # at most width
+    places = F.concat(*[
+        F.expr(
+            f"if(size(words) >= {n}, transform(sequence(1, size(words) - {n} + 1),"
+            f" i -> named_struct('place', i, 'length', {n}, 'hash', xxhash64(slice(words, i, {n})))),"
+            " cast(array() as array<struct<place:int,length:int,hash:bigint>>))"
+        )
+        for n in lengths
+    ])
+    hashes = table.select("hash").distinct()
+    if hashes.count() <= MOST_HASHES:
+        hashes = F.broadcast(hashes)
+    split = docs.select(_identity(F.col(key), F.col(text)).alias("known"), F.explode(F.array(normal_words(F.col(text)))).alias("words"))
+    # The lists are made before they are unpacked, so that no row of a list carries a document's words.
+    made = split.select("known", F.explode(F.array(places)).alias("places"))
+    scanned = made.select("known", F.explode("places").alias("w")).select("known", "w.*").join(hashes, "hash", "left_semi")
+    found = scanned.join(table.select("length", "hash", "gram").distinct(), ["length", "hash"])
+    return found.groupBy("known").agg(F.collect_set(F.struct("place", "length", "gram")).alias("maybe"))
 
 
 def with_hits(docs: DataFrame, table: DataFrame, grams: list | None, *, key: str, text: str) -> DataFrame:
@@ -85,23 +121,17 @@ def with_hits(docs: DataFrame, table: DataFrame, grams: list | None, *, key: str
     ready = docs.select(F.struct("*").alias("doc")).select("doc", F.explode(F.array(split)).alias("words"))
     if grams is not None:
         return ready.select("doc", "words", F.explode(F.array(_hits_by_set(grams))).alias("hits"))
-    lengths = [row["length"] for row in table.select("length").distinct().orderBy("length").collect()]  # at most width
-    places = F.concat(*[
-        F.expr(
-            f"if(size(words) >= {n}, transform(sequence(1, size(words) - {n} + 1), i -> named_struct('place', i, 'length', {n},"
-            f" 'hash', xxhash64(slice(words, i, {n})), 'gram', array_join(slice(words, i, {n}), ' '))),"
-            " cast(array() as array<struct<place:int,length:int,hash:bigint,gram:string>>))"
-        )
-        for n in lengths
-    ])
-    identity = F.struct(F.col("doc")[key].alias("id"), F.xxhash64(F.col("doc")[text]).alias("mark"))
-    single = ready.select(identity.alias("same"), "words").dropDuplicates(["same"])
-    scanned = single.select("same", F.explode(places).alias("w")).select("same", "w.*")
-    found = scanned.join(table.select("length", "hash", "gram").distinct(), ["length", "hash", "gram"], "left_semi")
-    hits = found.groupBy(F.col("same").alias("known")).agg(F.array_sort(F.collect_list(F.struct("place", "length"))).alias("hits"))
-    return ready.join(hits, identity.eqNullSafe(F.col("known")), "left").select(
-        "doc", "words", F.coalesce("hits", F.expr("cast(array() as array<struct<place:int,length:int>>)")).alias("hits")
+    maybe = _candidates(docs, table, key, text)
+    verified = F.expr(
+        "transform(filter(coalesce(maybe, array()), m -> array_join(slice(words, m.place, m.length), ' ') = m.gram),"
+        " m -> named_struct('place', m.place, 'length', m.length))"
+    )
+    # Texts are split again beside the hits, so that words aren't shuffled either.
+    beside = docs.select(F.struct("*").alias("doc")).join(
+        maybe, _identity(F.col("doc")[key], F.col("doc")[text]).eqNullSafe(F.col("known")), "left"
     )
+    again = beside.select("doc", "maybe", F.explode(F.array(split)).alias("words"))
+    return again.select("doc", "words", F.explode(F.array(F.array_sort(verified))).alias("hits"))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:

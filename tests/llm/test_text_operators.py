@@ -330,17 +330,40 @@ def test_page_odd_rows(spark):
 # ---- decontamination beyond the SQL
 
 
-def test_join_and_set_agree(spark, documents, odd, monkeypatch):
+@pytest.mark.parametrize("limits", [{"MOST_WINDOWS": 0}, {"MOST_CHARS": 0}, {"MOST_WINDOWS": 0, "MOST_HASHES": 0}])
+def test_sets_and_join_agree(spark, documents, odd, monkeypatch, limits):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").unionByName(
         spark.createDataFrame([(900, "quick brown"), (901, "The MIT license")], "item_id long, text string")
     )
     for docs in (documents, odd):
         by_set = sorted(map(str, decontam.inspect(docs, items).collect()))
-        monkeypatch.setattr(decontam, "MOST_WINDOWS", 0)
+        left = sorted(map(str, decontam.clean(docs, items, spans=True).collect()))
+        for name, value in limits.items():
+            monkeypatch.setattr(decontam, name, value)
         assert sorted(map(str, decontam.inspect(docs, items).collect())) == by_set
+        assert sorted(map(str, decontam.clean(docs, items, spans=True).collect())) == left
         monkeypatch.undo()
 
 
+def test_many_windows_are_found_without_shuffling_documents_windows(spark):
+    """200,000 windows: more than the plan carries; every planted passage and no other text is hit."""
+    items = spark.range(1000).select(
+        F.col("id").alias("item_id"), F.expr("array_join(transform(sequence(1, 212), i -> concat('w', id, 'x', i)), ' ')").alias("text")
+    )
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"),
+        F.expr("concat('some words before ', if(id % 3 = 0, array_join(transform(sequence(5, 17), i -> concat('w', id, 'x', i)), ' '),"
+               " array_join(transform(sequence(5, 16), i -> concat('w', id, 'x', i)), ' ')), ' and after')").alias("text"),
+    )
+    table, grams = decontam._bounded(items, "item_id", "text", 13)
+    assert table.count() == 200_000 and grams is None
+    rows = decontam.inspect(docs, items).collect()
+    assert all(row["n_hit"] == (13 if row["doc_id"] % 3 == 0 else 0) for row in rows) and len(rows) == 300
+    assert all(list(row["items"]) == ([str(row["doc_id"])] if row["n_hit"] else []) for row in rows)
+    plan = decontam._candidates(docs, table, "doc_id", "text")._jdf.queryExecution().sparkPlan().toString()
+    assert [line for line in plan.splitlines() if "LeftSemi" in line and "BroadcastHashJoin" in line]
+
+
 def test_clean_removes_documents_or_spans(spark, odd, nothing):
     items = spark.createDataFrame([(1, "quick brown fox")], "item_id long, text string")
     left = decontam.clean(odd, items)
