@@ -9,12 +9,16 @@ A median is found without sorting: the weights of a node's documents are
 summed up in a fixed number of ranges of the dimension's key, and the range
 in which the median lies is cut again, until it holds one key. All nodes of a
 level are searched in the same passes, and a pass moves partial sums alone.
-The low bits of a key are a hash of id and text, so equal metadata splits too.
+Documents with equal texts are a group: they share the smallest metadata of
+any of them, so all their keys are equal but for the lowest bits, a hash of
+the id. A cut that falls into a group goes to its nearer end, and only where
+the group holds more than ``GROUP_SHARE`` of a shard it goes through it, so that
+shards stay near equal.
 
 Only DataFrame and SQL functions are used.
 
-Defined results: a null text has no bytes; null metadata comes first; rows
-equal in id and text share a key and stay together; an empty table gives an
+Defined results: a null text has no bytes and is no copy of an empty one; null
+metadata comes first; rows equal in id and text share a key and stay together; an empty table gives an
 empty result, and with fewer documents than shards some shards stay empty;
 columns other than those named are only carried along.
 """
@@ -32,7 +36,11 @@ from moorage.session import materialise
 
 #: Ranges that a node's keys are summed up in, per pass. Keys have 52 bits, so range numbers fit in 64.
 RANGES = 1024
-VALUE_BITS, TIE_BITS = 20, 32
+#: Bits of a key: the value, below it a hash of the text, lowest a hash of the id.
+VALUE_BITS, TEXT_BITS, ID_BITS = 20, 20, 12
+TIE_BITS = TEXT_BITS + ID_BITS
+#: Share of a shard up to which a group of equal texts is never cut.
+GROUP_SHARE = 0.05
 OVERHEAD = 16
 
 
@@ -68,15 +76,30 @@ def dimensions(docs: DataFrame, *, key: str, text: str, names: list[str]) -> lis
     return [column.cast("long") for column in found]
 
 
-def _keyed(docs: DataFrame, *, key: str, text: str, names: list[str]) -> DataFrame:
-    """``doc`` (the row), size, text_crc32, tie, and ``keys``: per dimension the value above the tie-breaking hash."""
+def _keyed(docs: DataFrame, *, key: str, text: str, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``doc``, size, text_crc32, tie, ``mark`` (of the text) and own ``values``; and the values of groups of equal texts.
+
+    Only texts that repeat have a row in the second table: the mark and the smallest value of each dimension.
+    """
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     tie = F.crc32(F.concat_ws(":", F.col(key).cast("string"), crc.cast("string")).cast("binary"))
-    values = dimensions(docs, key=key, text=text, names=names)
-    return docs.select(
+    rows = docs.select(
         F.struct("*").alias("doc"), byte_size(F.col(text)).alias("size"), crc.alias("text_crc32"), tie.alias("tie"),
-        F.array(*[value * (1 << TIE_BITS) + tie for value in values]).alias("keys"),
+        F.xxhash64(F.col(text).isNull(), F.col(text)).alias("mark"),
+        F.array(*dimensions(docs, key=key, text=text, names=names)).alias("values"),
     )
+    places = range(len(names) + 2)
+    least = F.array_compact(F.array(*[F.min(F.get("values", F.lit(d))) for d in places])).alias("shared")
+    groups = rows.select("mark", "values").groupBy("mark").agg(F.count("*").alias("n"), least)
+    return rows, groups.where("n > 1").select("mark", "shared")
+
+
+def _with_keys(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Adds ``keys``: per dimension the group's value, above a hash of the text and one of the id."""
+    joined = rows.join(groups, "mark", "left")
+    low = F.pmod("mark", F.lit(1 << TEXT_BITS)) * (1 << ID_BITS) + F.pmod("tie", F.lit(1 << ID_BITS))
+    keys = F.transform(F.coalesce("shared", "values"), lambda value: value * (1 << TIE_BITS) + low)
+    return joined.withColumn("keys", keys).drop("shared", "values", "mark")
 
 
 def _widest(rows: DataFrame, nodes: list[Node], spread: list[int], dims: int) -> dict[int, dict]:
@@ -94,6 +117,7 @@ def _widest(rows: DataFrame, nodes: list[Node], spread: list[int], dims: int) ->
         d = max(range(dims), key=lambda i: (wide[i], -i))
         found[row["node"]] = {
             "dim": d, "low": row[f"low{d}"], "high": row[f"high{d}"], "before": 0, "want": row["total"] * (n // 2) / n,
+            "whole": GROUP_SHARE * row["total"] / n,
         }
     return found
 
@@ -109,6 +133,7 @@ def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
 
 
 SEARCH = "node bigint, dim int, low bigint, high bigint, before bigint, want double"
+GROUP = "node bigint, dim int, place bigint, want double"
 
 
 def _narrow(rows: DataFrame, search: dict[int, dict]) -> None:
@@ -130,17 +155,44 @@ def _narrow(rows: DataFrame, search: dict[int, dict]) -> None:
         search[row["node"]].update(low=row["from"], high=row["to"], before=row["upto"] - row["bytes"], bytes=row["bytes"])
 
 
+def _group(s: dict) -> int | None:
+    """The group that the range of keys left lies in, if it is one."""
+    return s["low"] >> ID_BITS if s["low"] >> ID_BITS == s["high"] >> ID_BITS else None
+
+
+def _at_group_ends(rows: DataFrame, search: dict[int, dict]) -> None:
+    """Where the median lies in a group of at most ``whole`` bytes, the search ends with the whole group."""
+    state = _values(rows.sparkSession, [(n, s["dim"], s["low"] >> ID_BITS, s["want"]) for n, s in search.items()], GROUP)
+    at = F.shiftright(F.element_at("keys", F.col("dim") + 1), ID_BITS)
+    # One row of state per node; nodes are fewer than shards.
+    met = rows.join(F.broadcast(state), "node").withColumn("at", at).where("at <= place")
+    sums = met.groupBy("node").agg(
+        F.sum(F.when(F.col("at") < F.col("place"), F.col("size"))).alias("before"),
+        F.sum(F.when(F.col("at") == F.col("place"), F.col("size"))).alias("bytes"),
+    )
+    for row in sums.collect():  # one row per node
+        s = search[row["node"]]
+        if row["bytes"] <= s["whole"]:
+            first = (s["low"] >> ID_BITS) << ID_BITS
+            s.update(low=first, high=first + (1 << ID_BITS) - 1, before=row["before"] or 0, bytes=row["bytes"], ended=True)
+
+
 def _cuts(rows: DataFrame, nodes: list[Node], spread: list[int], dims: int) -> list[tuple[int, int, int]]:
     """(node, dimension, last key of the left side) for each node of several shards."""
     search = _widest(rows, nodes, spread, dims)
     open_nodes = dict(search)
     while open_nodes:
         _narrow(rows, open_nodes)
-        open_nodes = {n: s for n, s in open_nodes.items() if s["low"] < s["high"]}
+        reached = {n: s for n, s in open_nodes.items() if "asked" not in s and _group(s) is not None}
+        if reached:
+            _at_group_ends(rows, reached)
+            for s in reached.values():
+                s["asked"] = True
+        open_nodes = {n: s for n, s in open_nodes.items() if s["low"] < s["high"] and "ended" not in s}
     found = []
     for n, s in search.items():
         nearer = s["before"] + s.get("bytes", 0) / 2 <= s["want"]
-        found.append((n, s["dim"], s["low"] if nearer else s["low"] - 1))
+        found.append((n, s["dim"], s["high"] if nearer else s["low"] - 1))
     return found
 
 
@@ -185,8 +237,10 @@ def shard(
     docs: DataFrame, shards: int = 40, *, key: str = "doc_id", text: str = "text", names: tuple[str, ...] = ("source", "lang"),
 ) -> DataFrame:
     """``doc`` (the row as a struct), size, text_crc32, ``shard``, and ``slot``: gapless places from 0 within the shard."""
-    keyed = _keyed(docs, key=key, text=text, names=[name for name in names if name in docs.columns])
-    narrow = materialise(keyed.select("size", "tie", "keys"), "kd")
+    rows, groups = _keyed(docs, key=key, text=text, names=[name for name in names if name in docs.columns])
+    groups = materialise(groups, "kd-groups")
+    keyed = _with_keys(rows, groups)
+    narrow = materialise(_with_keys(rows.select("size", "tie", "mark", "values"), groups), "kd")
     levels, leaves = grow(narrow, shards)
 
     def placed(rows: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def test_shards_are_near_equal_and_gapless(documents):
 def test_leaves_are_boxes(spark):
     """Each cut parts a node at one key of its widest dimension."""
     frame = spark.createDataFrame([(i, "x" * (i % 50), f"s{i % 5}", "en") for i in range(500)], "doc_id long, text string, source string, lang string")
-    keyed = kd_shards._keyed(frame, key="doc_id", text="text", names=["source", "lang"])
+    keyed = kd_shards._with_keys(*kd_shards._keyed(frame, key="doc_id", text="text", names=["source", "lang"]))
     levels, leaves = kd_shards.grow(keyed.select("size", "tie", "keys"), 6)
     assert len(leaves) == 6 and sorted(leaf.first for leaf in leaves) == list(range(6)) and len(levels) == 3
     assert levels[0][0][1] in (0, 2, 3)
@@ -31,6 +31,21 @@ def test_leaves_are_boxes(spark):
     assert max(sizes.values()) / min(sizes.values()) < 1.05
 
 
+def test_equal_texts_stay_together(spark):
+    """Copies in other sources and far ids: small groups are whole, a group larger than a shard is cut, shards stay near equal."""
+    rows = [(i, f"text {i} " * (1 + i % 7), f"s{i % 5}", "en") for i in range(2000)]
+    rows += [(5000 + i, f"copied {i % 60} " * 3, f"s{i % 4}", ["en", "de"][i % 2]) for i in range(180)]
+    rows += [(9000 + i, "the same everywhere", f"s{i % 3}", "en") for i in range(1500)] + [(12000, None, None, None), (12001, None, "s1", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4)
+    found = kd_shards.shard(frame, 8).select("doc.text", "size", "shard").collect()
+    shards, sizes = defaultdict(set), Counter()
+    for row in found:
+        shards[row["text"]].add(row["shard"])
+        sizes[row["shard"]] += row["size"]
+    assert len(found) == len(rows) and max(sizes.values()) / min(sizes.values()) < 1.1
+    assert [text for text, places in shards.items() if len(places) > 1] == ["the same everywhere"]
+
+
 def test_shards_of_odd_rows(odd, nothing):
     rows = kd_shards.shard(odd, 3).select("doc.doc_id", "shard", "slot").collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in odd.collect())
