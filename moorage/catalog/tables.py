@@ -46,7 +46,7 @@ def scan_inline_values(spark, folder):
 )
 def scan_run_report_json(spark, folder):
     path = scratch_path(spark, "run-reports")
-    given_logs.reports(spark, folder).write.text(path)
+    given_logs.reports(spark, folder).write.text(path, compression="gzip")
     found = logs.readable(logs.read_run_reports(spark, path))
     return found.select(
         F.col("iterationIndex").alias("iteration"),

@@ -31,3 +31,38 @@ def test_steps_of_a_run_meet_without_a_broadcast(spark):
     assert rows(paid) == [("a", "1", 1, "GBP", "i", "n")]
     for frame in (found, missing, paid):
         assert "SortMergeJoin" in _plan(frame) and "Broadcast" not in _plan(frame)
+
+
+def test_lines_are_numbered_by_one_shuffle_unless_a_group_is_large(spark):
+    given = [(group, value) for group in (None, 1, 2, 3) for value in range(5 + (group or 0) * 10)]
+    lines = spark.createDataFrame(given, "g int, v int").repartition(3)
+    large = keys.large_groups(lines, "g", 20)
+    assert sorted(large) == [2, 3] and keys.large_groups(lines, "g") == []
+    wanted = sorted((str(group), value, value + 1) for group, value in given)
+    for some in (None, large, [None, 1]):
+        found = keys.numbered_within(lines, "g", ["v"], "n", some)
+        assert sorted((str(g), v, n) for g, v, n in found.collect()) == wanted
+    dealt = keys.numbered_within(lines, "g", ["v"], "n").groupBy("g").agg(F.max("n").alias("n"))
+    plan = _plan(dealt).split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning(g") == 1 and "rangepartitioning" not in plan
+
+
+def test_a_body_holds_each_of_its_parts_once():
+    for step in ("create", "retrieve", "ticket", "confirm"):
+        body = given_logs._BODIES[step]
+        assert body.count("orderItemId") == 1 and "parse_json" not in body
+    assert given_logs._BODIES["reshop"].count("offerItemId") == 1
+    assert given_logs._BODIES["shopping"].count("offerItemId") == 1
+
+
+def test_a_log_of_one_step_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", None)
+    log = spark.createDataFrame(
+        [("r", 1, "shopping", 200, "{}", None), ("r", 2, "pricing", 200, "[]", None)], logs.API_LOG
+    )
+    for step in ("shopping", "pricing"):
+        logs.write_log(log, str(tmp_path / "log"), step)
+    kept = logs.read_log(spark, str(tmp_path / "log"))
+    assert rows(kept.select("run_id", "seq", "step", "body")) == [("r", 1, "shopping", "{}"), ("r", 2, "pricing", "[]")]
