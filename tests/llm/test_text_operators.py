@@ -400,6 +400,42 @@ def test_bare_credentials_of_known_formats_are_found(spark, documents):
     assert len(words) > 500 and len(wrong) <= 0.01 * len(words)
 
 
+def test_grammars_and_threshold_come_from_every_string(spark):
+    """More values and strings than any sample held, over many tasks: all are counted, and the threshold is that of all scores."""
+    draw = random.Random(8)
+    keys = _formats(draw, 1500) + ["A" * 100 + "7" * 30, "A" * 100 + "b7" * 15]
+    words = list({"".join(draw.choices("aeinrstz", k=draw.randint(12, 20))) for _ in range(5000)})
+    texts = [f'token = "{key}"' for key in keys * 2] + words + words[:900] + [f"token={words[0]}", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    found = secret_scan.formats(docs).cache()
+    bases = {s.value for text in texts for s in secret_scan.base_spans(text or "")}
+    assert found.where("good = 1").agg(F.sum("n")).first()[0] == len(bases) and len(bases) > 1500
+    assert found.where("good = 0").agg(F.sum("n")).first()[0] == len(set(words) - bases)
+    for strings, states in ((bases, 400), (set(words) - bases, 10**6)):
+        steps = secret_scan._steps(found.where(f"good = {int(strings is bases)}"))
+        built = []
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(secret_scan.Grammar, "counted", lambda nodes, rest: built.append((nodes, rest)))
+            secret_scan._counted(steps, states)
+        (nodes, rest), = built
+        kinds = [value.translate(secret_scan._KIND) for value in strings]
+        wanted = Counter((kind[:k] if k < secret_scan.DEPTH else None, min(k, secret_scan.DEPTH), (kind + "$")[k])
+                         for kind in kinds for k in range(len(kind) + 1))
+        assert len(nodes) <= states and all(prefix[:-1] in nodes for prefix in nodes)
+        for prefix, counts in nodes.items():
+            assert +counts == Counter({mark: n for (held, _, mark), n in wanted.items() if held == prefix})
+        for length, counts in enumerate(rest):
+            others = Counter()
+            for (held, size, mark), n in wanted.items():
+                others[mark] += n * (size == length and held not in nodes)
+            assert +counts == +others
+    judge = secret_scan.learn(docs, states=200, threshold=-99.0, false_share=0.1)
+    scores = [judge.score(word) for word in set(words) - bases]
+    allowed = int(0.1 * len(scores))
+    assert 0.98 * allowed <= sum(score > judge.threshold for score in scores) <= allowed
+    assert judge.threshold in scores
+
+
 def test_one_odd_word_doesn_t_move_the_threshold():
     draw = random.Random(2)
     keys = ["".join(draw.choices(string.ascii_letters + string.digits, k=24)) for _ in range(300)]
