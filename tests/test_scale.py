@@ -47,6 +47,40 @@ def test_lines_are_numbered_by_one_shuffle_unless_a_group_is_large(spark):
     assert plan.count("Exchange hashpartitioning(g") == 1 and "rangepartitioning" not in plan
 
 
+def test_captured_runs_are_dealt_once_and_read_as_they_lie(spark, tmp_path):
+    folder = str(tmp_path)
+    lines = [(k, n, 1 + n % 2, 1, 5.0 * n, 10.0 + n, "A", None) for k in range(1, 60) for n in range(1, 1 + k % 11)]
+    tables = {
+        "lineitem": (lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, "
+                     "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"),
+        "part": ([(1, 5, "t", "b"), (2, 30, "t", "b")], "p_partkey long, p_size int, p_type string, p_brand string"),
+        "orders": ([(k, "O", None, "1-URGENT", 7) for k in range(1, 60)],
+                   "o_orderkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string, o_custkey long"),
+        "customer": ([(7, "BUILDING", 1.0, 3)], "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey long"),
+    }
+    for name, (given, schema) in tables.items():
+        spark.createDataFrame(given, schema).repartition(2).write.parquet(f"{folder}/{name}.parquet")
+    found = given_logs.runs(spark, folder)
+    assert 2 * found.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism and "Exchange" not in _plan(found)
+    sizes = sorted((r["k"], r["page"], [line["n"] for line in r["lines"]]) for r in found.collect())
+    numbers = {k: list(range(1, 1 + k % 11)) for k in range(1, 60)}
+    wanted = [(k, page, n[8 * page : 8 * page + 8]) for k, n in numbers.items() for page in range(max(1, -(-len(n) // 8)))]
+    assert sizes == sorted(wanted)
+    assert "Exchange" not in _plan(given_logs.api_log(spark, folder, ["create"]))
+
+
+def test_whether_a_result_is_there_is_asked_without_copying_it(spark):
+    bodies = ['{"data":{"iataOrderCreate":%s}}' % x for x in ("{}", '{"_":"x"}', "[]", "null", '"x"', "[{}]")]
+    bodies += ['{"data":{}}', '{"data":[]}', "{}", "no", None]
+    log = spark.createDataFrame([(str(n), 3, "create", 200, body, None) for n, body in enumerate(bodies)], logs.API_LOG)
+    found = logs.parse_outcomes(log, ["create"])
+    assert "MapType" not in _plan(found)
+    there = {r["run_id"]: (r["has_data"], r["has_result"]) for r in found.collect()}
+    assert [there[str(n)] for n in range(len(bodies))] == (
+        [(True, True)] * 2 + [(True, False)] * 4 + [(True, False)] + [(False, False)] * 4
+    )
+
+
 def test_a_body_holds_each_of_its_parts_once():
     for step in ("create", "retrieve", "ticket", "confirm"):
         body = given_logs._BODIES[step]
