@@ -14,7 +14,7 @@ from moorage.operators import dims, payloads, quality
 from moorage.operators.facts import Lookup, with_dimension_keys
 from moorage.operators.joins import unseen, update_from
 from moorage.plans import appointment, encounter, sales
-from moorage.sources import tables
+from moorage.sources import logs, tables
 
 PATIENT_KEYS_SQL = "patient_key AS (SELECT patient_id, row_number() OVER (ORDER BY patient_id) AS patient_key FROM patient)"
 DEPARTMENT_KEYS_SQL = """department_key AS (SELECT department_id, row_number() OVER (ORDER BY department_id)
@@ -159,6 +159,6 @@ SEGMENTS_SQL = f"""SELECT run_id, 'J' || n AS journey_id, leg AS pos, 'S' || n |
 
 @query(f"WITH {FLAT_SQL} {SEGMENTS_SQL}")
 def join_array_by_id(spark, folder):
-    return payloads.segments(given_logs.parsed_step(spark, folder, "shopping"))
+    return payloads.segments(given_logs.parsed_step(spark, folder, "shopping", logs.SHOPPING_LISTS))
 
 
