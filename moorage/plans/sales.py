@@ -51,10 +51,12 @@ def extract(order: DataFrame, line: DataFrame, customer: DataFrame, product: Dat
     """Order lines with their order, customer, product and store.
 
     The line side is large and may lean on few orders, products or stores, so
-    each join is a lookup.
+    each join is a lookup. Customers join their orders, so that lines aren't
+    shuffled for them, and the widest columns join last.
     """
-    rows = lookup_join(line, order, "order_id")
-    for lookup, key in ((customer, "customer_id"), (product, "product_id"), (store, "store_id")):
+    ordered = lookup_join(order, customer, "customer_id")
+    rows = line
+    for lookup, key in ((product, "product_id"), (store, "store_id"), (ordered, "order_id")):
         rows = lookup_join(rows, lookup, key)
     return rows.select(
         "order_id", "line_number", "customer_id", *CUSTOMER, "product_id", *PRODUCT, "store_id", *STORE,
