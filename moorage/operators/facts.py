@@ -46,11 +46,13 @@ def month_of(date_key: str = "date_key") -> Column:
     return F.floor(F.col(date_key) / 100).cast("int")
 
 
-def merge(draft: Draft, name: str, rows: DataFrame, like: DataFrame, natural_key: str, key: str, part: Column) -> list[str]:
+def merge(
+    draft: Draft, name: str, rows: DataFrame, like: DataFrame, natural_key: str, key: str, part: Column, ranges: int | None = None
+) -> list[str]:
     """Update facts by natural id and add unseen ids in a table kept in parts; returns the parts that hold the batch.
 
     ``rows`` is unique on the id and has all columns of ``like`` but the key. A narrow table beside the facts holds each id's key and
-    part, the latest entry of an id being its present one; it only grows. So the parts that hold facts of the batch
+    part, the latest entry of an id being its present one; it only grows. New ids are numbered over ``ranges`` tasks, if given. So the parts that hold facts of the batch
     are known without reading any: those are rewritten without them, the batch is written to its parts, and all
     other parts stay as they are. An id whose part changes leaves the old one.
     """
@@ -70,7 +72,7 @@ def merge(draft: Draft, name: str, rows: DataFrame, like: DataFrame, natural_key
         placed = materialise(rows.join(latest, natural_key, "left"), "batch")
         seen, new = placed.where("_place IS NOT NULL"), placed.where("_place IS NULL").drop("_place")
     columns = [*like.columns, PART]
-    added, top = allocate(new, natural_key, key, top)
+    added, top = allocate(new, natural_key, key, top, ranges)
     batch = added.select(*columns, F.lit(None).cast("int").alias("_from"))
     left: list[str] = []
     if seen is not None:

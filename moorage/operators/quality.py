@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from moorage.operators.joins import lookup_join
+from moorage.session import materialise
 
 
 class LoadError(Exception):
@@ -251,3 +252,17 @@ def refuse(found: list[tuple], load: str, messages: dict[int, str]) -> None:
 def lookup_left(rows: DataFrame, lookup: DataFrame, on: str, marker: str) -> DataFrame:
     """Left lookup that marks the rows it found."""
     return lookup_join(rows, lookup.withColumn(marker, F.lit(True)), on, "left")
+
+
+def lookup_marks(rows: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """Left lookup of marks, the columns of ``lookup`` beside ``on``, each true or null.
+
+    The rows shrink to their keys, and only keys that lack a mark, normally none, are written down and meet the rows.
+    """
+    marks = [name for name in lookup.columns if name != on]
+    used = rows.where(F.col(on).isNotNull()).select(on).distinct()
+    lacks = reduce(lambda a, b: a | b, [F.col(mark).isNull() for mark in marks])
+    lacking = materialise(lookup_join(used, lookup, on, "left").where(lacks), f"lacking-{on}")
+    joined = lookup_join(rows, lacking.select(on, F.lit(True).alias("_lacks"), *[F.col(m).alias(f"_own_{m}") for m in marks]), on, "left")
+    found = lambda mark: F.when(F.col("_lacks"), F.col(f"_own_{mark}")).when(F.col(on).isNotNull(), True)
+    return joined.select(*rows.columns, *[found(mark).alias(mark) for mark in marks])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from moorage.functions import scalars as S
 from moorage.operators import audit, dims, facts, quality
 from moorage.operators.joins import lookup_join
+from moorage.operators.keys import parts_of
 from moorage.operators.quality import LoadError
 from moorage.session import materialise, together
 from moorage.sources.store import Draft, SnapshotStore
@@ -128,7 +129,8 @@ def _load_facts(draft: Draft, now: dict[str, DataFrame], new: dict[str, DataFram
     rows = materialise(fact_rows(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
     _kept_all(rows, appointment, "appointment_lookup")
     facts.merge(
-        draft, "fact_appointment", rows, now["fact_appointment"], "appointment_id", "appointment_key", facts.month_of()
+        draft, "fact_appointment", rows, now["fact_appointment"], "appointment_id", "appointment_key", facts.month_of(),
+        parts_of(rows),
     )
 
 
@@ -278,8 +280,10 @@ def _with_parents(tables: dict[str, DataFrame]) -> DataFrame:
         tables["dim_doctor"].select("doctor_key", "specialty_key"), tables["dim_specialty"].select("specialty_key"),
         "specialty_key", "has_specialty",
     )
-    rows = quality.lookup_left(tables["fact_appointment"], patient.drop("city_key"), "patient_key", "has_patient")
-    rows = quality.lookup_left(rows, doctor.drop("specialty_key"), "doctor_key", "has_doctor")
+    patient = patient.select("patient_key", "has_city", F.lit(True).alias("has_patient"))
+    doctor = doctor.select("doctor_key", "has_specialty", F.lit(True).alias("has_doctor"))
+    rows = quality.lookup_marks(tables["fact_appointment"], patient, "patient_key")
+    rows = quality.lookup_marks(rows, doctor, "doctor_key")
     return quality.lookup_left(rows, tables["dim_date"].select("date_key", "calendar_date"), "date_key", "has_date")
 
 
@@ -325,7 +329,7 @@ def validation_report(tables: dict[str, DataFrame]) -> DataFrame:
     """The lighter check after a load: direct parents, cost and duration."""
     rows = tables["fact_appointment"]
     for dim, key in (("dim_patient", "patient_key"), ("dim_doctor", "doctor_key"), ("dim_date", "date_key")):
-        rows = quality.lookup_left(rows, tables[dim].select(key), key, f"has_{key}")
+        rows = quality.lookup_marks(rows, tables[dim].select(key, F.lit(True).alias(f"has_{key}")), key)
     broken = (
         F.col("has_patient_key").isNull() | F.col("has_doctor_key").isNull() | F.col("has_date_key").isNull()
         | F.coalesce((F.col("cost") < 0) | (F.col("ends_at") <= F.col("starts_at")), F.lit(False))

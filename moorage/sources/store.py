@@ -165,7 +165,7 @@ class Draft:
     def put(self, name: str, rows: DataFrame) -> DataFrame:
         """Write one table and return it as written."""
         path = f"{self._folder}/{name}"
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression="zstd")
         self._entries[name] = {"paths": [path], "schema": _schema(rows)}
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -180,7 +180,7 @@ class Draft:
             return found
         entry = self._entries[name]
         path = f"{self._folder}/{name}-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression="zstd")
         if not rows.sparkSession.read.schema(rows.schema).parquet(path).isEmpty():
             self._entries[name] = {"paths": [*entry["paths"], path], "schema": entry["schema"], "top_key": top_key}
         return self._store._read(self._entries[name])
@@ -201,7 +201,7 @@ class Draft:
     def write_parts(self, rows: DataFrame, part: str, label: str) -> dict[str, str]:
         """Write rows to one folder for each value of ``part``, which is left out; large values go to several tasks."""
         path = f"{self._folder}/{label}-{uuid.uuid4().hex}"
-        rows.hint("rebalance", part).write.partitionBy(part).parquet(path)
+        rows.hint("rebalance", part).write.partitionBy(part).parquet(path, compression="zstd")
         store = self._store
         found = [status.getPath().getName() for status in store._files.listStatus(store._path(path)) if status.isDirectory()]
         return {name.partition("=")[2]: f"{path}/{name}" for name in found if name.startswith(f"{part}=")}
