@@ -2,7 +2,8 @@
 
 import given_logs
 from conftest import rows
-from moorage.operators import keys, payloads, workflow
+from moorage.operators import keys, payloads, quality, workflow
+from moorage.plans import sales
 from moorage.sources import logs
 from pyspark.sql import functions as F
 
@@ -99,3 +100,75 @@ def test_a_log_of_one_step_is_written_without_a_sort(spark, tmp_path, monkeypatc
         logs.write_log(log, str(tmp_path / "log"), step)
     kept = logs.read_log(spark, str(tmp_path / "log"))
     assert rows(kept.select("run_id", "seq", "step", "body")) == [("r", 1, "shopping", "{}"), ("r", 2, "pricing", "[]")]
+
+
+def test_a_list_of_shopping_results_is_read_with_declared_types(spark):
+    lists = """{"paxJourneyList":{"paxJourney":[{"paxJourneyId":"J","paxSegmentRefId":["s","t"]}]},
+      "paxSegmentList":{"paxSegment":[{"paxSegmentId":"s","datedMarketingSegmentRefId":"d"}]},
+      "datedMarketingSegmentList":{"datedMarketingSegment":[{"datedMarketingSegmentId":"d","dep":{"iataLocationCode":"A"}}]}}"""
+    result = '{"payloadAttributes":{"trxId":"T"},"response":{"dataLists":%s}}' % lists
+    body = '{"data":{"iataAirShopping":%s}%s}'
+    bodies = [body % (x, "") for x in (f"[{result}]", result, f"[{result},{{}}]", "[]", "null", "[null]", '"x"', "[1]")]
+    bodies += [body % (f"[{result}]", ',"errors":[{"message":"m"}]'), body % (result, ',"errors":{"message":"m"}'), '{"data":{', "no", "[]", None]
+    log = spark.createDataFrame([(str(n), 1, "shopping", 200, text, None) for n, text in enumerate(bodies)], logs.API_LOG)
+    whole, part = logs.parse_step(log, "shopping"), logs.parse_step(log, "shopping", logs.SHOPPING_LISTS)
+    seen = lambda found: sorted(
+        (int(r["run_id"]), r["errors"] and r["errors"][0][0], r["has_data"], r["trx"], r["unreadable"])
+        for r in found.select("*", F.col("result.payloadAttributes.trxId").alias("trx")).collect()
+    )
+    there = {0, 1, 2, 8, 9}
+    assert seen(whole) == seen(part) and {row[0] for row in seen(whole) if row[3] == "T"} == there
+    assert {row[0] for row in seen(whole) if row[4] is not None} == {10, 11} and seen(whole)[8][1] == "m"
+    found = rows(payloads.segments(part), "run_id", "pos", "dated_segment_id", "origin")
+    assert found == rows(payloads.segments(whole), "run_id", "pos", "dated_segment_id", "origin")
+    assert found == sorted((str(n), pos, *leg) for n in there for pos, leg in enumerate([("d", "A"), (None, None)]))
+
+
+def test_tasks_grow_with_the_rows_whatever_the_session_has(spark, monkeypatch):
+    lines = spark.range(1000).select((F.col("id") % 40).alias("g"), "id")
+    assert keys.parts_of(lines) == 4
+    monkeypatch.setattr(keys, "ROWS_A_TASK", 30)
+    assert keys.parts_of(lines) == 34
+    assert keys._placed(lines, ["id"], 34).select("_range").distinct().count() > 20
+
+
+def test_a_table_of_small_groups_is_counted_by_bucket_only(spark, monkeypatch):
+    lines = spark.range(1000).select(F.when(F.col("id") < 990, F.col("id") % 100).alias("g"))
+    monkeypatch.setattr(keys, "GROUP_BUCKETS", 4)
+    found = lines.groupBy("g").count().where("count > 9").collect()
+    assert sorted(keys.large_groups(lines, "g", 9), key=str) == sorted([row["g"] for row in found], key=str)
+    assert keys.large_groups(lines, "g", 10) == [] and keys.large_groups(lines.where("g IS NULL"), "g", 9) == [None]
+
+
+def test_facts_meet_only_the_keys_that_lack_a_mark(spark):
+    many = spark.range(60_000).select(F.col("id").alias("key"), F.when(F.col("id") % 5 > 0, True).alias("has_city"))
+    facts = spark.createDataFrame([(n, key) for n, key in enumerate([1, 5, 5, None, -1, 59_999])], "n int, key long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        found = quality.lookup_marks(facts, many.select("*", F.lit(True).alias("has_key")), "key")
+        marks = rows(found, "n", "has_city", "has_key")
+        assert "SortMergeJoin" not in _plan(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert marks == [(0, True, True), (1, None, True), (2, None, True), (3, None, None), (4, None, None), (5, True, True)]
+
+
+def test_lines_are_not_shuffled_for_customers(monkeypatch):
+    met = []
+
+    class Rows:
+        def __init__(self, *names):
+            self.names = {*names}
+
+        def select(self, *_):
+            return self
+
+    def join(left, right, on):
+        met.append((on, left.names))
+        return Rows(*left.names, *right.names)
+
+    monkeypatch.setattr(sales, "lookup_join", join)
+    sales.extract(Rows("order"), Rows("line"), Rows("customer"), Rows("product"), Rows("store"))
+    assert [names for on, names in met if on == "customer_id"] == [{"order"}]
+    assert met[-1] == ("order_id", {"line", "product", "store"})
