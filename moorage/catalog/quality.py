@@ -372,9 +372,13 @@ def dq_source_vs_warehouse(spark, folder):
     now = warehouses.loaded(spark, folder, "snowflake")
     patient = now["dim_patient"].join(now["dim_city"], "city_key").withColumnRenamed("city_name", "city")
     doctor = now["dim_doctor"].join(now["dim_specialty"], "specialty_key").withColumnRenamed("specialty_name", "specialty")
-    details = appointment.details(now)
     source = B.appointments(spark, folder)
     changed = source.withColumn("reason", F.when(F.col("status") == "NoShow", "none").otherwise(F.col("reason")))
+    # What a fact holds itself meets its dimensions as a digest.
+    own = [name for name in source.columns if name not in ("patient_id", "doctor_id")]
+    fact = now["fact_appointment"].select("patient_key", "doctor_key", "date_key", *own)
+    details = appointment.details(now | {"fact_appointment": reconcile.digested(fact, own)})
+    source, changed = [reconcile.digested(rows, own) for rows in (source, changed)]
     pairs = {
         "patient": (B.patients(spark, folder), patient),
         "doctor": (B.doctors(spark, folder), doctor),

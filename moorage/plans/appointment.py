@@ -113,24 +113,29 @@ def _kept_all(rows: DataFrame, source: DataFrame, name: str) -> DataFrame:
     return rows
 
 
-def fact_rows(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFrame) -> DataFrame:
+def fact_keys(appointment: DataFrame, dim_patient: DataFrame, dim_doctor: DataFrame) -> DataFrame:
+    """Each appointment's keys; what it holds itself is left out of the lookups."""
     keyed = facts.with_dimension_keys(
-        appointment,
+        appointment.select("appointment_id", "patient_id", "doctor_id", S.date_key(F.col("starts_at")).alias("date_key")),
         [facts.Lookup(dim_patient, "patient_id", "patient_key"), facts.Lookup(dim_doctor, "doctor_id", "doctor_key")],
     )
-    return keyed.select(
-        "appointment_id", "patient_key", "doctor_key", S.date_key(F.col("starts_at")).alias("date_key"),
-        "starts_at", "ends_at", "status", "reason", F.lit(1).cast("smallint").alias("appointment_count"), "cost",
+    return keyed.select("appointment_id", "patient_key", "doctor_key", "date_key")
+
+
+def fact_measures(appointment: DataFrame) -> DataFrame:
+    return appointment.select(
+        "appointment_id", S.date_key(F.col("starts_at")).alias("date_key"), "starts_at", "ends_at", "status", "reason",
+        F.lit(1).cast("smallint").alias("appointment_count"), "cost",
     )
 
 
 def _load_facts(draft: Draft, now: dict[str, DataFrame], new: dict[str, DataFrame], appointment: DataFrame) -> None:
     """Merge the appointments into the months they are in."""
-    rows = materialise(fact_rows(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
+    rows = materialise(fact_keys(appointment, new["dim_patient"], new["dim_doctor"]), "appointments")
     _kept_all(rows, appointment, "appointment_lookup")
     facts.merge(
         draft, "fact_appointment", rows, now["fact_appointment"], "appointment_id", "appointment_key", facts.month_of(),
-        parts_of(rows),
+        parts_of(rows), fact_measures(appointment),
     )
 
 

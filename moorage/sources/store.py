@@ -198,10 +198,13 @@ class Draft:
         """The highest key in use in a table, if a load has noted it."""
         return self._entries.get(name, {}).get("top_key")
 
-    def write_parts(self, rows: DataFrame, part: str, label: str) -> dict[str, str]:
-        """Write rows to one folder for each value of ``part``, which is left out; large values go to several tasks."""
+    def write_parts(self, rows: DataFrame, part: str, label: str, dealt: bool = False) -> dict[str, str]:
+        """Write rows to one folder for each value of ``part``, which is left out; large values go to several tasks.
+
+        Rows that are ``dealt`` by part already are written as they lie.
+        """
         path = f"{self._folder}/{label}-{uuid.uuid4().hex}"
-        rows.hint("rebalance", part).write.partitionBy(part).parquet(path, compression="zstd")
+        (rows if dealt else rows.hint("rebalance", part)).write.partitionBy(part).parquet(path, compression="zstd")
         store = self._store
         found = [status.getPath().getName() for status in store._files.listStatus(store._path(path)) if status.isDirectory()]
         return {name.partition("=")[2]: f"{path}/{name}" for name in found if name.startswith(f"{part}=")}

@@ -162,3 +162,13 @@ def test_everyone_counts(spark, store):
     now = store.read()
     source = staged(spark)["appointment"]
     assert rows(reconcile.difference_counts(source, appointment.details(now).select(*source.columns))) == [(0, 0, True)]
+
+
+def test_appointments_are_looked_up_by_id_alone(spark, store):
+    snowflake(spark, store)
+    now = store.read()
+    found = appointment.fact_keys(staged(spark)["appointment"], now["dim_patient"], now["dim_doctor"])
+    assert found.columns == ["appointment_id", "patient_key", "doctor_key", "date_key"] and found.count() == 8
+    wanted = appointment.fact_measures(staged(spark)["appointment"]).join(found.drop("date_key"), "appointment_id")
+    fact = now["fact_appointment"].drop("appointment_key")
+    assert rows(reconcile.difference_counts(fact, wanted.select(*fact.columns))) == [(0, 0, True)]

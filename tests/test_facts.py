@@ -87,3 +87,34 @@ def test_many_merges_equal_a_dictionary(spark, store, seed):
                 top += 1
             known[i] = (known[i][0] if i in known else top, *batch[i])
     assert rows(store.read()["fact"]) == sorted(known.values())
+
+
+def test_measures_meet_their_keys_at_the_write(spark, store, monkeypatch):
+    monkeypatch.setattr(facts, "ROWS_A_CELL", 20)
+    like = spark.createDataFrame([], "visit_key bigint, visit_id bigint, patient_key bigint, date_key int, note string, cost int")
+    draw = random.Random(4)
+    known: dict[int, tuple] = {}
+    for ids in (range(0, 400, 2), range(100, 300)):
+        batch = [(n, draw.randrange(9), draw.choice([20260105, 20260220, 20260301]), draw.choice([None, "a", "b"]), draw.randrange(50)) for n in ids]
+        whole = spark.createDataFrame(batch, "visit_id bigint, patient_key bigint, date_key int, note string, cost int")
+        draft = store.draft()
+        facts.merge(
+            draft, "fact", whole.select("visit_id", "patient_key", "date_key"), like, "visit_id", "visit_key", facts.month_of(),
+            measures=whole.drop("patient_key"),
+        )
+        draft.publish()
+        new = sorted(set(ids) - set(known))
+        keys = {n: known[n][0] for n in known} | {n: len(known) + i + 1 for i, n in enumerate(new)}
+        known |= {row[0]: (keys[row[0]], *row) for row in batch}
+        frozen = {tuple(row) for row in store.read()["fact"].collect()}
+        assert frozen == set(known.values()) and store.read()["fact"].count() == len(known)
+
+
+def test_rows_without_a_key_are_left_out_of_the_write(spark, store):
+    like = spark.createDataFrame([], SCHEMA)
+    draft = store.draft()
+    keyed = spark.createDataFrame([(1, 20260105)], "visit_id bigint, date_key int")
+    measures = spark.createDataFrame([(1, 20260105, None), (2, 20260106, 7)], "visit_id bigint, date_key int, cost int")
+    facts.merge(draft, "fact", keyed, like, "visit_id", "visit_key", facts.month_of(), measures=measures)
+    draft.publish()
+    assert rows(store.read()["fact"]) == [(1, 1, 20260105, None)]

@@ -257,3 +257,31 @@ def test_equal_tables_shuffle_no_rows(spark):
     # What the row comparison's exchange got, from the plan that ran.
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+
+
+def test_counts_shuffle_digests_and_hash_rows_once(spark):
+    path = scratch_path(spark, "wide")
+    spark.range(20_000).selectExpr("id", "repeat(cast(id AS string), 9) AS name").write.parquet(path)
+    one = spark.read.parquet(path)
+    two = one.withColumn("name", F.when(F.col("id") % 2 == 0, "x").otherwise(F.col("name")))
+    found = reconcile.difference_counts(one, two)
+    assert rows(found) == [(10_000, 10_000, False)]
+    # The rows' own exchange carries hashes, no text, and no filter on nulls hashes the rows again.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line and "_check" in line]
+    assert grouped and not any("name" in line for line in grouped)
+    assert not any("Filter" in line and "hash" in line for line in plan.splitlines())
+
+
+def test_counts_know_types_nested_nulls_and_zeros(spark):
+    frame = spark.createDataFrame
+    counts = lambda left, right: rows(reconcile.difference_counts(left, right))
+    assert counts(frame([(1,), (2,)], "a int"), frame([(1,), (3,)], "a bigint")) == [(1, 1, False)]
+    assert counts(frame([([None],), ([],)], "a array<int>"), frame([([],), ([],)], "a array<int>")) == [(1, 1, False)]
+    assert counts(frame([(0.0, None), (float("nan"), 1)], "a double, b int"), frame([(-0.0, None), (float("nan"), 1)], "a double, b int")) == [
+        (0, 0, True)
+    ]
+    folded = lambda text: frame([(text,)], "a string").select(F.collate("a", "UTF8_LCASE").alias("a"))
+    assert counts(folded("A"), folded("a")) == [(0, 0, True)]
+    # Copies count.
+    assert counts(frame([(1, "x")] * 3, "a int, b string"), frame([(1, "x")], "a int, b string")) == [(2, 0, False)]
