@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,12 @@ class Lookup:
     key: str
 
 
-def with_dimension_keys(rows: DataFrame, lookups: list[Lookup]) -> DataFrame:
-    """Attach the key of every dimension; rows that one of them lacks are lost, as in an inner join."""
+def with_dimension_keys(
+    rows: DataFrame, lookups: list[Lookup], join: Callable[[DataFrame, DataFrame, str], DataFrame] = lookup_join
+) -> DataFrame:
+    """Attach the key of every dimension; rows that one of them lacks are lost, as in an inner ``join``."""
     for lookup in lookups:
-        rows = lookup_join(rows, lookup.dim.select(lookup.natural_key, lookup.key), lookup.natural_key)
+        rows = join(rows, lookup.dim.select(lookup.natural_key, lookup.key), lookup.natural_key)
     return rows
 
 

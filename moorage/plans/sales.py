@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from moorage.functions import scalars as S
 from moorage.operators import dims, facts, quality
-from moorage.operators.joins import lookup_join, unseen, within
+from moorage.operators.joins import counted_join as lookup_join
+from moorage.operators.joins import unseen, within
 from moorage.operators.keys import allocate
 from moorage.session import materialise
 from moorage.sources.store import SnapshotStore
@@ -134,6 +135,7 @@ def fact_rows(rows: DataFrame, tables: dict[str, DataFrame], day: str = "order_d
             facts.Lookup(tables["dim_product"], "product_id", "product_key"),
             facts.Lookup(tables["dim_store"], "store_id", "store_key"),
         ],
+        lookup_join,
     )
     return facts.with_amount(keyed).select(
         "order_id", "line_number", "date_key", "customer_key", "product_key", "store_key",
@@ -190,9 +192,8 @@ def by_month_category(tables: dict[str, DataFrame], month: str) -> DataFrame:
     grouped = tables["fact_sales"].groupBy("date_key", "product_key").agg(
         F.sum("quantity").alias("units"), F.sum(S.money(F.col("sales_amount"))).alias("amount")
     )
-    joined = grouped.join(tables["dim_date"].select("date_key", "calendar_year", month), "date_key").join(
-        tables["dim_product"].select("product_key", "category_name"), "product_key"
-    )
+    dated = lookup_join(grouped, tables["dim_date"].select("date_key", "calendar_year", month), "date_key")
+    joined = lookup_join(dated, tables["dim_product"].select("product_key", "category_name"), "product_key")
     return (
         joined.groupBy("calendar_year", month, "category_name")
         .agg(F.sum("units").cast("bigint").alias("units_sold"), S.money(F.sum("amount")).alias("revenue"))

@@ -172,3 +172,19 @@ def test_lines_are_not_shuffled_for_customers(monkeypatch):
     sales.extract(Rows("order"), Rows("line"), Rows("customer"), Rows("product"), Rows("store"))
     assert [names for on, names in met if on == "customer_id"] == [{"order"}]
     assert met[-1] == ("order_id", {"line", "product", "store"})
+
+
+def test_a_lookup_of_many_rows_in_a_small_file_is_not_broadcast(spark, tmp_path):
+    def kept(name, frame):
+        frame.write.parquet(f"{tmp_path}/{name}", compression="zstd")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    tables = {
+        "fact_sales": kept("fact", spark.sql("SELECT 20200101 AS date_key, id % 3 AS product_key, 2 AS quantity, 5.00BD AS sales_amount FROM range(9)")),
+        "dim_date": kept("date", spark.sql("SELECT 20200101 AS date_key, 2020 AS calendar_year, 1 AS calendar_month")),
+        "dim_product": kept("product", spark.sql("SELECT id AS product_key, if(id = 0, 'a', 'b') AS category_name FROM range(200000)")),
+    }
+    found = sales.by_month_category(tables, "calendar_month")
+    assert [tuple(row) for row in found.collect()] == [(2020, 1, "a", 6, 15), (2020, 1, "b", 12, 30)]
+    # The file of the products is far under the limit of 10 MB, their rows are over it; the single day is broadcast.
+    assert _plan(found).count("SortMergeJoin") and _plan(found).count("BroadcastHashJoin")
