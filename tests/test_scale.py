@@ -1,5 +1,7 @@
 """Steps that must not grow faster than their input."""
 
+import json
+
 import given_logs
 from conftest import rows
 from moorage.operators import keys, payloads, quality, workflow
@@ -188,3 +190,30 @@ def test_a_lookup_of_many_rows_in_a_small_file_is_not_broadcast(spark, tmp_path)
     assert [tuple(row) for row in found.collect()] == [(2020, 1, "a", 6, 15), (2020, 1, "b", 12, 30)]
     # The file of the products is far under the limit of 10 MB, their rows are over it; the single day is broadcast.
     assert _plan(found).count("SortMergeJoin") and _plan(found).count("BroadcastHashJoin")
+
+
+def test_bodies_are_flat_texts_that_hold_any_value(spark):
+    """No struct, variant or inner loop is made for a line; nulls leave their field out and texts are escaped."""
+    for body in given_logs._BODIES.values():
+        assert "variant" not in body and "sequence(" not in body and "(lines, l -> named_struct" not in body
+    line = "struct<n:int,part:bigint,supplier:bigint,quantity:int,price:decimal(12,2),flag:string,size:int,kind:string,brand:string>"
+    given = [(1, 7, 'a"b', [(1, 3, 5, 40, None, "N", 40, "x\ny", None), (2, 4, None, None, None, None, None, None, "c\\d")])]
+    run = spark.createDataFrame(given, f"k bigint, customer bigint, segment string, lines array<{line}>").selectExpr(
+        "*", "'1-0' AS run_id", "1D AS balance", "'F' AS state", "2 AS priority", "'GBP' AS currency", "1 AS nation", "2L AS n_lines"
+    )
+    shared = run.selectExpr("*", *given_logs._SHARED, f"{given_logs._place('substring(segment, 1, 3)')} AS origin")
+    body = json.loads(shared.selectExpr(f"{given_logs._BODIES['shopping']} AS body").first()[0])
+    response = body["data"]["iataAirShopping"][0]["response"]
+    first, second = response["offersGroup"]["carrierOffers"][0]["offer"]
+    reference = lambda n: {"paxJourneyRef": {"paxJourneyRefId": [f"J{n}"]}}
+    assert [s for item in first["offerItem"] for s in item["service"]] == [
+        {"serviceId": f"V5-{t}-{s}", "paxRefId": ["P7", "Q7"], "offerServiceAssociation": reference(1)} for t in (1, 2) for s in (1, 2)
+    ]
+    assert second == {
+        "offerId": "F-1-2", "ownerCode": "QA", "totalPrice": {"totalAmount": {"curCode": "GBP"}},
+        "offerItem": [{"offerItemId": "F-1-2-4-1", "service": [{"paxRefId": ["P7", "Q7"], "offerServiceAssociation": reference(2)}]}],
+    }
+    legs = response["dataLists"]["datedMarketingSegmentList"]["datedMarketingSegment"]
+    assert [(leg["dep"].get("iataLocationCode"), leg["arrival"].get("iataLocationCode")) for leg in legs] == [
+        ('a"b', None), (None, "x\ny"), ('a"b', "c\\d"), ("c\\d", None)
+    ]
