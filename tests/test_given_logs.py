@@ -78,3 +78,11 @@ def test_answer(spark, folder, oracle, name):
     names = [entry[0] for entry in found.description]
     assert sorted(names) == sorted(frame.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(names, found.fetchall())
+
+
+def test_a_log_of_one_step_is_projected_and_holds_the_rows_of_the_whole_log(spark, folder):
+    whole = given_logs.api_log(spark, folder)
+    for step in ("shopping", "payment"):
+        one = given_logs.api_log(spark, folder, [step])
+        assert "Generate" not in one._jdf.queryExecution().executedPlan().toString() and one.columns == whole.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, whole.where(F.col("step") == step).collect()))
